@@ -33,7 +33,7 @@ def clean_string(c: str | Column, default: str = BLANK_DEFAULT) -> Column:
 def safe_date(c: str | Column, fmt: str | None = None) -> Column:
     """Text to date; blank or invalid text gives NULL instead of an error."""
     c = blank_to_null(c)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 def safe_timestamp(c: str | Column, fmt: str | None = None) -> Column:

@@ -2,4 +2,4 @@
 
 
 def load() -> None:
-    from strata.plans import queries, sink_queries  # noqa: F401
+    from strata.plans import layer_queries, queries, sink_queries  # noqa: F401
