@@ -119,6 +119,8 @@ def cast_shows(star: Star, keep_null: bool = True) -> DataFrame:
                   .select(F.lit(None).cast("long").alias("person_id"),
                           F.lit(BLANK_DEFAULT).alias("cast_name"), "show_id"))
         credits = credits.unionByName(lonely)
+    else:
+        credits = credits.filter(F.col("person_id").isNotNull())
     return (credits.groupBy("person_id", "cast_name")
             .agg(F.count_distinct("show_id").alias("total_shows")))
 

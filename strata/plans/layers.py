@@ -217,8 +217,16 @@ def _landed_path(root: str, entity: Entity) -> str:
     return f"{root.rstrip('/')}/{entity.name}"
 
 
+def landed_schema(entity: Entity) -> str:
+    """The landed record schema; child entities also carry the parent id
+    that partition discovery fills in from ``<parent>=<id>`` folders."""
+    if entity.parent:
+        return f"{entity.landed_schema.strip()}, {entity.parent} BIGINT"
+    return entity.landed_schema
+
+
 def read_entity(spark: SparkSession, landed_root: str, entity: Entity) -> DataFrame:
-    return read_landed(spark, _landed_path(landed_root, entity), entity.landed_schema,
+    return read_landed(spark, _landed_path(landed_root, entity), landed_schema(entity),
                        parent_col=entity.parent)
 
 
