@@ -5,6 +5,7 @@ from strata.functions.scalars import (  # noqa: F401
     clean_string,
     epoch_to_ntz,
     epoch_to_timestamp,
+    instant_to_utc,
     safe_date,
     safe_timestamp,
     try_cast,

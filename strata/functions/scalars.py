@@ -50,11 +50,20 @@ def epoch_to_timestamp(c: str | Column) -> Column:
     return F.timestamp_seconds(col_of(c))
 
 
+def _epoch_ntz() -> Column:
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+
+
 def epoch_to_ntz(c: str | Column) -> Column:
     """Epoch seconds to a UTC wall-clock ``timestamp_ntz``, independent of the
     session time zone."""
-    return F.timestamp_add("SECOND", col_of(c),
-                           F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return F.timestamp_add("SECOND", col_of(c), _epoch_ntz())
+
+
+def instant_to_utc(c: str | Column) -> Column:
+    """A timestamp instant as its UTC wall clock (``timestamp_ntz``),
+    independent of the session time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col_of(c)), _epoch_ntz())
 
 
 def try_cast(c: str | Column, to: str) -> Column:

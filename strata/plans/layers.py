@@ -23,7 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.scalars import (blank_to_null, epoch_to_ntz, safe_date,
+from strata.functions.scalars import (epoch_to_ntz, instant_to_utc, safe_date,
                                       safe_timestamp)
 from strata.operators import columns as C
 from strata.operators import increment as I
@@ -35,14 +35,6 @@ from strata.sources.landing import read_landed
 
 log = logging.getLogger(__name__)
 
-EPOCH_NTZ = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-
-
-def instant_to_utc(c: Column) -> Column:
-    """A timestamp instant as its UTC wall clock (timestamp_ntz)."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), EPOCH_NTZ)
-
-
 def _parts(c: Column) -> list[Column]:
     return [F.year(c).alias(CALENDAR[0]), F.month(c).alias(CALENDAR[1]),
             F.dayofmonth(c).alias(CALENDAR[2])]

@@ -7,12 +7,14 @@ are rebuilt from plain Spark:
 * schema merge on append  → ``ALTER TABLE … ADD COLUMNS`` + by-name append
   of a frame aligned to the table (missing columns NULL);
 * ``OPTIMIZE``             → rewrite into fewer files sized from the table's
-  statistics, written to a staging table and swapped in by rename;
+  statistics;
 * ``CLUSTER BY``           → the same rewrite, range-partitioned and sorted on
   the clustering columns so parquet min/max statistics skip files.
 
-Rewrites never overwrite a table while reading it: they write a staging
-table first (a failed job leaves the original untouched), then rename.
+Rewrites never overwrite a table while reading it. An unpartitioned table
+is written to a staging table and renamed in (a failed job leaves the
+original untouched); a partitioned one is copied to a staging table, which
+cuts the lineage, and inserted back with the new layout (see ``_swap_in``).
 """
 
 from __future__ import annotations
@@ -196,20 +198,36 @@ def _staging_name(name: str) -> str:
 
 
 def _swap_in(spark: SparkSession, name: str, df: DataFrame,
-             partition_by: Sequence[str] = (), options: dict | None = None) -> None:
-    """Write ``df`` to a staging table, then rename it over ``name``. A failed
-    write leaves ``name`` untouched."""
+             partition_by: Sequence[str] = (), layout=None, full_refresh: bool = True) -> None:
+    """Replace the rows of ``name`` with ``df`` without reading and writing
+    the same table in one job.
+
+    Unpartitioned: write ``layout(df)`` to a staging table, then rename it
+    over ``name``; a failed write leaves ``name`` untouched.
+
+    Partitioned: renaming would leave the catalog's partition locations
+    pointing at the old folder, so ``df`` is first written as-is to a staging
+    table (cutting its lineage to ``name``), then ``layout(staging)`` is
+    inserted over ``name``. Spark writes the new files aside and swaps each
+    partition at commit; the staging copy is dropped only after the commit,
+    so a failure leaves a full copy to retry from.
+    """
+    layout = layout or (lambda d: d)
     staging = _staging_name(name)
-    w = df.write.format("parquet").mode("overwrite")
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(staging)
-    backup = _staging_name(name).replace("__staging_", "__old_")
-    spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    spark.sql(f"DROP TABLE {backup}")
+    if not partition_by:
+        layout(df).write.format("parquet").mode("overwrite").saveAsTable(staging)
+        backup = _staging_name(name).replace("__staging_", "__old_")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {backup}")
+        spark.catalog.refreshTable(name)
+        return
+    df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(staging)
+    target = spark.table(name).schema
+    out = align_to(layout(spark.table(staging)), target, keep_new=False)
+    mode = "static" if full_refresh else "dynamic"
+    out.write.option("partitionOverwriteMode", mode).insertInto(name, overwrite=True)
+    spark.sql(f"DROP TABLE {staging}")
     spark.catalog.refreshTable(name)
 
 
@@ -259,8 +277,8 @@ def compact(spark: SparkSession, name: str, target_file_mb: int = DEFAULT_FILE_M
     size = table_bytes(spark, name)
     n = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
     pcols = partition_columns(spark, name)
-    df = spark.table(name)
-    _swap_in(spark, name, _layout(df, n, pcols, order), pcols)
+    _swap_in(spark, name, spark.table(name), pcols,
+             layout=lambda d: _layout(d, n, pcols, order), full_refresh=False)
     return RewriteStats(before, file_count(spark, name), size, n)
 
 
