@@ -111,11 +111,18 @@ def cast_shows(star: Star, keep_null: bool = True) -> DataFrame:
     """(person_id, cast_name, total_shows): distinct parents per person over
     the fact. Parents without bridge rows form the (NULL, 'NAFS') group unless
     ``keep_null=False``."""
+    # Bridge rows of parents in the fact: a left semi join with the bridge on
+    # the streamed side, so AQE can split a parent holding many bridge rows
+    # (a left outer join from the parents could not split it). A bridge row
+    # with NULL person and name joins the (NULL, 'NAFS') group after cleaning.
     in_fact = star.fact_parents()
-    credits = (star.bridge.join(in_fact, "show_id", "left_semi")
+    credits = (star.bridge.select("show_id", "person_id", "cast_name")
+               .join(in_fact, "show_id", "left_semi")
                .select("person_id", clean_string("cast_name").alias("cast_name"), "show_id"))
     if keep_null:
-        lonely = (in_fact.join(star.bridge.select("show_id"), "show_id", "left_anti")
+        # Parents without bridge rows; the bridge is reduced to its distinct
+        # parent keys (map-side) before the anti join.
+        lonely = (in_fact.join(star.bridge.select("show_id").distinct(), "show_id", "left_anti")
                   .select(F.lit(None).cast("long").alias("person_id"),
                           F.lit(BLANK_DEFAULT).alias("cast_name"), "show_id"))
         credits = credits.unionByName(lonely)
@@ -143,22 +150,22 @@ def top_members(star: Star, k: int = 10, keep_null: bool = True) -> DataFrame:
 
 def common_tags(star: Star, with_distinct: bool = False) -> DataFrame:
     """M4: fact rows per cleaned tag (``genre_count``, as the reference counts
-    fan-out rows, D6). ``with_distinct`` adds distinct parents and children."""
+    fan-out rows, D6). ``with_distinct`` adds distinct parents and children
+    per tag; a child belongs to one parent (its key), so distinct children
+    per tag is the sum of the parents' distinct children."""
     tags = star.parent_tags().groupBy("show_id", "genre").agg(F.count(F.lit(1)).alias("n_tag_rows"))
     counts = _per_parent_counts(star)
     rows = (tags.join(counts, "show_id")
-            .select(clean_string("genre").alias("genre"), "show_id",
+            .select(clean_string("genre").alias("genre"), "show_id", "n_episodes",
                     (F.col("n_tag_rows") * F.col("n_child_rows") * F.col("n_bridge_rows")).alias("n")))
-    aggs = [F.sum("n").cast("long").alias("genre_count")]
-    if with_distinct:
-        aggs.append(F.count_distinct("show_id").alias("distinct_shows"))
-    out = rows.groupBy("genre").agg(*aggs)
-    if with_distinct:
-        eps = (tags.select("show_id", clean_string("genre").alias("genre")).distinct()
-               .join(star.children.select("show_id", "episode_id").distinct(), "show_id")
-               .groupBy("genre").agg(F.count_distinct("episode_id").alias("distinct_episodes")))
-        out = out.join(eps, "genre", "left")
-    return out
+    if not with_distinct:
+        return rows.groupBy("genre").agg(F.sum("n").cast("long").alias("genre_count"))
+    per_show = rows.groupBy("genre", "show_id").agg(F.sum("n").alias("n"),
+                                                    F.max("n_episodes").alias("n_episodes"))
+    return per_show.groupBy("genre").agg(
+        F.sum("n").cast("long").alias("genre_count"),
+        F.count(F.lit(1)).alias("distinct_shows"),
+        F.sum("n_episodes").cast("long").alias("distinct_episodes"))
 
 
 def fact_summary(star: Star) -> DataFrame:

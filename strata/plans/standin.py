@@ -25,8 +25,19 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The testdata table as a DataFrame. The driver lists files and reads the
+    parquet footer once per application and table (the testdata is
+    read-only); later queries reuse the same relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def shows(spark: SparkSession, sf_dir: str) -> DataFrame:
