@@ -28,6 +28,7 @@ from strata.functions.scalars import (epoch_to_ntz, instant_to_utc, safe_date,
 from strata.operators import columns as C
 from strata.operators import increment as I
 from strata.operators import marts as M
+from strata.operators.setops import row_counts
 from strata.plans.entities import (CALENDAR, ENTITIES, LAYERS, MART_TABLES, ORDER,
                                    Entity)
 from strata.sources import sinks as K
@@ -284,3 +285,25 @@ def run(spark: SparkSession, store: K.TableStore, landed_root: str,
             store.exists("silver", t) for t in ("s_shows", "s_episodes", "s_cast")):
         done[("gold", "marts")] = sorted(load_marts(store, reference_mode).built)
     return done
+
+
+# The reconciliation listing, (label, layer, table) in the
+# order the reference reports them.
+VALIDATION_TABLES = [
+    ("bronze_shows", "bronze", "b_shows"),
+    ("silver_shows", "silver", "s_shows"),
+    ("dim_shows", "gold", "dim_shows"),
+    ("bronze_cast", "bronze", "b_cast"),
+    ("silver_cast", "silver", "s_cast"),
+    ("dim_cast", "gold", "dim_cast"),
+    ("bronze_episodes", "bronze", "b_episodes"),
+    ("silver_episodes", "silver", "s_episodes"),
+    ("fact_episodes", "gold", "fact_episodes"),
+]
+
+
+def layer_row_counts(store: K.TableStore) -> DataFrame:
+    """Q1: row count of every layer table as one result (missing tables are
+    skipped)."""
+    return row_counts([(label, store.read(layer, t)) for label, layer, t in VALIDATION_TABLES
+                       if store.exists(layer, t)])

@@ -53,6 +53,9 @@ def test_run_rerun_and_changes(spark, landed):
         assert store.exists(layer, t)
     assert store.read("gold", "g_top_cast_members").count() == 10
     assert "created_date" in store.read("silver", "s_shows").columns
+    listing = {r["table_name"]: r["record_count"] for r in L.layer_row_counts(store).collect()}
+    assert listing["bronze_shows"] == 150 and listing["fact_episodes"] == 1500
+    assert len(listing) == 9
 
     # Same landed files again: nothing new anywhere.
     again = L.run(spark, store, landed)
