@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, TimestampNTZType, TimestampType)
 
 from strata.functions.scalars import LOW_WATER_DEFAULT
+from strata.operators.joins import BROADCAST_MAX_ROWS, measure_small
 
 
 def _default_for(dtype) -> object | None:
@@ -82,40 +83,82 @@ def _key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return cond
 
 
+def _batch_keys(src: DataFrame, keys: Sequence[str], probe_max_rows: int | None):
+    """The source's distinct keys when a bounded measurement proves them
+    small enough to broadcast, else None."""
+    if not probe_max_rows:
+        return None
+    sk = src.select(*keys).distinct()
+    return sk if measure_small(sk, probe_max_rows).small else None
+
+
+def _target_keys(tgt: DataFrame, tgt_keys: Sequence[str], renamed: Sequence[str],
+                 batch_keys: DataFrame | None, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """Target key columns, renamed. With ``batch_keys`` (small, measured) the
+    target is first probed map-side against the broadcast batch keys (semi
+    join), so only keys the batch contains survive: the target history is
+    scanned but never shuffled."""
+    t = tgt.select(*[F.col(k).alias(r) for k, r in zip(tgt_keys, renamed)])
+    if batch_keys is not None:
+        b = F.broadcast(batch_keys)
+        t = t.join(b, _key_condition(t, b, renamed, keys, null_safe), "left_semi")
+    return t
+
+
 def new_rows(src: DataFrame, tgt: DataFrame | None, keys: Sequence[str],
-             null_safe: bool = False, tgt_keys: Sequence[str] | None = None) -> DataFrame:
+             null_safe: bool = False, tgt_keys: Sequence[str] | None = None,
+             probe_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``src`` whose key is absent from ``tgt`` (left anti join).
 
     With ``null_safe=False`` a NULL key part never matches, as with ``=``, so
     such rows come back on every run (D3); ``null_safe=True`` matches NULL to
-    NULL. The target keys are de-duplicated with a map-side partial aggregate
-    before the shuffle, so an append-only history is not moved whole.
+    NULL.
+
+    Two plans. A batch whose distinct keys measure at most
+    ``probe_max_rows`` probes the target through a broadcast of those keys,
+    and the matched target keys (bounded by the batch's) are broadcast into
+    the anti join: no shuffle of either side. Otherwise the target keys are
+    de-duplicated map-side before a shuffled anti join, so an append-only
+    history is not moved whole.
     """
     if tgt is None:
         return src
     keys = list(keys)
     tgt_keys = list(tgt_keys or keys)
     renamed = [f"__tk{i}" for i in range(len(keys))]
-    t = tgt.select(*[F.col(k).alias(r) for k, r in zip(tgt_keys, renamed)]).distinct()
+    batch = _batch_keys(src, keys, probe_max_rows)
+    t = _target_keys(tgt, tgt_keys, renamed, batch, keys, null_safe).distinct()
+    if batch is not None:
+        t = F.broadcast(t)
     return src.join(t, _key_condition(src, t, keys, renamed, null_safe), "left_anti")
 
 
 def increment_by_version(src: DataFrame, tgt: DataFrame | None, keys: Sequence[str],
                          version: str, null_safe: bool = True,
-                         tgt_version: str | None = None) -> DataFrame:
+                         tgt_version: str | None = None,
+                         probe_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``src`` that are newer than the target's version *of the same
     key*, or whose key the target lacks (I4).
 
     The target is reduced to one row per key with a partial ``max`` before
     the shuffle; the join is many-to-one, so AQE can split a hot source key.
-    A NULL source version only enters for a key the target lacks.
+    A NULL source version only enters for a key the target lacks. As in
+    ``new_rows``, a small batch (measured) probes the target through a
+    broadcast of its keys and gets the per-key versions back by broadcast.
     """
     if tgt is None:
         return src
     keys = list(keys)
     renamed = [f"__tk{i}" for i in range(len(keys))]
-    tv = (tgt.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
-          .agg(F.max(tgt_version or version).alias("__tv"), F.lit(True).alias("__hit")))
+    batch = _batch_keys(src, keys, probe_max_rows)
+    t = tgt.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
+                   F.col(tgt_version or version).alias("__v"))
+    if batch is not None:
+        b = F.broadcast(batch)
+        t = t.join(b, _key_condition(t, b, renamed, keys, null_safe), "left_semi")
+    tv = t.groupBy(*renamed).agg(F.max("__v").alias("__tv"), F.max(F.lit(True)).alias("__hit"))
+    if batch is not None:
+        tv = F.broadcast(tv)
     joined = src.join(tv, _key_condition(src, tv, keys, renamed, null_safe), "left")
     v, tver, hit = F.col(version), F.col("__tv"), F.col("__hit")
     keep = hit.isNull() | (tver.isNull() & v.isNotNull()) | (v > tver)

@@ -65,8 +65,9 @@ class SizeCheck:
 def measure_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                   max_bytes: int = BROADCAST_MAX_BYTES) -> SizeCheck:
     """Read at most ``max_rows + 1`` rows of ``df`` and sum their bytes."""
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                        F.sum(_row_bytes(df)).alias("b")).first()
+    # Only the per-row byte count passes the limit, never the rows.
+    probe = (df.select(_row_bytes(df).alias("b")).limit(max_rows + 1)
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first())
     n, b = int(probe["n"]), int(probe["b"] or 0)
     return SizeCheck(n, b, n <= max_rows and b <= max_bytes)
 

@@ -232,19 +232,37 @@ def load_bronze(store: K.TableStore, entity: Entity, landed: DataFrame,
     return K.write_if_any(inc, lambda d: K.append_table(d, name))
 
 
+def since_last_load(upstream: DataFrame, target: DataFrame | None,
+                    up_col: str = "created_date", tgt_col: str = "created_date") -> DataFrame:
+    """Upstream rows loaded after the newest upstream load the target has
+    seen. The bound is a literal, so parquet min/max statistics skip the
+    files of earlier loads: an incremental run reads the new batch, not the
+    whole history. Loads are assumed to run one after another."""
+    if target is None or up_col not in upstream.columns or tgt_col not in target.columns:
+        return upstream
+    hw = I.high_water(target, tgt_col, default=None)
+    return upstream if hw is None else upstream.filter(F.col(up_col) > hw)
+
+
 def load_silver(store: K.TableStore, entity: Entity, reference_mode: bool = False) -> bool:
     store.ensure_database("silver")
     name = store.name("silver", entity.silver_table)
-    inc = silver_increment(entity, store.read("bronze", entity.bronze_table),
-                           store.read("silver", entity.silver_table), reference_mode)
+    bronze = store.read("bronze", entity.bronze_table)
+    target = store.read("silver", entity.silver_table)
+    if not reference_mode:
+        bronze = since_last_load(bronze, target, "created_date", "created_at")
+    inc = silver_increment(entity, bronze, target, reference_mode)
     return K.write_if_any(inc, lambda d: K.append_table(d, name, list(entity.partition_cols)))
 
 
 def load_gold(store: K.TableStore, entity: Entity, reference_mode: bool = False) -> bool:
     store.ensure_database("gold")
     name = store.name("gold", entity.gold_table)
-    inc = gold_increment(entity, store.read("silver", entity.silver_table),
-                         store.read("gold", entity.gold_table), reference_mode)
+    silver = store.read("silver", entity.silver_table)
+    target = store.read("gold", entity.gold_table)
+    if not reference_mode:
+        silver = since_last_load(silver, target, "created_date", "created_date")
+    inc = gold_increment(entity, silver, target, reference_mode)
     return K.write_if_any(inc, lambda d: K.append_table(d, name, list(entity.partition_cols)))
 
 

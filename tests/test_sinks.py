@@ -91,3 +91,20 @@ def test_compaction_of_partitioned_table(spark, store):
     assert st.files_after < st.files_before
     assert K.partition_columns(spark, name) == ["p"]
     assert spark.table(name).count() == 3000
+
+
+def test_since_last_load_prunes_upstream(spark, store):
+    import time as _t
+
+    from strata.plans.layers import since_last_load
+    store.ensure_database("bronze")
+    store.ensure_database("silver")
+    up, down = store.name("bronze", "up"), store.name("silver", "down")
+    K.append_table(spark.createDataFrame([(1,)], "id INT"), up)
+    K.append_table(spark.table(up).withColumnRenamed("created_date", "created_at"), down)
+    _t.sleep(0.01)
+    K.append_table(spark.createDataFrame([(2,)], "id INT"), up)
+    new = since_last_load(spark.table(up), spark.table(down), "created_date", "created_at")
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(created_date" in plan
+    assert rows(new.select("id")) == [(2,)]
