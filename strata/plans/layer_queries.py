@@ -181,3 +181,55 @@ def gold_child(spark, sf):
 @query("gold_bridge", _gold_sql(CAST_SQL, "s_cast", "cast"))
 def gold_bridge(spark, sf):
     return _gold(spark, sf, "cast")
+
+
+# ---------------------------------------------------------------- bronze
+def _bronze_plain(spark, sf, entity: str) -> DataFrame:
+    return L.bronze_records(LANDED[entity](spark, sf))
+
+
+@query("bronze_dim", f"WITH {SHOWS_SQL}\nSELECT * FROM ls")
+def bronze_dim(spark, sf):
+    return _bronze_plain(spark, sf, "shows")
+
+
+@query("bronze_child", f"WITH {EPISODES_SQL}\nSELECT * FROM le")
+def bronze_child(spark, sf):
+    return _bronze_plain(spark, sf, "episodes")
+
+
+@query("bronze_bridge", f"WITH {CAST_SQL}\nSELECT * FROM lc")
+def bronze_bridge(spark, sf):
+    return _bronze_plain(spark, sf, "cast")
+
+
+# The bronze target holds the BUILDING segment's shows updated before a cut;
+# the new batch is every show. Sound mode admits each show whose id the
+# target lacks or whose version is newer; reference mode admits only
+# versions above the target's global maximum, so other segments' shows
+# updated before the cut are lost.
+BRONZE_CUT = SHOW_EPOCH + 1000 * 3600
+
+
+def _bronze_target(spark, sf) -> DataFrame:
+    from pyspark.sql import functions as F
+    return (_bronze_plain(spark, sf, "shows")
+            .filter((F.col("type") == "BUILDING") & (F.col("updated") < BRONZE_CUT)))
+
+
+@query("bronze_dim_increment", f"""WITH {SHOWS_SQL},
+t AS (SELECT id, MAX(updated) AS tv FROM ls WHERE type = 'BUILDING' AND updated < {BRONZE_CUT}
+      GROUP BY id)
+SELECT ls.* FROM ls LEFT JOIN t ON ls.id IS NOT DISTINCT FROM t.id
+WHERE t.id IS NULL OR ls.updated > t.tv""")
+def bronze_dim_increment(spark, sf):
+    return L.bronze_increment(ENTITIES["shows"], _bronze_plain(spark, sf, "shows"),
+                              _bronze_target(spark, sf))
+
+
+@query("bronze_dim_increment_reference", f"""WITH {SHOWS_SQL}
+SELECT * FROM ls WHERE updated > (SELECT COALESCE(MAX(updated), 0) FROM ls
+                                  WHERE type = 'BUILDING' AND updated < {BRONZE_CUT})""")
+def bronze_dim_increment_reference(spark, sf):
+    return L.bronze_increment(ENTITIES["shows"], _bronze_plain(spark, sf, "shows"),
+                              _bronze_target(spark, sf), reference_mode=True)

@@ -227,6 +227,13 @@ def explode_tags(spark, sf):
     return C.explode_rows(S.shows(spark, sf), "genres", "genre", keep=["show_id"])
 
 
+@query("explode_tags_outer", STAR_SQL + """
+SELECT show_id, unnest(CASE WHEN len(genres) = 0 THEN [NULL::VARCHAR] ELSE genres END) AS genre
+FROM shows""")
+def explode_tags_outer(spark, sf):
+    return C.explode_rows(S.shows(spark, sf), "genres", "genre", outer=True, keep=["show_id"])
+
+
 @query("distinct_rows", """
 SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem""")
 def distinct_rows(spark, sf):
@@ -383,6 +390,27 @@ def salted_join(spark, sf):
     return J.salted_join(li, o, ["l_orderkey"], n=10).drop("l_partkey")
 
 
+@query("salted_left_join", """
+SELECT o.o_orderkey, o.o_orderstatus, l.l_linenumber, l.l_suppkey
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
+def salted_left_join(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    li = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                          "l_linenumber", "l_suppkey")
+    return J.salted_join(o, li, ["o_orderkey"], n=8, how="left")
+
+
+@query("hot_keys", """
+WITH c AS (SELECT o_custkey, COUNT(*) AS rows FROM orders GROUP BY o_custkey),
+t AS (SELECT SUM(rows) AS total, COUNT(*) AS n_keys, MAX(rows) AS mx FROM c),
+top AS (SELECT o_custkey, rows, ROUND(rows / total, 6) AS share, CAST(total AS BIGINT) AS total_rows,
+               n_keys, ROUND(mx / (total / n_keys), 6) AS max_over_mean
+        FROM c, t ORDER BY rows DESC, o_custkey LIMIT 100)
+SELECT * FROM top WHERE share >= 0.001""")
+def hot_keys(spark, sf):
+    return J.hot_keys(_t(spark, sf, "orders"), "o_custkey", share=0.001, k=100)
+
+
 @query("skew_report", """
 WITH c AS (SELECT o_custkey, COUNT(*) AS rows FROM orders GROUP BY o_custkey),
 t AS (SELECT SUM(rows) AS total, COUNT(*) AS n_keys, MAX(rows) AS mx FROM c)
@@ -437,6 +465,17 @@ def top_members(spark, sf):
     return M.top_members(S.star(spark, sf), k=10)
 
 
+@query("top_members_named", STAR_SQL + """
+SELECT person_id, cast_name, total_shows,
+       CAST(row_number() OVER (ORDER BY total_shows DESC, person_id ASC NULLS LAST,
+                               cast_name) AS INTEGER) AS rank
+FROM (SELECT person_id, cast_name, COUNT(DISTINCT show_id) AS total_shows
+      FROM clean_fact WHERE person_id IS NOT NULL GROUP BY person_id, cast_name)
+ORDER BY total_shows DESC, person_id ASC NULLS LAST, cast_name LIMIT 10""")
+def top_members_named(spark, sf):
+    return M.top_members(S.star(spark, sf), k=10, keep_null=False)
+
+
 @query("common_tags", STAR_SQL + """
 SELECT genre, COUNT(*) AS genre_count FROM clean_fact GROUP BY genre""")
 def common_tags(spark, sf):
