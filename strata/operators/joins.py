@@ -125,8 +125,14 @@ def skew_report(df: DataFrame, key: str | Sequence[str], k: int = 20) -> DataFra
         F.lit(round(mx / mean, 6) if mean else 0.0).alias("max_over_mean"))
 
 
-def hot_keys(df: DataFrame, key: str | Sequence[str], share: float = 0.01,
-             k: int = 100) -> DataFrame:
-    """Keys holding at least ``share`` of all rows (at most ``k`` of them)."""
-    rep = skew_report(df, key, k)
-    return rep.filter(F.col("share") >= share)
+def hot_keys(df: DataFrame, key: str | Sequence[str], share: float = 0.01) -> DataFrame:
+    """Every key holding at least ``share`` of all rows, with its count and
+    share. No cap is needed: shares sum to 1, so at most ``1 / share`` keys
+    can qualify, and the filter is on the exact (unrounded) share."""
+    keys = [key] if isinstance(key, str) else list(key)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    total = int(counts.agg(F.sum("rows").alias("t")).first()["t"] or 0)
+    return (counts.filter(F.col("rows") / F.lit(float(total or 1)) >= F.lit(float(share)))
+            .select(*keys, "rows",
+                    F.round(F.col("rows") / F.lit(float(total or 1)), 6).alias("share"),
+                    F.lit(total).cast("long").alias("total_rows")))
