@@ -100,3 +100,34 @@ def test_stream_ingest_is_idempotent(spark, landed):
     assert second["batches"] == 0 and store.read("bronze", "b_cast").count() == n
     batch = L.bronze_records(L.read_entity(spark, landed, e))
     assert n == batch.count()
+
+
+def test_silver_dedupe_keeps_one_row_per_episode(spark):
+    from strata.sources.sinks import with_audit
+    e = ENTITIES["episodes"]
+    landed = LANDED["episodes"](spark, SF_SMALL).filter(F.col("id") < 20)
+    twice = landed.unionByName(landed.withColumn("name", F.lit("changed title")))
+    bronze = with_audit(L.bronze_records(twice))
+    plain = L.silver_increment(e, bronze, None)
+    deduped = L.silver_increment(e, bronze, None, dedupe=True)
+    assert plain.count() == 40                       # DISTINCT keeps both (D10)
+    assert deduped.count() == 20
+    assert deduped.select("episode_id").distinct().count() == 20
+
+
+def test_read_landed_malformed_and_null_structs(spark, tmp_path):
+    path = tmp_path / "shows"
+    path.mkdir()
+    (path / "a.json").write_text(
+        '{"id": 1, "name": "A", "rating": null, "network": {"id": 2, "country": null}, "updated": 5}\n'
+        '{"id": "not a number", "name": "B"}\n'
+        'this line is not json\n'
+        '{"id": 3, "genres": [], "updated": 7}\n')
+    df = L.bronze_records(L.read_entity(spark, str(tmp_path), ENTITIES["shows"]))
+    assert "rating_average" in df.columns and "network_country_code" in df.columns
+    got = {r["name"]: (r["id"], r["rating_average"], r["network_id"]) for r in df.collect()}
+    assert got["A"] == (1, None, 2)
+    assert got["B"][0] is None                       # bad number → NULL, row kept
+    assert df.count() == 4
+    silver = L.silver_increment(ENTITIES["shows"], df.withColumn("created_date", F.current_timestamp()), None)
+    assert sorted(r["show_id"] for r in silver.collect()) == [1, 3]   # NULL ids dropped
