@@ -84,22 +84,30 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str],
                 n: int = 10, how: str = "inner",
-                salt_from: Sequence[str] | None = None) -> DataFrame:
+                salt_from: Sequence[str] | None = None,
+                broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+                broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Equi-join that spreads each key of ``big`` over ``n`` salts.
 
-    The salt is a hash of the row (``salt_from``, default all columns of
-    ``big``), not ``rand()``: a recomputed task after an executor loss gets
-    the same salt, so no row is lost or doubled. Each row of ``small`` is
-    replicated ``n`` times. Use on shuffled joins only; on a broadcast join
-    salting just makes the broadcast ``n`` times larger.
+    Salting only helps a shuffled join. If a bounded measurement shows
+    ``small`` fits under the broadcast bounds, it is broadcast unsalted: the
+    probe side is not shuffled, so a hot key costs nothing extra, while a
+    salted broadcast would only be ``n`` times larger. Otherwise the salt is a
+    hash of the row (``salt_from``, default all columns of ``big``), not
+    ``rand()``: a recomputed task after an executor loss gets the same salt,
+    so no row is lost or doubled. Each row of ``small`` is replicated ``n``
+    times and the join is hinted to shuffle, so the replicated side is never
+    broadcast. ``broadcast_max_rows=None`` always salts.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted join keeps every row only for left-driven joins, not {how}")
+    if broadcast_max_rows and measure_small(small, broadcast_max_rows, broadcast_max_bytes).small:
+        return big.join(F.broadcast(small), keys, how)
     src_cols = list(salt_from or big.columns)
     b = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in src_cols]),
                                         F.lit(n)).cast("int"))
-    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")
     return b.join(s, keys + ["__salt"], how).drop("__salt")
 
 

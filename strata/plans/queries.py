@@ -387,7 +387,8 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 def salted_join(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return J.salted_join(li, o, ["l_orderkey"], n=10).drop("l_partkey")
+    # Always take the salted (shuffled) path here, to exercise it.
+    return J.salted_join(li, o, ["l_orderkey"], n=10, broadcast_max_rows=None).drop("l_partkey")
 
 
 @query("salted_left_join", """
@@ -397,7 +398,7 @@ def salted_left_join(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     li = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
                                           "l_linenumber", "l_suppkey")
-    return J.salted_join(o, li, ["o_orderkey"], n=8, how="left")
+    return J.salted_join(o, li, ["o_orderkey"], n=8, how="left", broadcast_max_rows=None)
 
 
 @query("hot_keys", """

@@ -12,9 +12,21 @@ def test_salted_join_equals_plain_join(spark):
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     plain = rows(li.join(o, "l_orderkey"))
     for n in (1, 3, 10):
-        assert rows(J.salted_join(li, o, ["l_orderkey"], n=n)) == plain
+        assert rows(J.salted_join(li, o, ["l_orderkey"], n=n, broadcast_max_rows=None)) == plain
+    assert rows(J.salted_join(li, o, ["l_orderkey"])) == plain        # small: broadcast, no salt
     left = rows(o.join(li, "l_orderkey", "left"))
-    assert rows(J.salted_join(o, li, ["l_orderkey"], n=4, how="left")) == left
+    assert rows(J.salted_join(o, li, ["l_orderkey"], n=4, how="left", broadcast_max_rows=None)) == left
+
+
+def test_salted_join_never_broadcasts_the_replicated_side(spark):
+    big = spark.range(5000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    small = spark.range(7).select(F.col("id").alias("k"), F.lit("d").alias("d"))
+    salted = J.salted_join(big, small, ["k"], n=5, broadcast_max_rows=None)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+    direct = J.salted_join(big, small, ["k"], n=5)
+    assert "BroadcastHashJoin" in direct._jdf.queryExecution().executedPlan().toString()
+    assert rows(salted) == rows(direct)
 
 
 @settings(max_examples=5, deadline=None)
@@ -23,14 +35,14 @@ def test_salted_join_equals_plain_join(spark):
 def test_salted_join_property(spark, pairs, n):
     big = spark.createDataFrame(pairs, "k INT, v INT")
     small = spark.createDataFrame([(k, f"d{k}") for k in range(3)], "k INT, d STRING")
-    assert rows(J.salted_join(big, small, ["k"], n=n)) == rows(big.join(small, "k"))
+    assert rows(J.salted_join(big, small, ["k"], n=n, broadcast_max_rows=None)) == rows(big.join(small, "k"))
 
 
 def test_salt_is_deterministic(spark):
     big = spark.range(1000).withColumn("k", F.col("id") % 3)
     small = spark.range(3).withColumnRenamed("id", "k")
-    a = rows(J.salted_join(big, small, ["k"], n=7))
-    b = rows(J.salted_join(big, small, ["k"], n=7))
+    a = rows(J.salted_join(big, small, ["k"], n=7, broadcast_max_rows=None))
+    b = rows(J.salted_join(big, small, ["k"], n=7, broadcast_max_rows=None))
     assert a == b
 
 
