@@ -122,7 +122,9 @@ def new_rows(src: DataFrame, tgt: DataFrame | None, keys: Sequence[str],
     and the matched target keys (bounded by the batch's) are broadcast into
     the anti join: no shuffle of either side. Otherwise the target keys are
     de-duplicated map-side before a shuffled anti join, so an append-only
-    history is not moved whole.
+    history is not moved whole. The measurement computes the batch's keys
+    once more: cheap for a batch that is a scan of new files; for an
+    expensive derived source pass ``probe_max_rows=None``.
     """
     if tgt is None:
         return src
