@@ -30,8 +30,10 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # The stand-in star and the reference's fact, as DuckDB CTEs. The fact is
 # built here, in the oracle only, so the factorised Spark marts are checked
 # against the real fan-out.
-STAR_SQL = """
-WITH shows AS (
+STAR_SQL_TEMPLATE = """
+WITH ord AS (SELECT o_orderkey, {custkey} AS o_custkey, o_orderdate, o_orderpriority, o_totalprice
+             FROM orders),
+shows AS (
   SELECT c.c_custkey AS show_id, c.c_name AS show_name, n.n_name AS language,
          CASE WHEN c.c_acctbal < 0 THEN CAST([] AS VARCHAR[])
               ELSE [c.c_mktsegment, r.r_name] END AS genres
@@ -42,11 +44,11 @@ episodes AS (
          o_orderkey AS episode_id, o_orderpriority AS episode_name,
          CAST(o_orderdate AS DATE) AS airdate,
          CAST(FLOOR(o_totalprice / 1000) AS BIGINT) AS runtime
-  FROM orders),
+  FROM ord),
 cast_ AS (
   SELECT DISTINCT o.o_custkey AS show_id, l.l_suppkey AS person_id, s.s_name AS cast_name,
          CAST(s.s_nationkey AS BIGINT) AS character_id, n.n_name AS character_name
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  FROM lineitem l JOIN ord o ON l.l_orderkey = o.o_orderkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   WHERE l.l_returnflag = 'R'),
@@ -67,6 +69,10 @@ clean_fact AS (
          COALESCE(NULLIF(TRIM(character_name), ''), 'NAFS') AS character_name
   FROM fact)
 """
+STAR_SQL = STAR_SQL_TEMPLATE.format(custkey="o_custkey")
+# Every third order moves to parent 0 (see standin.HOT_PARENT).
+HOT_STAR_SQL = STAR_SQL_TEMPLATE.format(
+    custkey=f"CASE WHEN o_orderkey % 3 = 0 THEN CAST({S.HOT_PARENT} AS BIGINT) ELSE o_custkey END")
 
 
 # ---------------------------------------------------------------- sources
@@ -491,6 +497,49 @@ def common_tags_distinct(spark, sf):
     return M.common_tags(S.star(spark, sf), with_distinct=True)
 
 
+# Hot-key variants: one parent holds a third of all children and of the
+# bridge; its share of the reference's fan-out is about (n/3) x suppliers x 2.
+@query("star_fact_hot", HOT_STAR_SQL + """
+SELECT show_id, COUNT(*) AS fact_rows, COUNT(DISTINCT episode_id) AS n_episodes,
+       COUNT(DISTINCT person_id) AS n_persons
+FROM fact GROUP BY show_id""")
+def star_fact_hot(spark, sf):
+    return M.fact_summary(S.star(spark, sf, hot=True))
+
+
+@query("episodes_per_season_hot", HOT_STAR_SQL + """
+SELECT show_id, show_name, season, COUNT(DISTINCT episode_id) AS total_episodes
+FROM clean_fact GROUP BY show_id, show_name, season""")
+def episodes_per_season_hot(spark, sf):
+    return M.episodes_per_season(S.star(spark, sf, hot=True))
+
+
+@query("avg_runtime_hot", HOT_STAR_SQL + """
+SELECT show_id, show_name, AVG(runtime) AS avg_runtime
+FROM clean_fact GROUP BY show_id, show_name""")
+def avg_runtime_hot(spark, sf):
+    return M.avg_runtime(S.star(spark, sf, hot=True))
+
+
+@query("top_members_hot", HOT_STAR_SQL + """
+SELECT person_id, cast_name, total_shows,
+       CAST(row_number() OVER (ORDER BY total_shows DESC, person_id ASC NULLS LAST,
+                               cast_name) AS INTEGER) AS rank
+FROM (SELECT person_id, cast_name, COUNT(DISTINCT show_id) AS total_shows
+      FROM clean_fact GROUP BY person_id, cast_name)
+ORDER BY total_shows DESC, person_id ASC NULLS LAST, cast_name LIMIT 10""")
+def top_members_hot(spark, sf):
+    return M.top_members(S.star(spark, sf, hot=True), k=10)
+
+
+@query("common_tags_hot", HOT_STAR_SQL + """
+SELECT genre, COUNT(*) AS genre_count, COUNT(DISTINCT show_id) AS distinct_shows,
+       COUNT(DISTINCT episode_id) AS distinct_episodes
+FROM clean_fact GROUP BY genre""")
+def common_tags_hot(spark, sf):
+    return M.common_tags(S.star(spark, sf, hot=True), with_distinct=True)
+
+
 # ---------------------------------------------------------------- unions
 @query("union_missing", """
 SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, ts, NULL::DOUBLE AS value, NULL::VARCHAR AS props

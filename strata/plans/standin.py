@@ -52,8 +52,21 @@ def shows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("language"), tags.alias("genres")))
 
 
-def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Hot-key variant: every third order (and the bridge rows it yields) moves to
+# one parent, which then holds a third of all children.
+HOT_PARENT = 0
+
+
+def _orders(spark: SparkSession, sf_dir: str, hot: bool) -> DataFrame:
     o = read(spark, sf_dir, "orders")
+    if hot:
+        o = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(HOT_PARENT).cast("long"))
+                         .otherwise(F.col("o_custkey")))
+    return o
+
+
+def episodes(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    o = _orders(spark, sf_dir, hot)
     return o.select(F.col("o_custkey").alias("show_id"),
                     F.year("o_orderdate").alias("season"),
                     F.col("o_orderkey").alias("episode_id"),
@@ -62,25 +75,25 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor(F.col("o_totalprice") / 1000).alias("runtime"))
 
 
-def bridge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bridge_pairs(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     """Distinct (show_id, person_id) from returned line items."""
     li = read(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-    o = read(spark, sf_dir, "orders")
+    o = _orders(spark, sf_dir, hot)
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .select(F.col("o_custkey").alias("show_id"), F.col("l_suppkey").alias("person_id"))
             .distinct())
 
 
-def cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cast(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     s = read(spark, sf_dir, "supplier")
     n = read(spark, sf_dir, "nation")
     people = (s.join(n, s.s_nationkey == n.n_nationkey)
               .select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("cast_name"),
                       F.col("s_nationkey").cast("long").alias("character_id"),
                       F.col("n_name").alias("character_name")))
-    return bridge_pairs(spark, sf_dir).join(people, "person_id").select(
+    return bridge_pairs(spark, sf_dir, hot).join(people, "person_id").select(
         "show_id", "person_id", "cast_name", "character_id", "character_name")
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(shows(spark, sf_dir), episodes(spark, sf_dir), cast(spark, sf_dir))
+def star(spark: SparkSession, sf_dir: str, hot: bool = False) -> Star:
+    return Star(shows(spark, sf_dir), episodes(spark, sf_dir, hot), cast(spark, sf_dir, hot))
