@@ -233,3 +233,23 @@ SELECT * FROM ls WHERE updated > (SELECT COALESCE(MAX(updated), 0) FROM ls
 def bronze_dim_increment_reference(spark, sf):
     return L.bronze_increment(ENTITIES["shows"], _bronze_plain(spark, sf, "shows"),
                               _bronze_target(spark, sf), reference_mode=True)
+
+
+# ---------------------------------------------------------------- streaming
+@query("stream_ingest", f"WITH {CAST_SQL}\nSELECT * FROM lc")
+def stream_ingest(spark, sf):
+    """Land the cast records as JSON, ingest them with an availableNow
+    file stream into bronze, ingest again (nothing new), read bronze back."""
+    import uuid
+
+    from strata.session import scratch_path
+    from strata.sources.sinks import TableStore
+    from strata.streaming.ingest import ingest_landed
+
+    root = scratch_path(spark, "stream")
+    LANDED["cast"](spark, sf).write.mode("overwrite").json(f"{root}/landed/cast")
+    store = TableStore(spark, f"{root}/warehouse", prefix=f"st{uuid.uuid4().hex[:8]}")
+    entity = ENTITIES["cast"]
+    ingest_landed(spark, store, entity, f"{root}/landed")
+    ingest_landed(spark, store, entity, f"{root}/landed")
+    return store.read("bronze", entity.bronze_table).drop("created_date")
