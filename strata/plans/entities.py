@@ -55,6 +55,8 @@ class Entity:
     cluster_cols: tuple[str, ...] = ()
 
 
+# Table names per layer, keys and change columns per entity,
+# the calendar partition columns, and the mart table names.
 SHOWS = Entity("shows", SHOWS_SCHEMA, "b_shows", "s_shows", "dim_shows",
                bronze_keys=("id",), silver_keys=("show_id",),
                version="updated", silver_version="updated_time")

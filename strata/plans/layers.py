@@ -148,6 +148,7 @@ def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None
 
 
 # ================================================================ gold
+# The columns each gold table keeps, in the reference's order.
 GOLD_COLUMNS = {
     "shows": ["show_id", "show_name", "type", "language", "genres", "status",
               "premiered_date", "ended_date", "rating_average", "network_name",

@@ -1,0 +1 @@
+from strata.streaming.ingest import checkpoint_path, ingest_landed  # noqa: F401
