@@ -117,6 +117,40 @@ def align_to(df: DataFrame, target: StructType, keep_new: bool = True) -> DataFr
     return df.select(*cols)
 
 
+class SchemaMismatch(ValueError):
+    pass
+
+
+_INTEGRAL = ("byte", "short", "integer", "long")
+
+
+def widens_to(src, tgt) -> bool:
+    """Can every ``src`` value be stored as ``tgt`` without loss? Integers to
+    wider integers, decimals or double; float to double; date to timestamp;
+    anything to string."""
+    a, b = src.typeName(), tgt.typeName()
+    if src == tgt or b == "string":
+        return True
+    if a in _INTEGRAL and b in _INTEGRAL:
+        return _INTEGRAL.index(a) <= _INTEGRAL.index(b)
+    if a in _INTEGRAL and b in ("double", "decimal"):
+        return True
+    if a == "float" and b == "double":
+        return True
+    return a == "date" and b in ("timestamp", "timestamp_ntz")
+
+
+def check_compatible(df: DataFrame, target: StructType) -> None:
+    """Raise ``SchemaMismatch`` if a column of ``df`` cannot be written into
+    the target's column of the same name without losing values."""
+    have = {f.name.lower(): f.dataType for f in target.fields}
+    bad = [(f.name, f.dataType.simpleString(), have[f.name.lower()].simpleString())
+           for f in df.schema.fields
+           if f.name.lower() in have and not widens_to(f.dataType, have[f.name.lower()])]
+    if bad:
+        raise SchemaMismatch(f"columns would lose values on write: {bad}")
+
+
 def evolve_table(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
     """Add the frame's new columns to the table; returns their names."""
     table_cols = {c.name.lower() for c in spark.catalog.listColumns(name)}
@@ -135,7 +169,9 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
     """Write ``df`` to catalog table ``name`` as parquet.
 
     ``append`` adds rows by column name; with ``evolve`` new columns are added
-    to the table first and missing ones are written as NULL. ``overwrite``
+    to the table first and missing ones are written as NULL. A column whose
+    type would lose values in the table's type raises ``SchemaMismatch``
+    (safe widenings such as int → long are cast). ``overwrite``
     replaces the table; on a partitioned table only the partitions present
     in ``df`` are replaced (dynamic partition overwrite).
     """
@@ -147,6 +183,7 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
         df = with_audit(df, created=created)
     exists = table_exists(spark, name)
     if exists and mode == "append":
+        check_compatible(df, spark.table(name).schema)
         if evolve:
             evolve_table(spark, name, df)
         df = align_to(df, spark.table(name).schema, keep_new=False)

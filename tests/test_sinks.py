@@ -108,3 +108,15 @@ def test_since_last_load_prunes_upstream(spark, store):
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(created_date" in plan
     assert rows(new.select("id")) == [(2,)]
+
+
+def test_append_widens_safely_and_refuses_lossy_types(spark, store):
+    store.ensure_database("bronze")
+    name = store.name("bronze", "w")
+    K.append_table(spark.createDataFrame([(1, 1.5, "a")], "id BIGINT, x DOUBLE, s STRING"), name, created=None)
+    K.append_table(spark.createDataFrame([(2, 2.5, 7)], "id INT, x FLOAT, s INT"), name, created=None)
+    assert rows(spark.table(name)) == [(1, 1.5, "a"), (2, 2.5, "7")]
+    with pytest.raises(K.SchemaMismatch):
+        K.append_table(spark.createDataFrame([("abc", 1.0, "b")], "id STRING, x DOUBLE, s STRING"),
+                       name, created=None)
+    assert spark.table(name).count() == 2
