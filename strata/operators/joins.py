@@ -64,12 +64,19 @@ class SizeCheck:
 
 def measure_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                   max_bytes: int = BROADCAST_MAX_BYTES) -> SizeCheck:
-    """Read at most ``max_rows + 1`` rows of ``df`` and sum their bytes."""
-    # Only the per-row byte count passes the limit, never the rows.
-    probe = (df.select(_row_bytes(df).alias("b")).limit(max_rows + 1)
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first())
-    n, b = int(probe["n"]), int(probe["b"] or 0)
-    return SizeCheck(n, b, n <= max_rows and b <= max_bytes)
+    """Prove ``df`` is small, or show it is not, with bounded work.
+
+    First the row count, up to ``max_rows + 1``, over a projection that reads
+    no columns (a parquet scan then only walks row-group metadata). Only an
+    input within the row bound has its bytes summed, which is a scan of at
+    most ``max_rows`` rows. ``bytes`` is -1 when the row bound already fails.
+    """
+    n = int(df.select(F.lit(1).alias("one")).limit(max_rows + 1)
+            .agg(F.count("one").alias("n")).first()["n"])
+    if n > max_rows:
+        return SizeCheck(n, -1, False)
+    b = int(df.agg(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0)
+    return SizeCheck(n, b, b <= max_bytes)
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
