@@ -77,3 +77,20 @@ def test_date_parts_null_goes_null(spark):
     out = C.with_date_parts(df, "ts")
     assert rows(out.select("partition_year", "partition_month", "partition_day")) == [
         (None, None, None), (2024, 3, 10)]
+
+
+def test_epoch_times_keep_both_instants_of_a_dst_night(spark):
+    from strata.functions.scalars import epoch_to_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 05:30 and 06:30 UTC on 2024-11-03 are both 01:30 on New York clocks.
+        df = spark.createDataFrame([(1730611800,), (1730615400,)], "e LONG")
+        text = {r[0] for r in df.select(F.from_unixtime("e")).collect()}
+        assert len(text) == 1                                   # a text round trip merges them
+        got = [r[0] for r in df.select(epoch_to_ntz("e")).orderBy(1).collect()]
+        assert got == [dt.datetime(2024, 11, 3, 5, 30), dt.datetime(2024, 11, 3, 6, 30)]
+        parts = C.with_date_parts(df.select(epoch_to_ntz("e").alias("t")), "t")
+        assert {r["partition_day"] for r in parts.collect()} == {3}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -104,3 +104,12 @@ def test_build_marts_isolates_failures(spark):
                         raise_at_end=False)
     assert sorted(res.built) == ["ok", "ok2"] and list(res.errors) == ["bad"]
     assert written == ["ok", "ok2"]
+
+
+def test_top_k_ties_across_the_cut_are_stable(spark):
+    df = spark.createDataFrame([(i, f"p{i}", 5 if i in (3, 7, 9) else i % 3) for i in range(1, 21)],
+                               "person_id LONG, cast_name STRING, total_shows LONG")
+    order = [F.col("total_shows").desc(), F.col("person_id").asc_nulls_last(), F.col("cast_name")]
+    for _ in range(3):
+        got = [(r["person_id"], r["rank"]) for r in M.top_k(df.repartition(7), order, 2).collect()]
+        assert sorted(got, key=lambda t: t[1]) == [(3, 1), (7, 2)]   # 9 ties at 5 but falls outside
