@@ -165,7 +165,8 @@ def evolve_table(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
 # ---------------------------------------------------------------- writes
 def write_table(df: DataFrame, name: str, mode: str = "append",
                 partition_by: Sequence[str] = (), evolve: bool = True,
-                created: str | None = "created_date", location: str | None = None) -> None:
+                created: str | None = "created_date", location: str | None = None,
+                layout: bool = True) -> None:
     """Write ``df`` to catalog table ``name`` as parquet.
 
     ``append`` adds rows by column name; with ``evolve`` new columns are added
@@ -174,6 +175,11 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
     (safe widenings such as int → long are cast). ``overwrite``
     replaces the table; on a partitioned table only the partitions present
     in ``df`` are replaced (dynamic partition overwrite).
+
+    A partitioned write is first range-partitioned on (partition columns,
+    row hash) when ``layout`` is on: each partition value then lands in about
+    one file instead of one file per writing task, and a hot value still
+    spans several tasks.
     """
     spark = df.sparkSession
     db = name.split(".")[0] if "." in name else None
@@ -181,6 +187,8 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
         ensure_database(spark, db, location)
     if created:
         df = with_audit(df, created=created)
+    if partition_by and layout:
+        df = _layout(df, int(spark.conf.get("spark.sql.shuffle.partitions")), partition_by, ())
     exists = table_exists(spark, name)
     if exists and mode == "append":
         check_compatible(df, spark.table(name).schema)

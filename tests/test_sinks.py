@@ -120,3 +120,14 @@ def test_append_widens_safely_and_refuses_lossy_types(spark, store):
         K.append_table(spark.createDataFrame([("abc", 1.0, "b")], "id STRING, x DOUBLE, s STRING"),
                        name, created=None)
     assert spark.table(name).count() == 2
+
+
+def test_partitioned_write_keeps_about_one_file_per_partition(spark, store):
+    store.ensure_database("silver")
+    df = spark.range(4000).select(F.col("id"), (F.col("id") % 5).cast("int").alias("p")).repartition(8)
+    laid, raw = store.name("silver", "laid"), store.name("silver", "raw")
+    K.write_table(df, laid, "append", partition_by=["p"], created=None)
+    K.write_table(df, raw, "append", partition_by=["p"], created=None, layout=False)
+    assert K.file_count(spark, raw) == 40                   # 8 tasks x 5 values
+    assert K.file_count(spark, laid) <= 5 + 8               # about one per value
+    assert rows(spark.table(laid)) == rows(spark.table(raw))
