@@ -22,9 +22,8 @@ def landed_shows(spark: SparkSession, sf: str) -> DataFrame:
     c, n, r = S.read(spark, sf, "customer"), S.read(spark, sf, "nation"), S.read(spark, sf, "region")
     neg = F.col("c_acctbal") < 0
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-    premiered = F.date_format(
-        F.date_add(F.lit("1990-01-01").cast("date"), F.col("c_nationkey") * 100 + F.col("n_regionkey")),
-        "yyyy-MM-dd")
+    premiered = F.date_add(F.lit("1990-01-01").cast("date"),
+                           F.col("c_nationkey") * 100 + F.col("n_regionkey")).cast("string")
     return j.select(
         F.col("c_custkey").alias("id"),
         F.when(neg, F.concat(F.lit(" "), "c_name", F.lit(" "))).otherwise(F.col("c_name")).alias("name"),
@@ -52,7 +51,9 @@ def landed_shows(spark: SparkSession, sf: str) -> DataFrame:
 
 def landed_episodes(spark: SparkSession, sf: str) -> DataFrame:
     o = S.read(spark, sf, "orders")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    # A date cast to text is yyyy-MM-dd; the timestamps are whole seconds, so
+    # their text form with 'T' is the ISO stamp.
+    day = F.col("o_orderdate").cast("date").cast("string")
     return o.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderpriority").alias("name"),
@@ -61,7 +62,8 @@ def landed_episodes(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit("regular")).otherwise(F.lit("special")).alias("type"),
         F.when(F.col("o_orderstatus") == "P", F.lit(" ")).otherwise(day).alias("airdate"),
         F.lit("20:00").alias("airtime"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("airstamp"),
+        F.concat(F.regexp_replace(F.col("o_orderdate").cast("string"), " ", "T"),
+                 F.lit("-05:00")).alias("airstamp"),
         F.floor(F.col("o_totalprice") / 1000).cast("int").alias("runtime"),
         _null_struct(F.col("o_orderstatus") == "O",
                      F.struct((F.col("o_totalprice") / 100000).alias("average"))).alias("rating"),
@@ -79,8 +81,7 @@ def landed_cast(spark: SparkSession, sf: str) -> DataFrame:
     s, n = S.read(spark, sf, "supplier"), S.read(spark, sf, "nation")
     people = s.join(n, s.s_nationkey == n.n_nationkey)
     j = pairs.join(people, pairs.person_id == people.s_suppkey)
-    birthday = F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), F.col("s_nationkey") * 300),
-                             "yyyy-MM-dd")
+    birthday = F.date_add(F.lit("1950-01-01").cast("date"), F.col("s_nationkey") * 300).cast("string")
     person = F.struct(
         F.col("person_id").alias("id"),
         F.concat(F.lit("p/"), F.col("person_id").cast("string")).alias("url"),
