@@ -42,23 +42,31 @@ def high_water_frame(df: DataFrame, column: str | Column, default: object = None
 def high_water(df: DataFrame | None, column: str, default: object = "auto") -> Column | None:
     """The target's maximum of ``column`` as a typed literal Column.
 
-    The maximum is collected as text (one row) and cast back to the column's
-    type, which round-trips exactly and lets the literal reach the scan's
-    pushed filters. ``default="auto"`` uses 1900-01-01 for time columns.
-    Returns None when there is no target or no maximum and no default.
+    The maximum is collected (one row) and rebuilt as a constant of the
+    column's type, which Catalyst folds into a literal that reaches the
+    scan's pushed filters. Wall-clock types, dates and numbers travel as
+    text, which round-trips exactly. A ``timestamp`` (an instant shown in
+    the session zone) travels as epoch microseconds: its text would be
+    ambiguous in the doubled hour of a DST night. ``default="auto"`` uses
+    1900-01-01 for time columns. Returns None when there is no target or no
+    maximum and no default.
     """
     if df is None:
         return None
     dtype = df.schema[column].dataType
     if default == "auto":
         default = _default_for(dtype)
-    row = df.agg(F.max(column).cast("string").alias("m")).first()
-    value = row["m"] if row else None
-    if value is None:
-        value = default
-    if value is None:
+    if isinstance(dtype, TimestampType):
+        m = df.agg(F.unix_micros(F.max(column)).alias("m")).first()["m"]
+        if m is not None:
+            return F.timestamp_micros(F.lit(int(m)))
+    else:
+        m = df.agg(F.max(column).cast("string").alias("m")).first()["m"]
+        if m is not None:
+            return F.lit(str(m)).cast(dtype)
+    if default is None:
         return None
-    return F.lit(str(value)).cast(dtype)
+    return F.lit(str(default)).cast(dtype)
 
 
 def increment_by_watermark(src: DataFrame, tgt: DataFrame | None, column: str,

@@ -80,3 +80,25 @@ def test_high_water_default_and_type(spark):
     h = I.high_water_frame(df, "ts", "1900-01-01 00:00:00").first()["high_water"]
     assert h == _t(3)
     assert df.filter(F.col("ts") > I.high_water(df, "ts")).count() == 0
+
+
+def test_high_water_of_an_instant_in_a_dst_night(spark, tmp_path):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 05:40 UTC (01:40 EDT) and 06:20 UTC (01:20 EST) on 2024-11-03; the
+        # target's max is the second one, whose text "01:20" reads back as
+        # 05:20 UTC and would load both target rows again.
+        df = spark.createDataFrame([(1730612400,), (1730614800,), (1730617200,)], "e LONG") \
+            .select(F.timestamp_seconds("e").alias("t"))
+        path = str(tmp_path / "dst")
+        df.write.parquet(path)
+        src = spark.read.parquet(path)
+        tgt = src.filter(F.col("t") <= F.timestamp_seconds(F.lit(1730614800)))
+        naive = F.lit(tgt.agg(F.max("t").cast("string")).first()[0]).cast("timestamp")
+        assert src.filter(F.col("t") > naive).count() == 3          # the text round trip is wrong
+        inc = I.increment_by_watermark(src, tgt, "t")
+        assert [r[0] for r in inc.select(F.unix_seconds("t")).collect()] == [1730617200]
+        assert "PushedFilters: [IsNotNull(t), GreaterThan(t," in inc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
