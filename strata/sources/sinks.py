@@ -19,6 +19,7 @@ cuts the lineage, and inserted back with the new layout (see ``_swap_in``).
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import math
 import re
@@ -163,6 +164,22 @@ def evolve_table(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
 
 
 # ---------------------------------------------------------------- writes
+@contextlib.contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """``insertInto`` takes the partition overwrite mode from the session, not
+    from writer options: set it for one insert, then restore it."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def write_table(df: DataFrame, name: str, mode: str = "append",
                 partition_by: Sequence[str] = (), evolve: bool = True,
                 created: str | None = "created_date", location: str | None = None,
@@ -199,7 +216,8 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
         # Replace only the partitions present in df; columns by position, so
         # align to the table's order first.
         df = align_to(df, spark.table(name).schema, keep_new=False)
-        df.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        with _overwrite_mode(spark, "dynamic"):
+            df.write.insertInto(name, overwrite=True)
         return
     writer = df.write.format("parquet").mode(mode)
     if partition_by:
@@ -270,8 +288,8 @@ def _swap_in(spark: SparkSession, name: str, df: DataFrame,
     df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(staging)
     target = spark.table(name).schema
     out = align_to(layout(spark.table(staging)), target, keep_new=False)
-    mode = "static" if full_refresh else "dynamic"
-    out.write.option("partitionOverwriteMode", mode).insertInto(name, overwrite=True)
+    with _overwrite_mode(spark, "static" if full_refresh else "dynamic"):
+        out.write.insertInto(name, overwrite=True)
     spark.sql(f"DROP TABLE {staging}")
     spark.catalog.refreshTable(name)
 

@@ -131,3 +131,25 @@ def test_read_landed_malformed_and_null_structs(spark, tmp_path):
     assert df.count() == 4
     silver = L.silver_increment(ENTITIES["shows"], df.withColumn("created_date", F.current_timestamp()), None)
     assert sorted(r["show_id"] for r in silver.collect()) == [1, 3]   # NULL ids dropped
+
+
+def test_silver_star_versions_sound_vs_reference(spark):
+    import datetime as dt
+    shows = spark.createDataFrame(
+        [(1, "Old", "en", ["x"], 10, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1)),
+         (1, "New", "en", ["x"], 20, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2))],
+        "show_id LONG, show_name STRING, language STRING, genres ARRAY<STRING>, updated LONG, "
+        "created_at TIMESTAMP, dw_updated_timestamp TIMESTAMP")
+    episodes = spark.createDataFrame([(1, 1, 7, "e", None, 30)],
+                                     "show_id LONG, season INT, episode_id LONG, episode_name STRING, "
+                                     "air_date DATE, runtime INT")
+    cast = spark.createDataFrame([(1, 5, "P", 9, "C")],
+                                 "show_id LONG, person_id LONG, person_name STRING, "
+                                 "character_id LONG, character_name STRING")
+    latest = L.silver_star(shows, episodes, cast)
+    every = L.silver_star(shows, episodes, cast, reference_mode=True)
+    names = lambda star: sorted(r["show_name"] for r in L.M.episodes_per_season(star).collect())
+    assert names(latest) == ["New"]                      # D1: latest version only
+    assert names(every) == ["New", "Old"]                # reference: every version
+    tags = {r["genre"]: r["genre_count"] for r in L.M.common_tags(every).collect()}
+    assert tags == {"x": 2}                              # fan-out over both versions
