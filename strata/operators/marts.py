@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +48,17 @@ class Star:
     parents: DataFrame
     children: DataFrame
     bridge: DataFrame
+    # Per-parent aggregates shared by several marts, once computed (see
+    # ``shared``); None means each mart computes what it needs.
+    per_parent: DataFrame | None = None
+
+    def shared(self) -> "Star":
+        """The same star with its per-parent aggregates computed once and
+        checkpointed (reliably, to the session's checkpoint folder). They hold
+        one row per parent, and every mart built from the returned star reads
+        them instead of scanning children and bridge again."""
+        per = _per_parent_counts(self, with_avg=True).checkpoint(eager=True)
+        return replace(self, per_parent=per)
 
     # --- factors -----------------------------------------------------------
     def parent_tags(self) -> DataFrame:
@@ -74,18 +85,23 @@ class Star:
                 .join(self.children.select("show_id").distinct(), "show_id", "left_semi"))
 
 
-def _per_parent_counts(star: Star) -> DataFrame:
-    """show_id, n_child_rows, n_bridge_rows (≥1), n_episodes, n_persons."""
-    kids = (star.child_rows().groupBy("show_id")
-            .agg(F.count(F.lit(1)).alias("n_child_rows"),
-                 F.count_distinct("episode_id").alias("n_episodes")))
+def _per_parent_counts(star: Star, with_avg: bool = False) -> DataFrame:
+    """show_id, n_child_rows, n_episodes, n_bridge_rows (≥1), n_persons, and
+    with ``with_avg`` the average runtime over distinct child rows."""
+    if star.per_parent is not None:
+        return star.per_parent
+    aggs = [F.count(F.lit(1)).alias("n_child_rows"), F.count_distinct("episode_id").alias("n_episodes")]
+    if with_avg:
+        aggs.append(F.avg("runtime").alias("avg_runtime"))
+    kids = star.child_rows().groupBy("show_id").agg(*aggs)
     brg = (star.bridge_rows().groupBy("show_id")
            .agg(F.count(F.lit(1)).alias("n_bridge"),
                 F.count_distinct("person_id").alias("n_persons")))
     return (kids.join(brg, "show_id", "left")
             .select("show_id", "n_child_rows", "n_episodes",
                     F.greatest(F.coalesce("n_bridge", F.lit(0)), F.lit(1)).cast("long").alias("n_bridge_rows"),
-                    F.coalesce("n_persons", F.lit(0)).cast("long").alias("n_persons")))
+                    F.coalesce("n_persons", F.lit(0)).cast("long").alias("n_persons"),
+                    *(["avg_runtime"] if with_avg else [])))
 
 
 def episodes_per_season(star: Star) -> DataFrame:
@@ -101,7 +117,10 @@ def episodes_per_season(star: Star) -> DataFrame:
 def avg_runtime(star: Star) -> DataFrame:
     """M2: average runtime per (parent, cleaned name) over fact rows, which
     equals the average over the parent's distinct child rows."""
-    per_show = star.child_rows().groupBy("show_id").agg(F.avg("runtime").alias("avg_runtime"))
+    if star.per_parent is not None and "avg_runtime" in star.per_parent.columns:
+        per_show = star.per_parent.select("show_id", "avg_runtime")
+    else:
+        per_show = star.child_rows().groupBy("show_id").agg(F.avg("runtime").alias("avg_runtime"))
     names = (star.parent_names()
              .select("show_id", clean_string("show_name").alias("show_name")).distinct())
     return per_show.join(names, "show_id").select("show_id", "show_name", "avg_runtime")

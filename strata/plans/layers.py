@@ -271,8 +271,10 @@ def load_marts(store: K.TableStore, reference_mode: bool = False) -> M.MartResul
     """Full refresh of every mart from the silver star; one failing mart does
     not stop the others (M5)."""
     store.ensure_database("gold")
+    # Per-parent aggregates are computed once and checkpointed; every mart
+    # below reads them instead of scanning the silver children and bridge.
     star = silver_star(store.read("silver", "s_shows"), store.read("silver", "s_episodes"),
-                       store.read("silver", "s_cast"), reference_mode)
+                       store.read("silver", "s_cast"), reference_mode).shared()
 
     def write(key: str, df: DataFrame) -> None:
         out = C.clean_strings(with_dw(df))

@@ -113,3 +113,14 @@ def test_top_k_ties_across_the_cut_are_stable(spark):
     for _ in range(3):
         got = [(r["person_id"], r["rank"]) for r in M.top_k(df.repartition(7), order, 2).collect()]
         assert sorted(got, key=lambda t: t[1]) == [(3, 1), (7, 2)]   # 9 ties at 5 but falls outside
+
+
+def test_shared_star_gives_the_same_marts(spark):
+    star = _star(spark)
+    shared = star.shared()
+    assert shared.per_parent is not None
+    for fn in (M.common_tags, M.fact_summary, M.avg_runtime):
+        assert rows(fn(shared)) == rows(fn(star))
+    assert rows(M.common_tags(shared, with_distinct=True)) == rows(M.common_tags(star, with_distinct=True))
+    plan = M.common_tags(shared)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan                       # reads the checkpoint, not the children
