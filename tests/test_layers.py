@@ -153,3 +153,15 @@ def test_silver_star_versions_sound_vs_reference(spark):
     assert names(every) == ["New", "Old"]                # reference: every version
     tags = {r["genre"]: r["genre_count"] for r in L.M.common_tags(every).collect()}
     assert tags == {"x": 2}                              # fan-out over both versions
+
+
+def test_command_line_launcher(spark, landed, capsys):
+    import json
+
+    from strata.__main__ import main
+    wh = scratch_path(spark, "cli")
+    main(["--landed", landed, "--warehouse", wh, "--prefix", f"c{uuid.uuid4().hex[:6]}",
+          "--layers", "bronze", "--entities", "shows", "--no-marts"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["loaded"] == {"bronze.shows": True}
+    assert out["row_counts"] == {"bronze_shows": 150}
