@@ -2,7 +2,7 @@
 
     python -m strata --landed <folder> [--warehouse <folder>] [--prefix dev]
                      [--layers bronze,silver,gold] [--entities shows,cast,episodes]
-                     [--reference-mode] [--no-marts]
+                     [--reference-mode] [--no-marts] [--optimize]
 
 The warehouse defaults to ``<spark.checkpoint.dir>/warehouse``; on a cluster
 pass a shared folder.
@@ -28,13 +28,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--entities", default=",".join(ORDER))
     ap.add_argument("--reference-mode", action="store_true")
     ap.add_argument("--no-marts", action="store_true")
+    ap.add_argument("--optimize", action="store_true", help="compact the tables written")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     root = args.warehouse or f"{shared_dir(spark)}/warehouse"
     store = TableStore(spark, root, args.prefix)
     done = run(spark, store, args.landed, args.layers.split(","), args.entities.split(","),
-               reference_mode=args.reference_mode, with_marts=not args.no_marts)
+               reference_mode=args.reference_mode, with_marts=not args.no_marts,
+               optimize=args.optimize)
     counts = {r["table_name"]: r["record_count"] for r in layer_row_counts(store).collect()}
     print(json.dumps({"loaded": {f"{k[0]}.{k[1]}": v for k, v in done.items()},
                       "row_counts": counts}, default=str))

@@ -29,8 +29,8 @@ from strata.operators import columns as C
 from strata.operators import increment as I
 from strata.operators import marts as M
 from strata.operators.setops import row_counts
-from strata.plans.entities import (CALENDAR, ENTITIES, LAYERS, MART_TABLES, ORDER,
-                                   Entity)
+from strata.plans.entities import (CALENDAR, ENTITIES, FACT_CLUSTER, LAYERS, MART_TABLES,
+                                   ORDER, Entity)
 from strata.sources import sinks as K
 from strata.sources.landing import read_landed
 
@@ -283,11 +283,34 @@ def load_marts(store: K.TableStore, reference_mode: bool = False) -> M.MartResul
     return M.build_marts(star, write, marts(star, reference_mode))
 
 
+def optimize_written(store: K.TableStore, done: dict, target_file_mb: int = K.DEFAULT_FILE_MB) -> list:
+    """Rewrite the tables a run wrote into fewer, larger files (S12). Silver
+    episodes, the fact's child factor, are laid out by the fact's cluster
+    columns (S13). Returns the rewritten table names."""
+    spark = store.spark
+    names = []
+    for (layer, entity), loaded in done.items():
+        if entity == "marts":
+            names += [store.name("gold", MART_TABLES[m]) for m in loaded]
+        elif loaded:
+            e = ENTITIES[entity]
+            table = {"bronze": e.bronze_table, "silver": e.silver_table, "gold": e.gold_table}[layer]
+            names.append(store.name(layer, table))
+    for name in names:
+        if name == store.name("silver", ENTITIES["episodes"].silver_table):
+            K.cluster_rewrite(spark, name, list(FACT_CLUSTER), target_file_mb)
+        else:
+            K.compact(spark, name, target_file_mb)
+    return names
+
+
 def run(spark: SparkSession, store: K.TableStore, landed_root: str,
         layers: Iterable[str] = LAYERS, entities: Iterable[str] = ORDER,
-        reference_mode: bool = False, with_marts: bool = True) -> dict:
+        reference_mode: bool = False, with_marts: bool = True,
+        optimize: bool = False) -> dict:
     """L1: build the chosen layers and entities in order (shows, cast,
-    episodes; bronze, silver, gold), then the marts. Returns what loaded."""
+    episodes; bronze, silver, gold), then the marts; with ``optimize``,
+    compact what was written. Returns what loaded."""
     layers, entities = list(layers), [e for e in ORDER if e in set(entities)]
     done: dict = {}
     for layer in LAYERS:
@@ -305,6 +328,8 @@ def run(spark: SparkSession, store: K.TableStore, landed_root: str,
     if with_marts and "gold" in layers and all(
             store.exists("silver", t) for t in ("s_shows", "s_episodes", "s_cast")):
         done[("gold", "marts")] = sorted(load_marts(store, reference_mode).built)
+    if optimize:
+        optimize_written(store, done)
     return done
 
 

@@ -165,3 +165,17 @@ def test_command_line_launcher(spark, landed, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["loaded"] == {"bronze.shows": True}
     assert out["row_counts"] == {"bronze_shows": 150}
+
+
+def test_optimize_after_run_keeps_rows(spark, landed):
+    store = TableStore(spark, scratch_path(spark, "wh"), prefix=f"o{uuid.uuid4().hex[:8]}")
+    done = L.run(spark, store, landed, layers=["bronze", "silver"], entities=["shows", "episodes"],
+                 with_marts=False)
+    before = counts_of(store, [("bronze", "b_shows"), ("silver", "s_episodes")])
+    names = L.optimize_written(store, done)
+    assert store.name("silver", "s_episodes") in names
+    assert counts_of(store, [("bronze", "b_shows"), ("silver", "s_episodes")]) == before
+
+
+def counts_of(store, tables):
+    return {t: store.read(layer, t).count() for layer, t in tables}
