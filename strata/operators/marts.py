@@ -69,9 +69,10 @@ class Star:
                 .distinct())
 
     def parent_names(self) -> DataFrame:
-        """Distinct (show_id, show_name) of parents that reach the fact."""
+        """Distinct (show_id, cleaned show_name) of parents with tags, as the
+        fact's cleaned name column has them; one aggregation."""
         return (self.parents.filter(F.size("genres") > 0)
-                .select("show_id", "show_name").distinct())
+                .select("show_id", clean_string("show_name").alias("show_name")).distinct())
 
     def child_rows(self) -> DataFrame:
         return self.children.select(*CHILD_COLS).distinct()
@@ -81,7 +82,7 @@ class Star:
 
     def fact_parents(self) -> DataFrame:
         """show_id of parents present in the fact (tags and a child)."""
-        return (self.parent_names().select("show_id").distinct()
+        return (self.parents.filter(F.size("genres") > 0).select("show_id").distinct()
                 .join(self.children.select("show_id").distinct(), "show_id", "left_semi"))
 
 
@@ -108,9 +109,7 @@ def episodes_per_season(star: Star) -> DataFrame:
     """M1: distinct children per (parent, cleaned name, season)."""
     per_season = (star.children.groupBy("show_id", "season")
                   .agg(F.count_distinct("episode_id").alias("total_episodes")))
-    names = (star.parent_names()
-             .select("show_id", clean_string("show_name").alias("show_name")).distinct())
-    return (per_season.join(names, "show_id")
+    return (per_season.join(star.parent_names(), "show_id")
             .select("show_id", "show_name", "season", "total_episodes"))
 
 
@@ -121,9 +120,7 @@ def avg_runtime(star: Star) -> DataFrame:
         per_show = star.per_parent.select("show_id", "avg_runtime")
     else:
         per_show = star.child_rows().groupBy("show_id").agg(F.avg("runtime").alias("avg_runtime"))
-    names = (star.parent_names()
-             .select("show_id", clean_string("show_name").alias("show_name")).distinct())
-    return per_show.join(names, "show_id").select("show_id", "show_name", "avg_runtime")
+    return per_show.join(star.parent_names(), "show_id").select("show_id", "show_name", "avg_runtime")
 
 
 def cast_shows(star: Star, keep_null: bool = True) -> DataFrame:
