@@ -202,6 +202,7 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
     db = name.split(".")[0] if "." in name else None
     if db:
         ensure_database(spark, db, location)
+    recover_swap(spark, name)
     if created:
         df = with_audit(df, created=created)
     if partition_by and layout:
@@ -254,6 +255,45 @@ def write_if_any(df: DataFrame, sink: Callable[[DataFrame], None]) -> bool:
 
 
 # ---------------------------------------------------------------- rewrites
+def recover_swap(spark: SparkSession, name: str) -> str | None:
+    """Finish a swap that a crash interrupted. A staging table or copy is
+    complete once it exists (the catalog entry is created after the write),
+    and every later step reads it:
+
+    * ``__staging_`` (unpartitioned swap): if ``name`` is missing, rename the
+      staging table in;
+    * ``__copy_`` (partitioned rewrite): the copy holds the full intended
+      content, so the overwrite is replayed from it (static: every
+      partition), which is idempotent;
+
+    then leftover staging, copy and backup tables are dropped. Returns the
+    table the content was restored from, if any."""
+    db, _, table = name.rpartition(".")
+    if db and not spark.catalog.databaseExists(db):
+        return None
+    listed = spark.catalog.listTables(db) if db else spark.catalog.listTables()
+    marks = ("__staging_", "__copy_", "__old_")
+    leftovers = [t.name for t in listed if any(t.name.startswith(table + m) for m in marks)]
+    if not leftovers:
+        return None
+    q = (lambda t: f"{db}.{t}") if db else (lambda t: t)
+    restored = None
+    copies = sorted(t for t in leftovers if "__copy_" in t)
+    staging = sorted(t for t in leftovers if "__staging_" in t)
+    if copies and table_exists(spark, name):
+        restored = q(copies[0])
+        out = align_to(spark.table(restored), spark.table(name).schema, keep_new=False)
+        with _overwrite_mode(spark, "static"):
+            out.write.insertInto(name, overwrite=True)
+    elif not table_exists(spark, name) and (staging or copies):
+        restored = q((staging or copies)[0])
+        spark.sql(f"ALTER TABLE {restored} RENAME TO {name}")
+        leftovers.remove((staging or copies)[0])
+    for t in leftovers:
+        spark.sql(f"DROP TABLE IF EXISTS {q(t)}")
+    return restored
+
+
 def _staging_name(name: str) -> str:
     db, _, t = name.rpartition(".")
     base = f"{t}__staging_{uuid.uuid4().hex[:8]}"
@@ -276,6 +316,7 @@ def _swap_in(spark: SparkSession, name: str, df: DataFrame,
     so a failure leaves a full copy to retry from.
     """
     layout = layout or (lambda d: d)
+    recover_swap(spark, name)
     staging = _staging_name(name)
     if not partition_by:
         layout(df).write.format("parquet").mode("overwrite").saveAsTable(staging)
@@ -285,6 +326,7 @@ def _swap_in(spark: SparkSession, name: str, df: DataFrame,
         spark.sql(f"DROP TABLE {backup}")
         spark.catalog.refreshTable(name)
         return
+    staging = staging.replace("__staging_", "__copy_")
     df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(staging)
     target = spark.table(name).schema
     out = align_to(layout(spark.table(staging)), target, keep_new=False)

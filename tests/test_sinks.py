@@ -131,3 +131,37 @@ def test_partitioned_write_keeps_about_one_file_per_partition(spark, store):
     assert K.file_count(spark, raw) == 40                   # 8 tasks x 5 values
     assert K.file_count(spark, laid) <= 5 + 8               # about one per value
     assert rows(spark.table(laid)) == rows(spark.table(raw))
+
+
+def test_recover_an_interrupted_swap(spark, store):
+    store.ensure_database("gold")
+    name = store.name("gold", "swap")
+    K.write_table(spark.createDataFrame([(1,)], "id INT"), name, "append", created=None)
+    # Crash after the staging write and the first rename: the table is gone,
+    # its new content sits in the staging table.
+    staging = K._staging_name(name)
+    spark.createDataFrame([(2,), (3,)], "id INT").write.format("parquet").saveAsTable(staging)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {K._staging_name(name).replace('__staging_', '__old_')}")
+    assert not K.table_exists(spark, name)
+    assert K.recover_swap(spark, name) == staging
+    assert rows(spark.table(name)) == [(2,), (3,)]
+    db = name.split(".")[0]
+    assert [t.name for t in spark.catalog.listTables(db) if "__" in t.name] == []
+    K.write_table(spark.createDataFrame([(4,)], "id INT"), name, "append", created=None)
+    assert rows(spark.table(name)) == [(2,), (3,), (4,)]
+
+
+def test_recover_an_interrupted_partitioned_rewrite(spark, store):
+    store.ensure_database("silver")
+    name = store.name("silver", "prw")
+    df = spark.createDataFrame([(1, 2024), (2, 2025)], "id INT, p INT")
+    K.write_table(df, name, "append", partition_by=["p"], created=None)
+    # Crash during the insert: a full copy exists, the table is half-replaced.
+    copy = K._staging_name(name).replace("__staging_", "__copy_")
+    spark.createDataFrame([(10, 2024), (20, 2025)], "id INT, p INT").write.format("parquet") \
+        .partitionBy("p").saveAsTable(copy)
+    with K._overwrite_mode(spark, "dynamic"):
+        spark.createDataFrame([(10, 2024)], "id INT, p INT").write.insertInto(name, overwrite=True)
+    assert K.recover_swap(spark, name) == copy
+    assert rows(spark.table(name)) == [(10, 2024), (20, 2025)]
+    assert not K.table_exists(spark, copy)
