@@ -24,6 +24,7 @@ from strata.operators.joins import (  # noqa: F401
     join_dimension,
     measure_small,
     salted_join,
+    skew_join,
     skew_report,
 )
 from strata.operators.marts import (  # noqa: F401

@@ -409,6 +409,20 @@ def salted_left_join(spark, sf):
     return J.salted_join(o, li, ["o_orderkey"], n=8, how="left", broadcast_max_rows=None)
 
 
+@query("skew_join", """
+WITH ord AS (SELECT o_orderkey,
+                    CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) ELSE o_custkey END AS o_custkey
+             FROM orders)
+SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment
+FROM ord o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
+def skew_join(spark, sf):
+    # Every third order belongs to one customer (the hot-parent stand-in).
+    o = S.episodes(spark, sf, hot=True).select(F.col("episode_id").alias("o_orderkey"),
+                                                F.col("show_id").alias("o_custkey"))
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return J.skew_join(o, c, ["o_custkey"], how="left", share=0.01, n=16)
+
+
 @query("hot_keys", """
 WITH c AS (SELECT o_custkey, COUNT(*) AS rows FROM orders GROUP BY o_custkey),
 t AS (SELECT SUM(rows) AS total FROM c)

@@ -92,3 +92,13 @@ def test_no_step_builds_the_pairs(spark):
     for fn in (M.common_tags, M.fact_summary, M.cast_shows, M.episodes_per_season, M.avg_runtime):
         plan = fn(star)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_skew_join_equals_plain_join(spark):
+    big = spark.createDataFrame([(1, i) for i in range(900)] + [(k, k) for k in range(2, 200)] + [(None, 5)],
+                                "k LONG, v LONG")
+    small = spark.createDataFrame([(k, f"d{k}") for k in range(0, 150)] + [(1, "again")], "k LONG, d STRING")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(J.skew_join(big, small, ["k"], how=how, share=0.05, n=4)) == rows(big.join(small, ["k"], how))
+    no_hot = spark.createDataFrame([(k, k) for k in range(100)], "k LONG, v LONG")
+    assert rows(J.skew_join(no_hot, small, ["k"], share=0.5)) == rows(no_hot.join(small, ["k"]))
