@@ -111,7 +111,9 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str],
         raise ValueError(f"salted join keeps every row only for left-driven joins, not {how}")
     if broadcast_max_rows and measure_small(small, broadcast_max_rows, broadcast_max_bytes).small:
         return big.join(F.broadcast(small), keys, how)
-    src_cols = list(salt_from or big.columns)
+    # Hash functions refuse maps, so map columns never feed the salt.
+    src_cols = [c for c in (salt_from or big.columns)
+                if not isinstance(big.schema[c].dataType, MapType)] or keys
     b = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in src_cols]),
                                         F.lit(n)).cast("int"))
     s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 log = logging.getLogger(__name__)
 
@@ -355,8 +355,9 @@ def file_count(spark: SparkSession, name: str) -> int:
 def _layout(df: DataFrame, n: int, pcols: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Range-partition on (partition columns, order columns or a row hash):
     a hot partition value spans several tasks instead of one."""
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)] or df.columns[:1]
     keys = [F.col(c) for c in pcols] + ([F.col(c) for c in order] if order
-                                        else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])])
+                                        else [F.xxhash64(*[F.col(f"`{c}`") for c in hashable])])
     out = df.repartitionByRange(n, *keys)
     if order:
         out = out.sortWithinPartitions(*[F.col(c) for c in [*pcols, *order]])

@@ -73,3 +73,10 @@ def test_skew_report_with_hot_key(spark):
     first = rep.first()
     assert first["total_rows"] == 1000 and first["n_keys"] == 652
     assert abs(first["share"] - 0.3) < 1e-9
+
+
+def test_salted_join_with_a_map_column(spark):
+    big = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2}), (1, None)], "k INT, m MAP<STRING, INT>")
+    small = spark.createDataFrame([(1, "x"), (2, "y")], "k INT, d STRING")
+    got = J.salted_join(big, small, ["k"], n=3, broadcast_max_rows=None)
+    assert sorted((r["k"], r["d"]) for r in got.collect()) == [(1, "x"), (1, "x"), (2, "y")]
