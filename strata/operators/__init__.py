@@ -37,5 +37,6 @@ from strata.operators.marts import (  # noqa: F401
     fact_summary,
     top_k,
     top_members,
+    with_rank,
 )
 from strata.operators.setops import common_type, row_counts, union_all_by_name  # noqa: F401

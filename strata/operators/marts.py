@@ -148,6 +148,36 @@ def cast_shows(star: Star, keep_null: bool = True) -> DataFrame:
             .agg(F.count_distinct("show_id").alias("total_shows")))
 
 
+def with_rank(df: DataFrame, order: list, rank_col: str = "rank",
+              n: int | None = None) -> DataFrame:
+    """A 1-based row number over one global order, without any task
+    holding more than one range of the rows.
+
+    The rows are range-partitioned on the order (a row hash is appended as a
+    last key, so a value shared by many rows still spans several ranges) and
+    checkpointed, numbered within each range, and shifted by the number of
+    rows in the ranges before it: a running sum over one row per range. ``order`` should
+    end in a unique tie-break for a reproducible numbering; rows tied on the
+    whole order are numbered in hash order."""
+    spark = df.sparkSession
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"] or df.columns[:1]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    # Range bounds come from sampling seeded per plan, so the ranges are
+    # materialised once (a reliable checkpoint in the shared folder) and both
+    # the numbering and the range sizes read the same ranges.
+    ranged = (df.withColumn("__tie", tie).repartitionByRange(n, *order, F.col("__tie"))
+              .withColumn("__pid", F.spark_partition_id())).checkpoint(eager=True)
+    local = ranged.withColumn("__local", F.row_number().over(
+        Window.partitionBy("__pid").orderBy(*order, F.col("__tie"))))
+    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
+    return (local.join(F.broadcast(offsets), "__pid")
+            .select(*[F.col(f"`{c}`") for c in df.columns],
+                    (F.col("__offset") + F.col("__local")).alias(rank_col)))
+
+
 def top_k(df: DataFrame, order: list, k: int, rank_col: str = "rank") -> DataFrame:
     """Top ``k`` rows by ``order`` with a 1-based rank. ``order`` must end in a
     unique tie-break for a stable cut. ``orderBy().limit()`` plans as a

@@ -475,6 +475,14 @@ def avg_runtime(spark, sf):
     return M.avg_runtime(S.star(spark, sf))
 
 
+@query("global_rank", """
+SELECT o_custkey, n_orders, row_number() OVER (ORDER BY n_orders DESC, o_custkey) AS rank
+FROM (SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey)""")
+def global_rank(spark, sf):
+    counts = _t(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    return M.with_rank(counts, [F.col("n_orders").desc(), F.col("o_custkey").asc()])
+
+
 @query("top_members", STAR_SQL + """
 SELECT person_id, cast_name, total_shows,
        CAST(row_number() OVER (ORDER BY total_shows DESC, person_id ASC NULLS LAST,

@@ -124,3 +124,16 @@ def test_shared_star_gives_the_same_marts(spark):
     assert rows(M.common_tags(shared, with_distinct=True)) == rows(M.common_tags(star, with_distinct=True))
     plan = M.common_tags(shared)._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan                       # reads the checkpoint, not the children
+
+
+def test_with_rank_equals_global_row_number(spark):
+    df = spark.createDataFrame([(i, (i * 7919) % 1000, f"n{i % 13}") for i in range(3000)],
+                               "id LONG, score LONG, name STRING")
+    order = [F.col("score").desc(), F.col("id").asc()]
+    got = M.with_rank(df, order, n=7)
+    want = df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    assert rows(got) == rows(want)
+    # a value shared by a third of the rows still spreads over several ranges
+    tied = spark.createDataFrame([(i, 5 if i < 1000 else i) for i in range(3000)], "id LONG, score LONG")
+    ranked = M.with_rank(tied, [F.col("score").desc(), F.col("id").asc()], n=6)
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 3001))
