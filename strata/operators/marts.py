@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import BLANK_DEFAULT, clean_string
+from strata.session import shared_dir
 
 log = logging.getLogger(__name__)
 
@@ -57,6 +58,7 @@ class Star:
         checkpointed (reliably, to the session's checkpoint folder). They hold
         one row per parent, and every mart built from the returned star reads
         them instead of scanning children and bridge again."""
+        shared_dir(self.parents.sparkSession)      # the checkpoint folder must be set
         per = _per_parent_counts(self, with_avg=True).checkpoint(eager=True)
         return replace(self, per_parent=per)
 
@@ -160,6 +162,7 @@ def with_rank(df: DataFrame, order: list, rank_col: str = "rank",
     end in a unique tie-break for a reproducible numbering; rows tied on the
     whole order are numbered in hash order."""
     spark = df.sparkSession
+    shared_dir(spark)                                 # the checkpoint folder must be set
     n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hashable = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"] or df.columns[:1]
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
