@@ -64,3 +64,9 @@ def test_marts_never_pair_children_with_bridge(plan, name):
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
     assert "Window" not in p or name.startswith("top_members")
     assert not re.search(r"(ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)", p)
+
+
+def test_global_rank_numbers_within_ranges(plan):
+    p = plan("global_rank")
+    assert re.search(r"Window \[row_number\(\) windowspecdefinition\(__pid", p)
+    assert not re.search(r"Window \[row_number\(\) windowspecdefinition\((n_orders|o_custkey)", p)
