@@ -11,10 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, quality_rules, simhash
+from strata.llm import (
+    decontaminate,
+    mixing,
+    quality_model,
+    quality_rules,
+    simhash,
+    token_shards,
+    toxicity_fm,
+)
 from strata.llm.common import table
 
 
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_fm.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
     return verdicts.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "quality")
@@ -29,8 +45,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.token_shards(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_quality_rules, op7_simhash_dedup, op8_decontaminate)
+    f.__name__: f for f in (op2_quality_model, op5_toxicity_fm, op6_quality_rules, op7_simhash_dedup,
+                             op8_decontaminate, op9_token_shards, op10_mixing)
 }
 ORACLE: dict[str, str] = {}
 
