@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    chat_format,
     decontaminate,
+    html_extract,
+    line_templates,
     mixing,
     quality_model,
     quality_rules,
@@ -23,10 +26,65 @@ from strata.llm import (
 from strata.llm.common import table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = chat_format.paired_answers(table(spark, sf_dir, "conversations"))
+    out = chat_format.preference_pairs(chosen, rejected)
+
+    def spans(mask: str) -> Column:  # "start-end start-end", the same in any engine
+        return F.concat_ws(" ", F.transform(mask, lambda s: F.concat_ws("-", s["start"], s["end"])))
+
+    return out.select(F.col("pair").alias("conv_id"), "prompt_turns", "prompt", "chosen", spans("chosen_mask").alias("chosen_mask"),
+                      "rejected", spans("rejected_mask").alias("rejected_mask"))
+
+
+OP3_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, min({'role': coalesce(role, ''), 'said': coalesce(text, '')}) AS t
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+answers AS (
+  SELECT conv_id, max({'turn': turn, 'said': t.said}) AS last FROM turns WHERE t.role = 'assistant' GROUP BY conv_id),
+sides AS (
+  SELECT t.conv_id, t.turn, t.t.role AS role, t.t.said AS chosen,
+    CASE WHEN t.turn = a.last.turn THEN o.last.said ELSE t.t.said END AS rejected
+  FROM turns t JOIN answers a USING (conv_id) JOIN answers o ON o.conv_id = xor(a.conv_id, 1)
+  WHERE t.turn <= a.last.turn),
+split AS (
+  SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY conv_id), 9223372036854775807) AS parts
+  FROM sides),
+shown AS (
+  SELECT *, '<|im_start|>' || role || chr(10) || chosen || '<|im_end|>' || chr(10) AS a,
+    '<|im_start|>' || role || chr(10) || rejected || '<|im_end|>' || chr(10) AS b
+  FROM split),
+placed AS (
+  SELECT *, turn >= parts AS rest,
+    sum(length(a)) OVER (PARTITION BY conv_id, turn >= parts ORDER BY turn) AS a_end,
+    sum(length(b)) OVER (PARTITION BY conv_id, turn >= parts ORDER BY turn) AS b_end
+  FROM shown)
+SELECT conv_id, CAST(count(*) FILTER (NOT rest) AS INTEGER) AS prompt_turns,
+  coalesce(string_agg(a, '' ORDER BY turn) FILTER (NOT rest), '') AS prompt,
+  coalesce(string_agg(a, '' ORDER BY turn) FILTER (rest), '') AS chosen,
+  coalesce(string_agg((a_end - length(chosen) - 11)::BIGINT || '-' || a_end::BIGINT, ' ' ORDER BY turn)
+    FILTER (rest AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(b, '' ORDER BY turn) FILTER (rest), '') AS rejected,
+  coalesce(string_agg((b_end - length(rejected) - 11)::BIGINT || '-' || b_end::BIGINT, ' ' ORDER BY turn)
+    FILTER (rest AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY conv_id
+"""
+
+
+def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs)
+
+
 def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,10 +112,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_model, op5_toxicity_fm, op6_quality_rules, op7_simhash_dedup,
-                             op8_decontaminate, op9_token_shards, op10_mixing)
+    f.__name__: f for f in (
+        op1_html_extract, op2_quality_model, op3_preference_pairs, op4_line_templates, op5_toxicity_fm,
+        op6_quality_rules, op7_simhash_dedup, op8_decontaminate, op9_token_shards, op10_mixing)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_preference_pairs": OP3_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
