@@ -125,7 +125,7 @@ RULES: tuple[Rule, ...] = (
     Rule("shouting", "try_divide(@n_loud, @n_words)", 0.10, 0.30),
     Rule("short_words", "try_divide(@n_short, @n_words)", 0.12, 0.04, 30),
     Rule("stuttering", "try_divide(@n_stutter, @n_words)", 0.10, 0.30),
-    Rule("variety", "@n_distinct / sqrt(@n_words)", 3.5, 2.0, 20),
+    Rule("variety", "try_divide(@n_distinct, sqrt(@n_words))", 3.5, 2.0, 20),
 )
 
 
