@@ -25,7 +25,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     cut that survives lost executors and is computed once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
