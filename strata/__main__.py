@@ -1,11 +1,10 @@
 """Run chosen layers and entities from the command line (L1).
 
-    python -m strata --landed <folder> [--warehouse <folder>] [--prefix dev]
+    python -m strata --landed <folder> --warehouse <folder> [--prefix dev]
                      [--layers bronze,silver,gold] [--entities shows,cast,episodes]
                      [--reference-mode] [--no-marts] [--optimize]
 
-The warehouse defaults to ``<spark.checkpoint.dir>/warehouse``; on a cluster
-pass a shared folder.
+The warehouse is a folder that driver and executors share.
 """
 
 from __future__ import annotations
@@ -15,14 +14,14 @@ import json
 
 from strata.plans.entities import LAYERS, ORDER
 from strata.plans.layers import layer_row_counts, run
-from strata.session import build_session, shared_dir
+from strata.session import build_session
 from strata.sources.sinks import TableStore
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="strata")
     ap.add_argument("--landed", required=True, help="folder with <entity>/ landed JSON")
-    ap.add_argument("--warehouse", help="folder for the layer databases")
+    ap.add_argument("--warehouse", required=True, help="folder for the layer databases")
     ap.add_argument("--prefix", default="dev", help="database prefix (environment)")
     ap.add_argument("--layers", default=",".join(LAYERS))
     ap.add_argument("--entities", default=",".join(ORDER))
@@ -32,12 +31,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
-    root = args.warehouse or f"{shared_dir(spark)}/warehouse"
-    store = TableStore(spark, root, args.prefix)
+    store = TableStore(spark, args.warehouse, args.prefix)
     done = run(spark, store, args.landed, args.layers.split(","), args.entities.split(","),
                reference_mode=args.reference_mode, with_marts=not args.no_marts,
                optimize=args.optimize)
-    counts = {r["table_name"]: r["record_count"] for r in layer_row_counts(store).collect()}
+    counts = {r["table_name"]: r["record_count"] for r in layer_row_counts(store).collect()}  # None: no such table
     print(json.dumps({"loaded": {f"{k[0]}.{k[1]}": v for k, v in done.items()},
                       "row_counts": counts}, default=str))
 

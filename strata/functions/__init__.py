@@ -8,5 +8,4 @@ from strata.functions.scalars import (  # noqa: F401
     instant_to_utc,
     safe_date,
     safe_timestamp,
-    try_cast,
 )

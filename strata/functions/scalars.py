@@ -64,7 +64,3 @@ def instant_to_utc(c: str | Column) -> Column:
     """A timestamp instant as its UTC wall clock (``timestamp_ntz``),
     independent of the session time zone."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(col_of(c)), _epoch_ntz())
-
-
-def try_cast(c: str | Column, to: str) -> Column:
-    return col_of(c).try_cast(to)

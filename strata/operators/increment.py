@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (DateType, MapType, TimestampNTZType, TimestampType)
 
 from strata.functions.scalars import LOW_WATER_DEFAULT
 from strata.operators.joins import BROADCAST_MAX_ROWS, measure_small
@@ -95,11 +95,12 @@ def _key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def _batch_keys(src: DataFrame, keys: Sequence[str], probe_max_rows: int | None):
-    """The source's distinct keys when a bounded measurement proves them
-    small enough to broadcast, else None."""
+    """The source's keys when a measurement proves them small enough to
+    broadcast, else None. They are measured as they come: making them
+    distinct first would be a shuffle, and a semi join needs none."""
     if not probe_max_rows:
         return None
-    sk = src.select(*keys).distinct()
+    sk = src.select(*keys)
     return sk if measure_small(sk, probe_max_rows).small else None
 
 
@@ -125,7 +126,7 @@ def new_rows(src: DataFrame, tgt: DataFrame | None, keys: Sequence[str],
     such rows come back on every run (D3); ``null_safe=True`` matches NULL to
     NULL.
 
-    Two plans. A batch whose distinct keys measure at most
+    Two plans. A batch whose keys measure at most
     ``probe_max_rows`` probes the target through a broadcast of those keys,
     and the matched target keys (bounded by the batch's) are broadcast into
     the anti join: no shuffle of either side. Otherwise the target keys are
@@ -184,13 +185,16 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], version: str,
 
     ``max_by`` is a partial aggregate: each task keeps one candidate per key
     before the shuffle, so a key with a third of all rows costs no more than
-    any other. Ties on ``version`` go to the largest ``tiebreak``.
+    any other. Ties on ``version`` go to the largest ``tiebreak``, then to the
+    largest hash of the row, so that the choice is the same on every run.
     """
     keys = list(keys)
     if isinstance(tiebreak, str):
         tiebreak = [tiebreak]
-    order = F.struct(*[F.col(c) for c in [version, *(tiebreak or [])]])
     rest = [c for c in df.columns if c not in keys]
+    plain = [c for c in rest if not isinstance(df.schema[c].dataType, MapType)]
+    last = [F.xxhash64(*[F.col(f"`{c}`") for c in plain]).alias("__hash")] if plain else []
+    order = F.struct(*[F.col(c) for c in [version, *(tiebreak or [])]], *last)
     picked = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("__row")))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)

@@ -1,9 +1,9 @@
 """Join operators: size-checked broadcast, salted join for skew, skew report.
 
-Broadcasting is decided by a bounded measurement, never assumed: the small
-side is read up to ``max_rows + 1`` rows and its bytes summed; above either
-bound the join is left to Spark's shuffle join (with AQE, which may still
-convert it at run time from real shuffle sizes).
+Broadcasting is decided by a measurement, never assumed: one aggregate counts
+the small side's rows and sums their real bytes; above either bound the join
+is left to Spark's shuffle join (with AQE, which may still convert it at run
+time from real shuffle sizes).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType,
                                DateType, DecimalType, FloatType, IntegerType,
-                               MapType, ShortType, StringType, StructType)
+                               MapType, ShortType, StringType, StructType, DataType)
 
 # Bounds used when the caller gives none: a broadcast side must have at most
 # this many rows and this many bytes (measured, not estimated).
@@ -35,24 +35,34 @@ def _fixed_width(t) -> int:
     return 8
 
 
+def _value_bytes(c: Column, t: DataType) -> Column:
+    """Bytes of one value, NULLs as 8: what Spark holds for it, with the text
+    and elements inside arrays, maps and structs."""
+    if isinstance(t, (StringType, BinaryType)):
+        size = F.octet_length(c) + 8
+    elif isinstance(t, ArrayType):
+        if isinstance(t.elementType, (StringType, BinaryType, ArrayType, MapType, StructType)):
+            size = F.aggregate(c, F.lit(16).cast("long"),
+                               lambda n, x: n + _value_bytes(x, t.elementType).cast("long"))
+        else:
+            size = F.size(c) * 8 + 16
+    elif isinstance(t, MapType):
+        size = (_value_bytes(F.map_keys(c), ArrayType(t.keyType))
+                + _value_bytes(F.map_values(c), ArrayType(t.valueType)))
+    elif isinstance(t, StructType):
+        size = F.lit(8)
+        for f in t.fields:
+            size = size + _value_bytes(c[f.name], f.dataType)
+    else:
+        return F.lit(_fixed_width(t)).cast("long")
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
 def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row as Spark holds it: fixed widths plus string lengths."""
-    parts = []
+    total = F.lit(0).cast("long")
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
-        if isinstance(t, (StringType, BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
-        elif isinstance(t, (ArrayType, MapType)):
-            parts.append(F.coalesce(F.size(c), F.lit(0)) * 16 + 16)
-        elif isinstance(t, StructType):
-            parts.append(F.lit(8 * max(1, len(t.fields))))
-        else:
-            parts.append(F.lit(_fixed_width(t)))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total.cast("long")
+        total = total + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    return total
 
 
 @dataclass(frozen=True)
@@ -64,26 +74,18 @@ class SizeCheck:
 
 def measure_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                   max_bytes: int = BROADCAST_MAX_BYTES) -> SizeCheck:
-    """Prove ``df`` is small, or show it is not, with bounded work.
-
-    First the row count, up to ``max_rows + 1``, over a projection that reads
-    no columns (a parquet scan then only walks row-group metadata). Only an
-    input within the row bound has its bytes summed, which is a scan of at
-    most ``max_rows`` rows. ``bytes`` is -1 when the row bound already fails.
-    """
-    n = int(df.select(F.lit(1).alias("one")).limit(max_rows + 1)
-            .agg(F.count("one").alias("n")).first()["n"])
-    if n > max_rows:
-        return SizeCheck(n, -1, False)
-    b = int(df.agg(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0)
-    return SizeCheck(n, b, b <= max_bytes)
+    """Rows and bytes of ``df`` by one aggregate: every task sends one row,
+    whatever the size of ``df``."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    n, b = int(r["n"]), int(r["b"] or 0)
+    return SizeCheck(n, b, n <= max_rows and b <= max_bytes)
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join a fact to a dimension, broadcasting the dimension only when a
-    bounded measurement proves it small; otherwise a shuffle join."""
+    measurement proves it small; otherwise a shuffle join."""
     check = measure_small(dim, max_rows, max_bytes)
     side = F.broadcast(dim) if check.small else dim
     return fact.join(side, on, how)
@@ -96,7 +98,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str],
                 broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Equi-join that spreads each key of ``big`` over ``n`` salts.
 
-    Salting only helps a shuffled join. If a bounded measurement shows
+    Salting only helps a shuffled join. If a measurement shows
     ``small`` fits under the broadcast bounds, it is broadcast unsalted: the
     probe side is not shuffled, so a hot key costs nothing extra, while a
     salted broadcast would only be ``n`` times larger. Otherwise the salt is a
@@ -166,18 +168,31 @@ def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     salted join against only the hot keys' rows of ``small``, replicated
     ``n`` times, so one key with a third of the rows is spread over ``n``
     tasks while nothing else is replicated. Every row of ``big`` goes to
-    exactly one side, so results equal the plain join.
+    exactly one side, so results equal the plain join. Rows with a NULL key
+    part match nothing: they take no part in the joins, and come back (left
+    and anti joins) without moving at all.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"skew join keeps every row only for left-driven joins, not {how}")
-    hot = hot_keys(big, keys, share).select(*keys)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(f"`{k}`").isNull()
+    keyed = big.filter(~no_key)
+    hot = hot_keys(keyed, keys, share).select(*keys)
     if hot.isEmpty():
-        return big.join(small, keys, how)
-    marked = hot.withColumn("__hot", F.lit(True))
-    tagged = big.join(F.broadcast(marked), keys, "left")
-    cold = tagged.filter(F.col("__hot").isNull()).drop("__hot").join(small, keys, how)
-    hot_rows = tagged.filter(F.col("__hot").isNotNull()).drop("__hot")
-    small_hot = small.join(F.broadcast(hot), keys, "left_semi")
-    hot_join = salted_join(hot_rows, small_hot, keys, n=n, how=how, broadcast_max_rows=None)
-    return cold.unionByName(hot_join)
+        out = keyed.join(small, keys, how)
+    else:
+        marked = hot.withColumn("__hot", F.lit(True))
+        tagged = keyed.join(F.broadcast(marked), keys, "left")
+        cold = tagged.filter(F.col("__hot").isNull()).drop("__hot").join(small, keys, how)
+        hot_rows = tagged.filter(F.col("__hot").isNotNull()).drop("__hot")
+        small_hot = small.join(F.broadcast(hot), keys, "left_semi")
+        out = cold.unionByName(salted_join(hot_rows, small_hot, keys, n=n, how=how, broadcast_max_rows=None))
+    if how in ("inner", "left_semi"):
+        return out
+    lost = big.filter(no_key)
+    if how != "left_anti":
+        lost = lost.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                  for f in small.schema if f.name not in keys])
+    return out.unionByName(lost)

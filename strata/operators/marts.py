@@ -156,11 +156,12 @@ def with_rank(df: DataFrame, order: list, rank_col: str = "rank",
     holding more than one range of the rows.
 
     The rows are range-partitioned on the order (a row hash is appended as a
-    last key, so a value shared by many rows still spans several ranges) and
-    checkpointed, numbered within each range, and shifted by the number of
-    rows in the ranges before it: a running sum over one row per range. ``order`` should
-    end in a unique tie-break for a reproducible numbering; rows tied on the
-    whole order are numbered in hash order."""
+    last key, so a value shared by many rows still spans several ranges),
+    sorted and numbered within their range, and checkpointed with range
+    number and local number. The rank adds the number of rows in the ranges
+    before: a running sum over one row per range. Each row is shuffled once.
+    ``order`` should end in a unique tie-break for a reproducible numbering;
+    rows tied on the whole order are numbered in hash order."""
     spark = df.sparkSession
     shared_dir(spark)                                 # the checkpoint folder must be set
     n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -168,17 +169,19 @@ def with_rank(df: DataFrame, order: list, rank_col: str = "rank",
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     # Range bounds come from sampling seeded per plan, so the ranges are
     # materialised once (a reliable checkpoint in the shared folder) and both
-    # the numbering and the range sizes read the same ranges.
+    # the numbering and the range sizes read the same ranges. The id has the
+    # range number above bit 33 and the place within the range below.
     ranged = (df.withColumn("__tie", tie).repartitionByRange(n, *order, F.col("__tie"))
-              .withColumn("__pid", F.spark_partition_id())).checkpoint(eager=True)
-    local = ranged.withColumn("__local", F.row_number().over(
-        Window.partitionBy("__pid").orderBy(*order, F.col("__tie"))))
-    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+              .sortWithinPartitions(*order, F.col("__tie"))
+              .withColumn("__id", F.monotonically_increasing_id())).drop("__tie").checkpoint(eager=True)
+    pid = F.shiftright("__id", 33).alias("__pid")
+    local = ranged.select("*", pid, F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)).alias("__local"))
+    sizes = ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
     return (local.join(F.broadcast(offsets), "__pid")
             .select(*[F.col(f"`{c}`") for c in df.columns],
-                    (F.col("__offset") + F.col("__local")).alias(rank_col)))
+                    (F.col("__offset") + F.col("__local") + 1).alias(rank_col)))
 
 
 def top_k(df: DataFrame, order: list, k: int, rank_col: str = "rank") -> DataFrame:

@@ -48,25 +48,24 @@ class Entity:
     gold_table: str
     bronze_keys: tuple[str, ...]          # key for the bronze increment
     silver_keys: tuple[str, ...]          # key of one silver row version
-    version: str | None                   # bronze change column (epoch seconds)
     silver_version: str | None            # silver/gold change column (timestamp)
+    tiebreak: tuple[str, ...] = ()        # silver columns that order equal versions
     parent: str | None = None             # parent id column (from folder names)
     partition_cols: tuple[str, ...] = tuple(CALENDAR)
-    cluster_cols: tuple[str, ...] = ()
 
 
 # Table names per layer, keys and change columns per entity,
 # the calendar partition columns, and the mart table names.
 SHOWS = Entity("shows", SHOWS_SCHEMA, "b_shows", "s_shows", "dim_shows",
                bronze_keys=("id",), silver_keys=("show_id",),
-               version="updated", silver_version="updated_time")
+               silver_version="updated_time")
 EPISODES = Entity("episodes", EPISODES_SCHEMA, "b_episodes", "s_episodes", "fact_episodes",
                   bronze_keys=("id",), silver_keys=("episode_id",),
-                  version=None, silver_version=None, parent="show_id")
+                  silver_version=None, tiebreak=("air_timestamp",), parent="show_id")
 CAST = Entity("cast", CAST_SCHEMA, "b_cast", "s_cast", "dim_cast",
               bronze_keys=("show_id", "person_id", "character_id"),
               silver_keys=("show_id", "person_id", "character_id"),
-              version="person_updated", silver_version="person_updated_time",
+              silver_version="person_updated_time",
               parent="show_id")
 
 ENTITIES = {e.name: e for e in (SHOWS, EPISODES, CAST)}

@@ -6,14 +6,21 @@ deterministic. The SQL repeats the whole chain on the testdata."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.operators import marts as M
 from strata.plans import layers as L
+from strata.plans import standin as S
 from strata.plans.entities import ENTITIES
 from strata.plans.landed import LANDED, PERSON_EPOCH, SHOW_EPOCH
 from strata.plans.registry import query
+from strata.plans.scratch import keep_result, scratch_store
+from strata.session import scratch_path
+from strata.sources.landing import CORRUPT, read_landed
 from strata.sources.sinks import with_audit
+from strata.streaming.ingest import ingest_landed
 
-AUDIT = ["created_at", "created_date", "dw_updated_timestamp", "dw_updated_by"]
+AUDIT = ["created_at", "created_date", "dw_updated_timestamp", "dw_updated_by", L.UPSTREAM]
 
 
 def cl(x: str) -> str:
@@ -108,7 +115,7 @@ s_episodes AS (
 CAST_SQL = f"""
 pairs AS (
   SELECT DISTINCT o.o_custkey AS show_id, l.l_suppkey AS person_id
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_returnflag = 'R'),
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 lc AS (
   SELECT p.show_id, p.person_id, 'p/' || CAST(p.person_id AS VARCHAR) AS person_url,
     s.s_name AS person_name, n.n_name AS person_country_name,
@@ -203,23 +210,21 @@ def bronze_bridge(spark, sf):
     return _bronze_plain(spark, sf, "cast")
 
 
-# The bronze target holds the BUILDING segment's shows updated before a cut;
-# the new batch is every show. Sound mode admits each show whose id the
-# target lacks or whose version is newer; reference mode admits only
-# versions above the target's global maximum, so other segments' shows
-# updated before the cut are lost.
-BRONZE_CUT = SHOW_EPOCH + 1000 * 3600
+# The bronze target holds the BUILDING segment's shows in every third epoch
+# hour, a share that grows with the table; the new batch is every show. Sound
+# mode admits each show whose id the target lacks or whose version is newer;
+# reference mode admits only versions above the target's global maximum, so
+# the other shows updated before it are lost.
+OLD_SQL = "type = 'BUILDING' AND (updated // 3600) % 3 = 0"
 
 
 def _bronze_target(spark, sf) -> DataFrame:
-    from pyspark.sql import functions as F
-    return (_bronze_plain(spark, sf, "shows")
-            .filter((F.col("type") == "BUILDING") & (F.col("updated") < BRONZE_CUT)))
+    return _bronze_plain(spark, sf, "shows").filter(
+        (F.col("type") == "BUILDING") & (F.floor(F.col("updated") / 3600) % 3 == 0))
 
 
 @query("bronze_dim_increment", f"""WITH {SHOWS_SQL},
-t AS (SELECT id, MAX(updated) AS tv FROM ls WHERE type = 'BUILDING' AND updated < {BRONZE_CUT}
-      GROUP BY id)
+t AS (SELECT id, MAX(updated) AS tv FROM ls WHERE {OLD_SQL} GROUP BY id)
 SELECT ls.* FROM ls LEFT JOIN t ON ls.id IS NOT DISTINCT FROM t.id
 WHERE t.id IS NULL OR ls.updated > t.tv""")
 def bronze_dim_increment(spark, sf):
@@ -228,28 +233,159 @@ def bronze_dim_increment(spark, sf):
 
 
 @query("bronze_dim_increment_reference", f"""WITH {SHOWS_SQL}
-SELECT * FROM ls WHERE updated > (SELECT COALESCE(MAX(updated), 0) FROM ls
-                                  WHERE type = 'BUILDING' AND updated < {BRONZE_CUT})""")
+SELECT * FROM ls WHERE updated > (SELECT COALESCE(MAX(updated), 0) FROM ls WHERE {OLD_SQL})""")
 def bronze_dim_increment_reference(spark, sf):
     return L.bronze_increment(ENTITIES["shows"], _bronze_plain(spark, sf, "shows"),
                               _bronze_target(spark, sf), reference_mode=True)
 
 
+# ---------------------------------------------------------------- second loads
+# First load: every second key. Second load: every key, and the keys divisible
+# by three once more in a version an hour newer (late rows among them: their
+# times lie between those already loaded). New are the odd keys, and the newer
+# versions of all keys.
+SECOND = {  # entity: SQL chain, landed rows, silver table, key, version
+    "shows": (SHOWS_SQL, "ls", "s_shows", "id", "updated"),
+    "episodes": (EPISODES_SQL, "le2", "s_episodes", "id", None),
+    "cast": (CAST_SQL, "lc", "s_cast", "person_id", "person_updated"),
+}
+
+
+def _loads(spark, sf, entity: str) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows of the first and of the second load."""
+    _, _, _, key, version = SECOND[entity]
+    bronze = _bronze(spark, sf, entity)
+    second = bronze
+    if version:
+        second = bronze.unionByName(bronze.filter(F.col(key) % 3 == 0).withColumn(version, F.col(version) + 3600))
+    return bronze.filter(F.col(key) % 2 == 0), second
+
+
+def _second_sql(entity: str, select: str = "SELECT *") -> str:
+    chain, landed, silver, key, version = SECOND[entity]
+    newer = (f" UNION ALL SELECT * REPLACE ({version} + 3600 AS {version}) FROM {landed} WHERE {key} % 3 = 0"
+             if version else "")
+    rows = f"new_rows AS (SELECT * FROM {landed} WHERE {key} % 2 = 1{newer}),\n{silver} AS ("
+    return f"WITH {chain}".replace(f"{silver} AS (", rows).replace(
+        f"FROM {landed} WHERE {key} IS NOT NULL", f"FROM new_rows WHERE {key} IS NOT NULL") + f"\n{select} FROM {silver}"
+
+
+def _silver_second(spark, sf, entity: str) -> DataFrame:
+    e = ENTITIES[entity]
+    first, second = _loads(spark, sf, entity)
+    return _drop_audit(L.silver_increment(e, second, L.silver_increment(e, first, None)))
+
+
+def _gold_second(spark, sf, entity: str) -> DataFrame:
+    e = ENTITIES[entity]
+    first, second = _loads(spark, sf, entity)
+    target = L.gold_increment(e, L.silver_increment(e, first, None), None)
+    return _drop_audit(L.gold_increment(e, L.silver_increment(e, second, None), target))
+
+
+for _name, _entity in (("dim", "shows"), ("child", "episodes"), ("bridge", "cast")):
+    query(f"silver_{_name}_increment", _second_sql(_entity))(
+        lambda spark, sf, _e=_entity: _silver_second(spark, sf, _e))
+    query(f"gold_{_name}_increment", _second_sql(_entity, f"SELECT DISTINCT {', '.join(L.GOLD_COLUMNS[_entity])}"))(
+        lambda spark, sf, _e=_entity: _gold_second(spark, sf, _e))
+
+
+# ---------------------------------------------------------------- repeated keys
+@query("silver_child_doubled", "WITH " + EPISODES_SQL.replace(
+    "s_episodes AS (", "le3 AS (SELECT * REPLACE (CASE WHEN id % 5 = 0 THEN 'new ' || name ELSE name END AS name) FROM le2),\n"
+    "s_episodes AS (").replace("FROM le2 WHERE", "FROM le3 WHERE") + "\nSELECT * FROM s_episodes")
+def silver_child_doubled(spark, sf):
+    """Every fifth episode comes twice in a batch; the row loaded last stays."""
+    bronze = _bronze(spark, sf, "episodes")
+    again = bronze.filter(F.col("id") % 5 == 0).select(
+        *[F.concat(F.lit("new "), "name").alias(c) if c == "name"
+          else (F.col(c) + F.expr("interval 1 hour")).alias(c) if c == "created_date" else F.col(c)
+          for c in bronze.columns])
+    return _drop_audit(L.silver_increment(ENTITIES["episodes"], bronze.unionByName(again), None))
+
+
+def _renamed_star(spark, sf) -> M.Star:
+    """The silver star, with an older credit under another name for every
+    second person. Only the latest version of a credit counts."""
+    cast = _silver(spark, sf, "cast")
+    older = cast.filter(F.col("person_id") % 2 == 0).withColumn("person_name", F.concat(F.lit("Old "), "person_name")) \
+        .withColumn("person_updated", F.col("person_updated") - 100)
+    return L.silver_star(_silver(spark, sf, "shows"), _silver(spark, sf, "episodes"), cast.unionByName(older))
+
+
+RENAMED_SQL = f"""WITH {SHOWS_SQL}, {EPISODES_SQL}, {CAST_SQL},
+fact AS (
+  SELECT e.show_id, g.genre, e.episode_id, c.person_id, c.person_name
+  FROM s_episodes e JOIN (SELECT show_id, unnest(genres) AS genre FROM s_shows) g USING (show_id)
+  LEFT JOIN s_cast c USING (show_id))"""
+
+
+@query("top_members_renamed", f"""{RENAMED_SQL}
+SELECT person_id, person_name AS cast_name, COUNT(DISTINCT show_id) AS total_shows,
+       CAST(ROW_NUMBER() OVER (ORDER BY COUNT(DISTINCT show_id) DESC, person_id) AS INTEGER) AS rank
+FROM fact WHERE person_id IS NOT NULL GROUP BY person_id, person_name
+ORDER BY rank LIMIT 10""")
+def top_members_renamed(spark, sf):
+    return L.marts(_renamed_star(spark, sf))["top_cast_members"](_renamed_star(spark, sf))
+
+
+@query("common_tags_renamed", f"""{RENAMED_SQL}
+SELECT {cl('genre')} AS genre, COUNT(*) AS genre_count, COUNT(DISTINCT show_id) AS distinct_shows,
+       COUNT(DISTINCT episode_id) AS distinct_episodes
+FROM fact GROUP BY 1""")
+def common_tags_renamed(spark, sf):
+    star = _renamed_star(spark, sf)
+    return L.marts(star)["common_genres"](star)
+
+
+# ---------------------------------------------------------------- a whole run
+RUN_SQL = "\nUNION ALL ".join(
+    f"SELECT '{layer}_{label}' AS table_name, (SELECT COUNT(*) FROM {table}) AS record_count"
+    for label, table in (("shows", "customer"), ("cast", "pairs"), ("episodes", "orders"))
+    for layer in ("bronze", "silver")) + """
+UNION ALL SELECT 'dim_shows', (SELECT COUNT(*) FROM customer)
+UNION ALL SELECT 'dim_cast', (SELECT COUNT(*) FROM pairs)
+UNION ALL SELECT 'fact_episodes', NULL"""
+
+
+@query("run_row_counts", "WITH pairs AS (SELECT DISTINCT o_custkey, l_suppkey FROM lineitem JOIN orders "
+       "ON l_orderkey = o_orderkey)\n" + RUN_SQL)
+def run_row_counts(spark, sf):
+    """L1 and Q1: land every record as JSON, run the layers twice (the second
+    run finds nothing new), leave out the last gold table, count them all."""
+    with scratch_store(spark, "run") as store:
+        for entity, fn in LANDED.items():
+            fn(spark, sf).write.json(f"{store.root}/landed/{entity}")
+        for layers in (["bronze", "silver"], ["bronze", "silver"], ["gold"]):
+            entities = ["shows", "cast"] if layers == ["gold"] else list(ENTITIES)
+            L.run(spark, store, f"{store.root}/landed", layers, entities, with_marts=False)
+        return keep_result(L.layer_row_counts(store))
+
+
+@query("bad_lines", """
+SELECT CASE WHEN event_id % 7 > 0 THEN event_id END AS id, CASE WHEN event_id % 7 > 0 THEN event_type END AS name,
+       CASE WHEN event_id % 7 = 0 THEN '{"id": ' || event_id || ', "name": "' || event_type END AS corrupt_record
+FROM events""")
+def bad_lines(spark, sf):
+    """Every seventh landed line breaks off; it comes back as text."""
+    ev = S.read(spark, sf, "events")
+    line = F.concat(F.lit('{"id": '), "event_id", F.lit(', "name": "'), "event_type",
+                    F.when(F.col("event_id") % 7 > 0, F.lit('"}')).otherwise(F.lit("")))
+    path = scratch_path(spark, "lines")
+    ev.select(line.alias("value")).write.text(path)
+    back = read_landed(spark, path, "id BIGINT, name STRING")
+    good = F.col(CORRUPT).isNull()
+    return back.select(F.when(good, F.col("id")).alias("id"), F.when(good, F.col("name")).alias("name"), CORRUPT)
+
+
 # ---------------------------------------------------------------- streaming
 @query("stream_ingest", f"WITH {CAST_SQL}\nSELECT * FROM lc")
 def stream_ingest(spark, sf):
     """Land the cast records as JSON, ingest them with an availableNow
     file stream into bronze, ingest again (nothing new), read bronze back."""
-    import uuid
-
-    from strata.session import scratch_path
-    from strata.sources.sinks import TableStore
-    from strata.streaming.ingest import ingest_landed
-
-    root = scratch_path(spark, "stream")
-    LANDED["cast"](spark, sf).write.mode("overwrite").json(f"{root}/landed/cast")
-    store = TableStore(spark, f"{root}/warehouse", prefix=f"st{uuid.uuid4().hex[:8]}")
-    entity = ENTITIES["cast"]
-    ingest_landed(spark, store, entity, f"{root}/landed")
-    ingest_landed(spark, store, entity, f"{root}/landed")
-    return store.read("bronze", entity.bronze_table).drop("created_date")
+    with scratch_store(spark, "stream") as store:
+        LANDED["cast"](spark, sf).write.json(f"{store.root}/landed/cast")
+        entity = ENTITIES["cast"]
+        ingest_landed(spark, store, entity, f"{store.root}/landed")
+        ingest_landed(spark, store, entity, f"{store.root}/landed")
+        return keep_result(store.read("bronze", entity.bronze_table).drop("created_date"))

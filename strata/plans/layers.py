@@ -32,7 +32,7 @@ from strata.operators.setops import row_counts
 from strata.plans.entities import (CALENDAR, ENTITIES, FACT_CLUSTER, LAYERS, MART_TABLES,
                                    ORDER, Entity)
 from strata.sources import sinks as K
-from strata.sources.landing import read_landed
+from strata.sources.landing import CORRUPT, read_landed, split_corrupt
 
 log = logging.getLogger(__name__)
 
@@ -79,7 +79,7 @@ def silver_shows(b: DataFrame) -> DataFrame:
         F.col("updated").try_cast("bigint").alias("updated"),
         updated_time.alias("updated_time"),
         F.col("created_date").alias("created_at"),
-        *_parts(updated_time)).distinct())
+        *_parts(updated_time)))
 
 
 def silver_episodes(b: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def silver_episodes(b: DataFrame) -> DataFrame:
         F.col("_links_show_href").alias("links_show_href"),
         F.col("_links_show_name").alias("links_show_name"),
         F.col("created_date").alias("created_at"),
-        *_parts(air_date)).distinct())
+        *_parts(air_date)))
 
 
 def silver_cast(b: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def silver_cast(b: DataFrame) -> DataFrame:
         F.col("person_updated").try_cast("bigint").alias("person_updated"),
         updated_time.alias("person_updated_time"),
         F.col("created_date").alias("created_at"),
-        *_parts(updated_time)).distinct())
+        *_parts(updated_time)))
 
 
 SILVER = {"shows": silver_shows, "episodes": silver_episodes, "cast": silver_cast}
@@ -133,17 +133,22 @@ def with_dw(df: DataFrame) -> DataFrame:
 
 
 def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None,
-                     reference_mode: bool = False, dedupe: bool = False) -> DataFrame:
-    """Typed, de-duplicated, cleaned rows not yet in silver."""
+                     reference_mode: bool = False) -> DataFrame:
+    """Typed, cleaned rows not yet in silver. Of several rows with one
+    key (and version) in a batch the one loaded last stays (D10); reference
+    mode only drops rows that are equal in every column."""
     src = SILVER[entity.name](bronze)
-    if entity.name == "episodes":
-        if dedupe:  # D10: one row per episode id within the batch
-            src = I.latest_by_key(src, ["episode_id"], "created_at", tiebreak=["air_timestamp"])
-        inc = I.new_rows(src, target, ["episode_id"], null_safe=True)
-    elif reference_mode:
-        inc = I.increment_by_watermark(src, target, entity.silver_version)
+    if reference_mode:
+        src = src.distinct()
+        inc = (I.new_rows(src, target, ["episode_id"], null_safe=True) if entity.silver_version is None
+               else I.increment_by_watermark(src, target, entity.silver_version))
+        return C.clean_strings(with_dw(inc))
+    if entity.silver_version is None:
+        inc = I.new_rows(src, target, list(entity.silver_keys), null_safe=True)
+        inc = I.latest_by_key(inc, list(entity.silver_keys), "created_at", entity.tiebreak)
     else:
         inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version)
+        inc = I.latest_by_key(inc, [*entity.silver_keys, entity.silver_version], "created_at", entity.tiebreak)
     return C.clean_strings(with_dw(inc))
 
 
@@ -162,16 +167,25 @@ GOLD_COLUMNS = {
 }
 
 
-def gold_frame(entity: Entity, silver: DataFrame) -> DataFrame:
-    return silver.select(*GOLD_COLUMNS[entity.name]).distinct()
+# Fixed value: the gold column that keeps the load time of the silver row.
+UPSTREAM = "upstream_date"
+
+
+def gold_frame(entity: Entity, silver: DataFrame, reference_mode: bool = False) -> DataFrame:
+    """The gold columns and the silver load time. Silver has one row per key
+    (and version), so only reference mode needs DISTINCT."""
+    if reference_mode:
+        return silver.select(*GOLD_COLUMNS[entity.name]).distinct()
+    stamp = [F.col("created_date").alias(UPSTREAM)] if "created_date" in silver.columns else []
+    return silver.select(*GOLD_COLUMNS[entity.name], *stamp)
 
 
 def gold_increment(entity: Entity, silver: DataFrame, target: DataFrame | None,
                    reference_mode: bool = False) -> DataFrame:
-    """Column subset, distinct, increment, cleaned."""
-    src = gold_frame(entity, silver)
-    if entity.name == "episodes":
-        inc = I.new_rows(src, target, ["episode_id"], null_safe=True)
+    """Column subset, increment, cleaned."""
+    src = gold_frame(entity, silver, reference_mode)
+    if entity.silver_version is None:
+        inc = I.new_rows(src, target, list(entity.silver_keys), null_safe=True)
     elif reference_mode:
         inc = I.increment_by_watermark(src, target, entity.silver_version)
     else:
@@ -182,11 +196,12 @@ def gold_increment(entity: Entity, silver: DataFrame, target: DataFrame | None,
 # ================================================================ star, marts
 def silver_star(shows: DataFrame, episodes: DataFrame, cast: DataFrame,
                 reference_mode: bool = False) -> M.Star:
-    """The fact's three factors from silver (D1: latest show version unless
-    reference mode)."""
+    """The fact's three factors from silver. Unless in reference mode, only
+    the latest version of each show and of each credit counts (D1)."""
     if not reference_mode:
-        shows = I.latest_by_key(shows, ["show_id"], "updated",
-                                tiebreak=["created_at", "dw_updated_timestamp"])
+        ties = lambda df: [c for c in ("created_at", "dw_updated_timestamp") if c in df.columns]
+        shows = I.latest_by_key(shows, ["show_id"], "updated", ties(shows))
+        cast = I.latest_by_key(cast, list(ENTITIES["cast"].silver_keys), "person_updated", ties(cast))
     return M.Star(
         shows.select("show_id", "show_name", "language", "genres"),
         episodes.select("show_id", "season", "episode_id", "episode_name",
@@ -224,25 +239,43 @@ def read_entity(spark: SparkSession, landed_root: str, entity: Entity) -> DataFr
                        parent_col=entity.parent)
 
 
+def rejected_table(entity: Entity) -> str:
+    return f"{entity.bronze_table}_rejected"
+
+
 def load_bronze(store: K.TableStore, entity: Entity, landed: DataFrame,
                 reference_mode: bool = False) -> bool:
+    """Append what bronze lacks. Lines that are no records are kept in a
+    table of their own, each once, and reported."""
     store.ensure_database("bronze")
     name = store.name("bronze", entity.bronze_table)
-    inc = bronze_increment(entity, bronze_records(landed), store.read("bronze", entity.bronze_table),
+    records, lines = split_corrupt(K.stage(landed, "landed"))  # parsed once
+    if lines is not None:
+        rejected = store.name("bronze", rejected_table(entity))
+
+        def keep(bad: DataFrame) -> None:
+            new = I.new_rows(bad.distinct(), store.read("bronze", rejected_table(entity)), [CORRUPT])
+            log.warning("%s: %d landed lines are no records, see %s", entity.name, bad.count(), rejected)
+            K.write_if_any(new, lambda d: K.append_table(d, rejected))
+        K.write_if_any(lines, keep)
+    inc = bronze_increment(entity, bronze_records(records), store.read("bronze", entity.bronze_table),
                            reference_mode)
     return K.write_if_any(inc, lambda d: K.append_table(d, name))
 
 
 def since_last_load(upstream: DataFrame, target: DataFrame | None,
                     up_col: str = "created_date", tgt_col: str = "created_date") -> DataFrame:
-    """Upstream rows loaded after the newest upstream load the target has
-    seen. The bound is a literal, so parquet min/max statistics skip the
-    files of earlier loads: an incremental run reads the new batch, not the
-    whole history. Loads are assumed to run one after another."""
+    """Upstream rows of the newest upstream load that the target has seen, and
+    of later ones. ``tgt_col`` must hold the upstream's own load times, so one
+    clock is compared with itself; the key or version increment that follows
+    drops the rows already there. The bound is a literal, so parquet min/max
+    statistics skip the files of earlier loads: an incremental run reads the
+    new batch, not the whole history. Loads are assumed to run one after
+    another."""
     if target is None or up_col not in upstream.columns or tgt_col not in target.columns:
         return upstream
     hw = I.high_water(target, tgt_col, default=None)
-    return upstream if hw is None else upstream.filter(F.col(up_col) > hw)
+    return upstream if hw is None else upstream.filter(F.col(up_col) >= hw)
 
 
 def load_silver(store: K.TableStore, entity: Entity, reference_mode: bool = False) -> bool:
@@ -262,7 +295,7 @@ def load_gold(store: K.TableStore, entity: Entity, reference_mode: bool = False)
     silver = store.read("silver", entity.silver_table)
     target = store.read("gold", entity.gold_table)
     if not reference_mode:
-        silver = since_last_load(silver, target, "created_date", "created_date")
+        silver = since_last_load(silver, target, "created_date", UPSTREAM)
     inc = gold_increment(entity, silver, target, reference_mode)
     return K.write_if_any(inc, lambda d: K.append_table(d, name, list(entity.partition_cols)))
 
@@ -310,7 +343,10 @@ def run(spark: SparkSession, store: K.TableStore, landed_root: str,
         optimize: bool = False) -> dict:
     """L1: build the chosen layers and entities in order (shows, cast,
     episodes; bronze, silver, gold), then the marts; with ``optimize``,
-    compact what was written. Returns what loaded."""
+    compact what was written. Bronze takes landed files as a stream source
+    that remembers which it has read, so a run reads the new ones only.
+    Returns what loaded."""
+    from strata.streaming.ingest import ingest_landed
     layers, entities = list(layers), [e for e in ORDER if e in set(entities)]
     done: dict = {}
     for layer in LAYERS:
@@ -319,8 +355,8 @@ def run(spark: SparkSession, store: K.TableStore, landed_root: str,
         for name in entities:
             e = ENTITIES[name]
             if layer == "bronze":
-                done[(layer, name)] = load_bronze(store, e, read_entity(spark, landed_root, e),
-                                                  reference_mode)
+                done[(layer, name)] = ingest_landed(spark, store, e, landed_root,
+                                                    reference_mode=reference_mode)["appended"] > 0
             elif layer == "silver":
                 done[(layer, name)] = load_silver(store, e, reference_mode)
             else:
@@ -349,7 +385,6 @@ VALIDATION_TABLES = [
 
 
 def layer_row_counts(store: K.TableStore) -> DataFrame:
-    """Q1: row count of every layer table as one result (missing tables are
-    skipped)."""
-    return row_counts([(label, store.read(layer, t)) for label, layer, t in VALIDATION_TABLES
-                       if store.exists(layer, t)])
+    """Q1: row count of every layer table as one result; NULL for a table
+    that is missing."""
+    return row_counts([(label, store.read(layer, t)) for label, layer, t in VALIDATION_TABLES])

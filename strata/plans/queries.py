@@ -50,8 +50,7 @@ cast_ AS (
          CAST(s.s_nationkey AS BIGINT) AS character_id, n.n_name AS character_name
   FROM lineitem l JOIN ord o ON l.l_orderkey = o.o_orderkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN nation n ON s.s_nationkey = n.n_nationkey
-  WHERE l.l_returnflag = 'R'),
+  JOIN nation n ON s.s_nationkey = n.n_nationkey),
 show_genres AS (
   SELECT show_id, show_name, language, unnest(genres) AS genre FROM shows),
 fact AS (
@@ -270,7 +269,7 @@ BRIDGE_CUT = "1998-01-01 00:00:00"
 
 
 def _bridge(spark, sf, before: str | None) -> DataFrame:
-    li = _t(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = _t(spark, sf, "lineitem")
     if before:
         li = li.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     o = _t(spark, sf, "orders")
@@ -288,7 +287,7 @@ WITH b AS (
          CASE WHEN s.s_acctbal >= 0 THEN l.l_suppkey END AS person_id,
          l.l_linestatus AS status, l.l_shipdate < TIMESTAMP '{BRIDGE_CUT}' AS old
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_returnflag = 'R'),
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey),
 src AS (SELECT DISTINCT show_id, person_id, status FROM b),
 tgt AS (SELECT DISTINCT show_id, person_id, status FROM b WHERE old)
 """
@@ -423,6 +422,33 @@ def skew_join(spark, sf):
     return J.skew_join(o, c, ["o_custkey"], how="left", share=0.01, n=16)
 
 
+NULL_KEYS_SQL = """
+WITH ord AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS o_custkey FROM orders),
+cust AS (SELECT * FROM customer WHERE c_custkey % 5 > 0)
+SELECT {} FROM ord o {}"""
+
+
+def _null_keys(spark, sf, how: str) -> DataFrame:
+    """A third of the orders has no customer; a fifth of the customers is missing."""
+    key = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey")).alias("o_custkey")
+    o = _t(spark, sf, "orders").select("o_orderkey", key)
+    c = _t(spark, sf, "customer").filter(F.col("c_custkey") % 5 > 0).select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return J.skew_join(o, c, ["o_custkey"], how=how, share=0.0005, n=16)
+
+
+@query("skew_join_null_left", NULL_KEYS_SQL.format(
+    "o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment", "LEFT JOIN cust c ON o.o_custkey = c.c_custkey"))
+def skew_join_null_left(spark, sf):
+    return _null_keys(spark, sf, "left")
+
+
+@query("skew_join_null_anti", NULL_KEYS_SQL.format(
+    "o.o_orderkey, o.o_custkey", "WHERE NOT EXISTS (SELECT 1 FROM cust c WHERE o.o_custkey = c.c_custkey)"))
+def skew_join_null_anti(spark, sf):
+    return _null_keys(spark, sf, "left_anti")
+
+
 @query("hot_keys", """
 WITH c AS (SELECT o_custkey, COUNT(*) AS rows FROM orders GROUP BY o_custkey),
 t AS (SELECT SUM(rows) AS total FROM c)
@@ -581,6 +607,22 @@ def union_missing(spark, sf):
     return U.union_all_by_name([a, b, c])
 
 
+@query("union_exact", """
+SELECT CAST(CAST(o_orderkey + 9007199254740993 AS DECIMAL(23, 4)) AS VARCHAR) AS amount,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS at, CAST(o_custkey AS VARCHAR) AS who
+FROM orders
+UNION ALL
+SELECT CAST(CAST(CAST(l_quantity AS INTEGER) AS DECIMAL(23, 4)) AS VARCHAR) AS amount, l_shipdate AS at, l_returnflag AS who
+FROM lineitem""")
+def union_exact(spark, sf):
+    """A long beside a decimal, a date beside a timestamp, a number beside text."""
+    o = _t(spark, sf, "orders").select((F.col("o_orderkey") + 9007199254740993).alias("amount"),
+                                       F.to_date("o_orderdate").alias("at"), F.col("o_custkey").alias("who"))
+    li = _t(spark, sf, "lineitem").select(F.col("l_quantity").cast("int").cast("decimal(12,4)").alias("amount"),
+                                          F.col("l_shipdate").alias("at"), F.col("l_returnflag").alias("who"))
+    return U.union_all_by_name([o, li]).withColumn("amount", F.col("amount").cast("string"))
+
+
 @query("row_counts", "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS record_count FROM {t}" for t in S.TABLES))
 def row_counts(spark, sf):

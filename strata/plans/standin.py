@@ -5,7 +5,7 @@ driver testdata so every query grows with the given tables (SURVEY §7.4).
 |----------|------------------------------------------|---------|
 | parent   | customer ⋈ nation ⋈ region               | id c_custkey, name c_name, tags [] if c_acctbal < 0 else [c_mktsegment, r_name] |
 | child    | orders (o_orderkey unique)               | parent o_custkey, season year(o_orderdate), runtime floor(o_totalprice / 1000) |
-| bridge   | distinct (o_custkey, l_suppkey), 'R' rows | person l_suppkey, name s_name, character s_nationkey / its n_name |
+| bridge   | distinct (o_custkey, l_suppkey) of lineitem | person l_suppkey, name s_name, character s_nationkey / its n_name |
 | history  | events                                   | key user_id, version ts, unique event_id |
 
 Joins to ``nation`` and ``region`` are left to Spark's size-based choice:
@@ -76,8 +76,8 @@ def episodes(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
 
 
 def bridge_pairs(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
-    """Distinct (show_id, person_id) from returned line items."""
-    li = read(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    """Distinct (show_id, person_id) from all line items."""
+    li = read(spark, sf_dir, "lineitem")
     o = _orders(spark, sf_dir, hot)
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .select(F.col("o_custkey").alias("show_id"), F.col("l_suppkey").alias("person_id"))

@@ -2,13 +2,13 @@
 
 Everything that must survive an executor loss (lineage cuts, staging tables,
 streaming checkpoints) lives under the folder the cluster names in
-``spark.checkpoint.dir``. We only pick our own folder when the session has
-none, which is the case in local tests.
+``spark.checkpoint.dir``. Only a session on a local master, as in tests, may
+have none; it gets a folder of its own.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -46,12 +46,15 @@ def build_session(master: str | None = None, app: str = "strata",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
+    """The cluster's shared checkpoint folder. Only a local master may go
+    without one: it gets a temporary folder, which its one machine shares."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             current = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -62,12 +65,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = shared_dir(spark)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers can stat the folder."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

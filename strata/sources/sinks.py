@@ -1,20 +1,15 @@
 """Sinks: append / full refresh, calendar partitions, schema evolution,
 compaction and clustered rewrites on plain parquet catalog tables.
 
-There is no Delta here, so the table-format features the reference leans on
-are rebuilt from plain Spark:
-
-* schema merge on append  → ``ALTER TABLE … ADD COLUMNS`` + by-name append
-  of a frame aligned to the table (missing columns NULL);
-* ``OPTIMIZE``             → rewrite into fewer files sized from the table's
-  statistics;
-* ``CLUSTER BY``           → the same rewrite, range-partitioned and sorted on
-  the clustering columns so parquet min/max statistics skip files.
-
-Rewrites never overwrite a table while reading it. An unpartitioned table
-is written to a staging table and renamed in (a failed job leaves the
-original untouched); a partitioned one is copied to a staging table, which
-cuts the lineage, and inserted back with the new layout (see ``_swap_in``).
+Every write goes through one check (``fit``): new columns, also inside
+structs, are added to the table or refused; a type that could lose values
+raises; nothing is dropped or turned into NULL. Schemas merge in every mode,
+so an overwrite keeps the table's other columns (as NULL).
+
+Rewrites (full refresh, compaction, clustering, new fields inside a struct)
+never overwrite a table while reading it: the new content is written to a
+staging table, and from there over the table. A failed rewrite raises and
+leaves the staging table, whose name the error gives.
 """
 
 from __future__ import annotations
@@ -27,9 +22,12 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType
+from pyspark.sql.types import (ArrayType, DataType, DecimalType, MapType, StructField,
+                               StructType)
+
+from strata.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -99,68 +97,119 @@ def with_audit(df: DataFrame, created: str | None = "created_date",
 
 
 # ---------------------------------------------------------------- schema
-def align_to(df: DataFrame, target: StructType, keep_new: bool = True) -> DataFrame:
-    """Frame with the target's columns (by name, target types; missing ones
-    NULL), followed by columns the target lacks when ``keep_new``."""
-    have = {f.name.lower(): f for f in df.schema.fields}
-    cols = []
-    for f in target.fields:
-        src = have.get(f.name.lower())
-        if src is None:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif src.dataType != f.dataType:
-            cols.append(F.col(f"`{src.name}`").try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.col(f"`{src.name}`").alias(f.name))
-    if keep_new:
-        known = {f.name.lower() for f in target.fields}
-        cols += [F.col(f"`{f.name}`") for f in df.schema.fields if f.name.lower() not in known]
-    return df.select(*cols)
-
-
 class SchemaMismatch(ValueError):
     pass
 
 
-_INTEGRAL = ("byte", "short", "integer", "long")
+# Decimal digits that hold every value of an integer type.
+_DIGITS = {"byte": 3, "short": 5, "integer": 10, "long": 19}
+_NESTED = (StructType, ArrayType, MapType)
 
 
-def widens_to(src, tgt) -> bool:
-    """Can every ``src`` value be stored as ``tgt`` without loss? Integers to
-    wider integers, decimals or double; float to double; date to timestamp;
-    anything to string."""
+def widens_to(src: DataType, tgt: DataType) -> bool:
+    """Can every ``src`` value be stored as ``tgt`` without loss? Integers in
+    wider integers, in decimals with room for their digits and, up to int, in
+    double; decimals in decimals with as many digits on both sides; float in
+    double; date in timestamps; plain values other than binary in string.
+    Structs, arrays and maps: if their parts can; a struct may lack fields."""
     a, b = src.typeName(), tgt.typeName()
-    if src == tgt or b == "string":
-        return True
-    if a in _INTEGRAL and b in _INTEGRAL:
-        return _INTEGRAL.index(a) <= _INTEGRAL.index(b)
-    if a in _INTEGRAL and b in ("double", "decimal"):
-        return True
-    if a == "float" and b == "double":
+    if src == tgt or a == "void":
         return True
+    if isinstance(src, StructType) and isinstance(tgt, StructType):
+        have = {f.name.lower(): f.dataType for f in tgt}
+        return all(f.name.lower() in have and widens_to(f.dataType, have[f.name.lower()]) for f in src)
+    if isinstance(src, ArrayType) and isinstance(tgt, ArrayType):
+        return widens_to(src.elementType, tgt.elementType)
+    if isinstance(src, MapType) and isinstance(tgt, MapType):
+        return widens_to(src.keyType, tgt.keyType) and widens_to(src.valueType, tgt.valueType)
+    if isinstance(src, _NESTED) or isinstance(tgt, _NESTED):
+        return False
+    if b == "string":
+        return a != "binary"
+    if a in _DIGITS and b in _DIGITS:
+        return _DIGITS[a] <= _DIGITS[b]
+    if isinstance(tgt, DecimalType):
+        if a in _DIGITS:
+            return tgt.precision - tgt.scale >= _DIGITS[a]
+        return (isinstance(src, DecimalType) and tgt.scale >= src.scale
+                and tgt.precision - tgt.scale >= src.precision - src.scale)
+    if b == "double":
+        return a in ("byte", "short", "integer", "float")
+    if b == "float":
+        return a in ("byte", "short")
     return a == "date" and b in ("timestamp", "timestamp_ntz")
 
 
-def check_compatible(df: DataFrame, target: StructType) -> None:
-    """Raise ``SchemaMismatch`` if a column of ``df`` cannot be written into
-    the target's column of the same name without losing values."""
-    have = {f.name.lower(): f.dataType for f in target.fields}
-    bad = [(f.name, f.dataType.simpleString(), have[f.name.lower()].simpleString())
-           for f in df.schema.fields
-           if f.name.lower() in have and not widens_to(f.dataType, have[f.name.lower()])]
-    if bad:
-        raise SchemaMismatch(f"columns would lose values on write: {bad}")
-
-
-def evolve_table(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
-    """Add the frame's new columns to the table; returns their names."""
-    table_cols = {c.name.lower() for c in spark.catalog.listColumns(name)}
-    new = [f for f in df.schema.fields if f.name.lower() not in table_cols]
-    if new:
+def merge_types(old: DataType, new: DataType, path: str) -> DataType:
+    """``old`` with the struct fields that only ``new`` has. Raises if a value
+    of ``new`` could be lost in it."""
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        theirs = {f.name.lower(): f for f in new}
+        fields = [StructField(f.name, merge_types(f.dataType, theirs[f.name.lower()].dataType, f"{path}.{f.name}")
+                              if f.name.lower() in theirs else f.dataType) for f in old]
+        known = {f.name.lower() for f in old}
+        return StructType(fields + [StructField(f.name, f.dataType) for f in new if f.name.lower() not in known])
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(merge_types(old.elementType, new.elementType, f"{path}[]"))
+    if isinstance(old, MapType) and isinstance(new, MapType):
+        return MapType(merge_types(old.keyType, new.keyType, f"{path}.key"),
+                       merge_types(old.valueType, new.valueType, f"{path}.value"))
+    if not widens_to(new, old):
+        raise SchemaMismatch(f"{path}: {new.simpleString()} would lose values in {old.simpleString()}")
+    return old
+
+
+def _same(a: DataType, b: DataType) -> bool:
+    """Equal but for nullability."""
+    return a.simpleString() == b.simpleString()
+
+
+def _conform(c: Column, src: DataType, tgt: DataType) -> Column:
+    """``c`` as ``tgt``, struct fields by name, missing ones NULL."""
+    if _same(src, tgt):
+        return c
+    if isinstance(tgt, StructType):
+        have = {f.name.lower(): f for f in src}
+        fields = [(_conform(c[have[f.name.lower()].name], have[f.name.lower()].dataType, f.dataType)
+                   if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in tgt]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(tgt, ArrayType):
+        return F.transform(c, lambda x: _conform(x, src.elementType, tgt.elementType))
+    if isinstance(tgt, MapType):
+        return F.map_from_arrays(
+            F.transform(F.map_keys(c), lambda x: _conform(x, src.keyType, tgt.keyType)),
+            F.transform(F.map_values(c), lambda x: _conform(x, src.valueType, tgt.valueType)))
+    return c.cast(tgt)
+
+
+def align_to(df: DataFrame, target: StructType) -> DataFrame:
+    """Frame with the target's columns, by name, in its types; missing ones
+    are NULL. ``merge_types`` must have allowed it."""
+    have = {f.name.lower(): f for f in df.schema}
+    return df.select(*[
+        (_conform(F.col(f"`{have[f.name.lower()].name}`"), have[f.name.lower()].dataType, f.dataType)
+         if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in target])
+
+
+def evolve_table(spark: SparkSession, name: str, df: DataFrame, evolve: bool = True) -> StructType:
+    """Make the table hold every column and struct field of ``df``, and
+    return its schema. New columns are added to the catalog entry; new struct
+    fields need a rewrite. With ``evolve=False`` either raises, as does a
+    type that would lose values."""
+    old = spark.table(name).schema
+    merged = merge_types(old, df.schema, name)
+    known = {f.name.lower() for f in old}
+    new = [f for f in merged if f.name.lower() not in known]
+    deeper = [f.name for f, g in zip(old, merged) if not _same(f.dataType, g.dataType)]
+    if (new or deeper) and not evolve:
+        raise SchemaMismatch(f"{name} lacks {[f.name for f in new] + deeper}")
+    if deeper:
+        rewrite(spark, name, align_to(spark.table(name), merged))
+    elif new:
         spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
         spark.catalog.refreshTable(name)
-    return [f.name for f in new]
+    return spark.table(name).schema
 
 
 # ---------------------------------------------------------------- writes
@@ -186,44 +235,35 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
                 layout: bool = True) -> None:
     """Write ``df`` to catalog table ``name`` as parquet.
 
-    ``append`` adds rows by column name; with ``evolve`` new columns are added
-    to the table first and missing ones are written as NULL. A column whose
-    type would lose values in the table's type raises ``SchemaMismatch``
-    (safe widenings such as int → long are cast). ``overwrite``
-    replaces the table; on a partitioned table only the partitions present
-    in ``df`` are replaced (dynamic partition overwrite).
-
-    A partitioned write is first range-partitioned on (partition columns,
-    row hash) when ``layout`` is on: each partition value then lands in about
-    one file instead of one file per writing task, and a hot value still
-    spans several tasks.
+    ``append`` adds rows by column name. ``overwrite`` replaces the rows; on
+    a partitioned table only the partitions present in ``df`` (dynamic
+    partition overwrite). Either way the table first gets the columns and
+    struct fields that only ``df`` has, and columns that ``df`` lacks are
+    NULL. With ``evolve=False`` a new column raises ``SchemaMismatch``. So
+    does, always, a type whose values would not all fit the table's.
+
+    A partitioned write is rebalanced on the partition columns when
+    ``layout`` is on: a partition value lands in few files, and Spark splits
+    a hot one by size.
     """
     spark = df.sparkSession
     db = name.split(".")[0] if "." in name else None
     if db:
         ensure_database(spark, db, location)
-    recover_swap(spark, name)
     if created:
         df = with_audit(df, created=created)
     if partition_by and layout:
-        df = _layout(df, int(spark.conf.get("spark.sql.shuffle.partitions")), partition_by, ())
-    exists = table_exists(spark, name)
-    if exists and mode == "append":
-        check_compatible(df, spark.table(name).schema)
-        if evolve:
-            evolve_table(spark, name, df)
-        df = align_to(df, spark.table(name).schema, keep_new=False)
-    if exists and mode == "overwrite" and partition_by:
-        # Replace only the partitions present in df; columns by position, so
-        # align to the table's order first.
-        df = align_to(df, spark.table(name).schema, keep_new=False)
-        with _overwrite_mode(spark, "dynamic"):
-            df.write.insertInto(name, overwrite=True)
+        df = df.hint("rebalance", *partition_by)
+    if not table_exists(spark, name):
+        writer = df.write.format("parquet")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+        return
+    df = align_to(df, evolve_table(spark, name, df, evolve))
+    if mode == "overwrite" and not partition_by:
+        rewrite(spark, name, df)
         return
-    writer = df.write.format("parquet").mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    with _overwrite_mode(spark, "dynamic"):  # by position, in the table's order
+        df.write.insertInto(name, overwrite=mode == "overwrite")
 
 
 def append_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
@@ -232,106 +272,60 @@ def append_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
 
 
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
-                    created: str | None = "created_date") -> None:
-    """Full refresh. Written to a staging table and swapped in, so a
-    frame that reads the table itself can replace it, and readers never see
-    a half-written table."""
+                    created: str | None = "created_date", evolve: bool = True) -> None:
+    """Full refresh of every row. The frame may read the table itself.
+    Schemas merge as on any other write."""
     spark = df.sparkSession
     if created:
         df = with_audit(df, created=created)
     if not table_exists(spark, name):
-        write_table(df, name, "overwrite", partition_by, created=None)
+        write_table(df, name, "append", partition_by, created=None)
         return
-    _swap_in(spark, name, df, partition_by)
+    old = spark.table(name).schema
+    merged = merge_types(old, df.schema, name)
+    if not evolve and not _same(old, merged):
+        raise SchemaMismatch(f"{name} lacks fields of {df.schema.simpleString()}")
+    rewrite(spark, name, align_to(df, merged), partition_by)
+
+
+def stage(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Compute ``df`` once, into the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_if_any(df: DataFrame, sink: Callable[[DataFrame], None]) -> bool:
-    """Skip the write when there is nothing to load. ``isEmpty`` stops at
-    the first row instead of counting everything."""
-    if df.isEmpty():
+    """Skip the write when there is nothing to load. The frame is staged
+    first, so the test, the layout and the write all read its rows instead
+    of computing them again."""
+    held = stage(df, "increment")
+    if held.isEmpty():
         return False
-    sink(df)
+    sink(held)
     return True
 
 
 # ---------------------------------------------------------------- rewrites
-def recover_swap(spark: SparkSession, name: str) -> str | None:
-    """Finish a swap that a crash interrupted. A staging table or copy is
-    complete once it exists (the catalog entry is created after the write),
-    and every later step reads it:
-
-    * ``__staging_`` (unpartitioned swap): if ``name`` is missing, rename the
-      staging table in;
-    * ``__copy_`` (partitioned rewrite): the copy holds the full intended
-      content, so the overwrite is replayed from it (static: every
-      partition), which is idempotent;
-
-    then leftover staging, copy and backup tables are dropped. Returns the
-    table the content was restored from, if any."""
-    db, _, table = name.rpartition(".")
-    if db and not spark.catalog.databaseExists(db):
-        return None
-    listed = spark.catalog.listTables(db) if db else spark.catalog.listTables()
-    marks = ("__staging_", "__copy_", "__old_")
-    leftovers = [t.name for t in listed if any(t.name.startswith(table + m) for m in marks)]
-    if not leftovers:
-        return None
-    q = (lambda t: f"{db}.{t}") if db else (lambda t: t)
-    restored = None
-    copies = sorted(t for t in leftovers if "__copy_" in t)
-    staging = sorted(t for t in leftovers if "__staging_" in t)
-    if copies and table_exists(spark, name):
-        restored = q(copies[0])
-        out = align_to(spark.table(restored), spark.table(name).schema, keep_new=False)
+def rewrite(spark: SparkSession, name: str, df: DataFrame, partition_by: Sequence[str] | None = None,
+            layout: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Replace table ``name`` (rows and schema) by ``df``, which may read it.
+
+    ``df`` is written to a staging table first; ``layout`` of that is written
+    over the table. If the second step fails, the staging table stays and the
+    error names it."""
+    if partition_by is None:
+        partition_by = partition_columns(spark, name)
+    staging = f"{name}__staging_{uuid.uuid4().hex[:8]}"
+    df.write.format("parquet").saveAsTable(staging)
+    try:
+        held = spark.table(staging)
+        writer = (layout(held) if layout else held).write.format("parquet").mode("overwrite")
         with _overwrite_mode(spark, "static"):
-            out.write.insertInto(name, overwrite=True)
-    elif not table_exists(spark, name) and (staging or copies):
-        restored = q((staging or copies)[0])
-        spark.sql(f"ALTER TABLE {restored} RENAME TO {name}")
-        leftovers.remove((staging or copies)[0])
-    for t in leftovers:
-        spark.sql(f"DROP TABLE IF EXISTS {q(t)}")
-    return restored
-
-
-def _staging_name(name: str) -> str:
-    db, _, t = name.rpartition(".")
-    base = f"{t}__staging_{uuid.uuid4().hex[:8]}"
-    return f"{db}.{base}" if db else base
-
-
-def _swap_in(spark: SparkSession, name: str, df: DataFrame,
-             partition_by: Sequence[str] = (), layout=None, full_refresh: bool = True) -> None:
-    """Replace the rows of ``name`` with ``df`` without reading and writing
-    the same table in one job.
-
-    Unpartitioned: write ``layout(df)`` to a staging table, then rename it
-    over ``name``; a failed write leaves ``name`` untouched.
-
-    Partitioned: renaming would leave the catalog's partition locations
-    pointing at the old folder, so ``df`` is first written as-is to a staging
-    table (cutting its lineage to ``name``), then ``layout(staging)`` is
-    inserted over ``name``. Spark writes the new files aside and swaps each
-    partition at commit; the staging copy is dropped only after the commit,
-    so a failure leaves a full copy to retry from.
-    """
-    layout = layout or (lambda d: d)
-    recover_swap(spark, name)
-    staging = _staging_name(name)
-    if not partition_by:
-        layout(df).write.format("parquet").mode("overwrite").saveAsTable(staging)
-        backup = _staging_name(name).replace("__staging_", "__old_")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-        spark.sql(f"DROP TABLE {backup}")
-        spark.catalog.refreshTable(name)
-        return
-    staging = staging.replace("__staging_", "__copy_")
-    df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(staging)
-    target = spark.table(name).schema
-    out = align_to(layout(spark.table(staging)), target, keep_new=False)
-    with _overwrite_mode(spark, "static" if full_refresh else "dynamic"):
-        out.write.insertInto(name, overwrite=True)
+            (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    except Exception as e:
+        e.add_note(f"the new content of {name} is in {staging}")
+        raise
     spark.sql(f"DROP TABLE {staging}")
     spark.catalog.refreshTable(name)
 
@@ -383,8 +377,7 @@ def compact(spark: SparkSession, name: str, target_file_mb: int = DEFAULT_FILE_M
     size = table_bytes(spark, name)
     n = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
     pcols = partition_columns(spark, name)
-    _swap_in(spark, name, spark.table(name), pcols,
-             layout=lambda d: _layout(d, n, pcols, order), full_refresh=False)
+    rewrite(spark, name, spark.table(name), pcols, layout=lambda d: _layout(d, n, pcols, order))
     return RewriteStats(before, file_count(spark, name), size, n)
 
 

@@ -80,3 +80,23 @@ def test_salted_join_with_a_map_column(spark):
     small = spark.createDataFrame([(1, "x"), (2, "y")], "k INT, d STRING")
     got = J.salted_join(big, small, ["k"], n=3, broadcast_max_rows=None)
     assert sorted((r["k"], r["d"]) for r in got.collect()) == [(1, "x"), (1, "x"), (2, "y")]
+
+
+def test_measure_counts_what_is_inside_and_moves_no_rows(spark):
+    wide = spark.createDataFrame([(["x" * 300_000],), (None,)], "a ARRAY<STRING>")
+    assert J.measure_small(wide).bytes > 300_000
+    assert not J.measure_small(wide, max_bytes=100_000).small
+    deep = spark.createDataFrame([(({"k": ["y" * 5000]}, 1),)], "s STRUCT<m: MAP<STRING, ARRAY<STRING>>, n: INT>")
+    assert J.measure_small(deep).bytes > 5000
+    import inspect
+    assert "limit(" not in inspect.getsource(J.measure_small)
+
+
+def test_skew_join_never_moves_rows_without_key(spark):
+    big = spark.range(6000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"))
+    small = spark.range(40).select(F.col("id").alias("k"), F.lit("d").alias("d"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = J.skew_join(big, small, ["k"], how=how, share=0.01)
+        assert rows(got) == rows(big.join(small, "k", how))
+    empty = J.skew_join(big.filter("k is null"), small, ["k"], how="left")
+    assert empty.count() == 2000

@@ -66,7 +66,12 @@ def test_marts_never_pair_children_with_bridge(plan, name):
     assert not re.search(r"(ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)", p)
 
 
-def test_global_rank_numbers_within_ranges(plan):
+def test_global_rank_shuffles_rows_once(plan):
+    """Only the sizes of the ranges move after the checkpoint."""
     p = plan("global_rank")
-    assert re.search(r"Window \[row_number\(\) windowspecdefinition\(__pid", p)
-    assert not re.search(r"Window \[row_number\(\) windowspecdefinition\((n_orders|o_custkey)", p)
+    assert not re.search(r"row_number\(\)", p)
+    assert not re.search(r"Exchange hashpartitioning\((n_orders|o_custkey)", p)
+
+
+def test_gold_child_shuffles_full_rows_once(plan):
+    assert len(re.findall(r"Exchange hashpartitioning", plan("gold_child"))) == 1

@@ -86,7 +86,7 @@ def test_compaction_of_partitioned_table(spark, store):
     name = store.name("silver", "pp")
     df = spark.range(3000).select(F.col("id"), (F.col("id") % 3).cast("int").alias("p"),
                                   F.lit(dt.date(2024, 1, 1)).alias("d"))
-    K.write_table(df.repartition(10), name, "append", partition_by=["p"], created=None)
+    K.write_table(df.repartition(10), name, "append", partition_by=["p"], created=None, layout=False)
     st = K.compact(spark, name, target_file_mb=16)
     assert st.files_after < st.files_before
     assert K.partition_columns(spark, name) == ["p"]
@@ -106,8 +106,8 @@ def test_since_last_load_prunes_upstream(spark, store):
     K.append_table(spark.createDataFrame([(2,)], "id INT"), up)
     new = since_last_load(spark.table(up), spark.table(down), "created_date", "created_at")
     plan = new._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(created_date" in plan
-    assert rows(new.select("id")) == [(2,)]
+    assert "GreaterThanOrEqual(created_date" in plan
+    assert rows(new.select("id")) == [(1,), (2,)]       # equal stamps stay in
 
 
 def test_append_widens_safely_and_refuses_lossy_types(spark, store):
@@ -133,35 +133,65 @@ def test_partitioned_write_keeps_about_one_file_per_partition(spark, store):
     assert rows(spark.table(laid)) == rows(spark.table(raw))
 
 
-def test_recover_an_interrupted_swap(spark, store):
-    store.ensure_database("gold")
-    name = store.name("gold", "swap")
-    K.write_table(spark.createDataFrame([(1,)], "id INT"), name, "append", created=None)
-    # Crash after the staging write and the first rename: the table is gone,
-    # its new content sits in the staging table.
-    staging = K._staging_name(name)
-    spark.createDataFrame([(2,), (3,)], "id INT").write.format("parquet").saveAsTable(staging)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {K._staging_name(name).replace('__staging_', '__old_')}")
-    assert not K.table_exists(spark, name)
-    assert K.recover_swap(spark, name) == staging
-    assert rows(spark.table(name)) == [(2,), (3,)]
-    db = name.split(".")[0]
-    assert [t.name for t in spark.catalog.listTables(db) if "__" in t.name] == []
-    K.write_table(spark.createDataFrame([(4,)], "id INT"), name, "append", created=None)
-    assert rows(spark.table(name)) == [(2,), (3,), (4,)]
+LOSSY = [("BIGINT", "DOUBLE"), ("BIGINT", "DECIMAL(18,0)"), ("INT", "DECIMAL(10,1)"), ("INT", "FLOAT"), ("DOUBLE", "BIGINT"),
+         ("DECIMAL(10,2)", "DECIMAL(10,1)"), ("DECIMAL(10,2)", "DECIMAL(9,2)"), ("TIMESTAMP", "DATE"), ("BINARY", "STRING"),
+         ("STRUCT<a: BIGINT>", "STRUCT<a: INT>"), ("ARRAY<STRING>", "ARRAY<INT>"), ("ARRAY<INT>", "STRING")]
+SAFE = [("INT", "DECIMAL(12,2)"), ("BIGINT", "DECIMAL(19,0)"), ("SMALLINT", "FLOAT"), ("INT", "DOUBLE"), ("DATE", "TIMESTAMP"),
+        ("DECIMAL(10,2)", "DECIMAL(12,4)"), ("STRUCT<a: INT>", "STRUCT<b: STRING, a: BIGINT>"), ("MAP<STRING, INT>", "MAP<STRING, BIGINT>")]
+
+
+@pytest.mark.parametrize("src, tgt, ok", [(*x, False) for x in LOSSY] + [(*x, True) for x in SAFE])
+def test_widening_is_exact(src, tgt, ok):
+    from pyspark.sql.types import StructType
+    a, b = (StructType.fromDDL(f"x {t}")[0].dataType for t in (src, tgt))
+    assert K.widens_to(a, b) is ok
 
 
-def test_recover_an_interrupted_partitioned_rewrite(spark, store):
+@pytest.mark.parametrize("write", [
+    lambda d, n: K.append_table(d, n, created=None), lambda d, n: K.overwrite_table(d, n, created=None),
+    lambda d, n: K.write_table(d, n, "overwrite", partition_by=["p"], created=None)])
+def test_no_write_path_loses_values(spark, store, write):
     store.ensure_database("silver")
-    name = store.name("silver", "prw")
-    df = spark.createDataFrame([(1, 2024), (2, 2025)], "id INT, p INT")
-    K.write_table(df, name, "append", partition_by=["p"], created=None)
-    # Crash during the insert: a full copy exists, the table is half-replaced.
-    copy = K._staging_name(name).replace("__staging_", "__copy_")
-    spark.createDataFrame([(10, 2024), (20, 2025)], "id INT, p INT").write.format("parquet") \
-        .partitionBy("p").saveAsTable(copy)
-    with K._overwrite_mode(spark, "dynamic"):
-        spark.createDataFrame([(10, 2024)], "id INT, p INT").write.insertInto(name, overwrite=True)
-    assert K.recover_swap(spark, name) == copy
-    assert rows(spark.table(name)) == [(10, 2024), (20, 2025)]
-    assert not K.table_exists(spark, copy)
+    name = store.name("silver", "lossless")
+    K.write_table(spark.createDataFrame([(1, 2)], "a INT, p INT"), name, partition_by=["p"], created=None)
+    with pytest.raises(K.SchemaMismatch):
+        write(spark.createDataFrame([("x", 2)], "a STRING, p INT"), name)
+    assert rows(spark.table(name)) == [(1, 2)]
+    write(spark.createDataFrame([(5, 7, 3)], "a INT, extra INT, p INT"), name)
+    assert (5, 7, 3) in {(r["a"], r["extra"], r["p"]) for r in spark.table(name).collect()}
+
+
+def test_new_columns_raise_without_evolve(spark, store):
+    store.ensure_database("bronze")
+    name = store.name("bronze", "fixed")
+    K.append_table(spark.createDataFrame([(1,)], "a INT"), name, created=None)
+    more = spark.createDataFrame([(1, 2)], "a INT, b INT")
+    for write in (lambda: K.append_table(more, name, evolve=False, created=None),
+                  lambda: K.overwrite_table(more, name, evolve=False, created=None)):
+        with pytest.raises(K.SchemaMismatch):
+            write()
+    assert spark.table(name).columns == ["a"]
+
+
+def test_nested_evolution_of_a_partitioned_table(spark, store):
+    store.ensure_database("bronze")
+    name = store.name("bronze", "nested")
+    K.write_table(spark.createDataFrame([(("x",), 1)], "s STRUCT<a: STRING>, p INT"), name, partition_by=["p"], created=None)
+    K.write_table(spark.createDataFrame([((2, None), 2), (None, 1)], "s STRUCT<b: INT, a: STRING>, p INT"), name,
+                  partition_by=["p"], created=None)
+    assert K.partition_columns(spark, name) == ["p"]
+    got = {(r["p"], r["s"] and tuple(r["s"])) for r in spark.table(name).collect()}
+    assert got == {(1, ("x", None)), (2, (None, 2)), (1, None)}
+    assert not [t for t in spark.catalog.listTables(name.split(".")[0]) if "staging" in t.name]
+
+
+def test_an_increment_is_computed_once(spark, store):
+    store.ensure_database("gold")
+    seen = spark.sparkContext.accumulator(0)
+
+    def tick(batches):
+        seen.add(1)
+        yield from batches
+    df = spark.range(10).repartition(1).mapInArrow(tick, "id long").withColumn("p", F.col("id") % 2)
+    assert K.write_if_any(df, lambda d: K.append_table(d, store.name("gold", "once"), ["p"]))
+    assert seen.value == 1
