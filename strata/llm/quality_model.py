@@ -61,8 +61,8 @@ def document_statistics(t: Texts) -> np.ndarray:
     length = t.end - t.start
     hashes = span_hashes(b, t.start, t.end)
     kinds, most = _distinct(t.doc, hashes, t.n)
-    same_doc = t.doc[1:] == t.doc[:-1]
-    stutter = np.append(False, same_doc & (hashes[1:] == hashes[:-1]))
+    stutter = np.zeros(len(hashes), dtype=bool)
+    stutter[1:] = (t.doc[1:] == t.doc[:-1]) & (hashes[1:] == hashes[:-1])
     triple = np.flatnonzero(t.doc[2:] == t.doc[:-2]) if len(hashes) > 2 else np.empty(0, dtype=np.int64)
     with np.errstate(over="ignore"):
         three = hashes[triple] * np.uint64(3) + hashes[triple + 1] * np.uint64(5) + (

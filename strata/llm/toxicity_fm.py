@@ -38,6 +38,8 @@ FACTORS = 8
 def word_terms(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) of every term of every text, each once, text by text."""
     b = t.buf
+    if not len(b):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     letter = (b >= 48) & (b <= 57) | (b >= 97) & (b <= 122) | (b >= 128)
     edge = np.zeros(len(b) + 1, dtype=bool)
     edge[t.bounds] = True
