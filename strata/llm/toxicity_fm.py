@@ -92,13 +92,30 @@ class Machine:
         return self.bias + linear + 0.5 * ((sums ** 2).sum(1) - squares), sums
 
 
-def select_buckets(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """The buckets whose rows' toxic share differs clearly from the sample's."""
-    rows = np.bincount(bucket, minlength=BUCKETS).astype(float)
-    toxic = np.bincount(bucket, y[doc], BUCKETS)
-    share = y.mean()
+def telling(rows: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
+    """Which buckets to keep: those whose toxic share among the ``rows`` that
+    have them differs clearly from the sample's ``share``."""
     z = (toxic - rows * share) / np.sqrt(np.maximum(rows * share * (1 - share), 1e-9))
-    return np.flatnonzero((rows >= LEAST_ROWS) & (np.abs(z) >= LEAST_Z))
+    return (rows >= LEAST_ROWS) & (np.abs(z) >= LEAST_Z)
+
+
+def select_terms(y: np.ndarray, parts: list[pa.ListArray]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of the terms in kept buckets. ``parts`` hold the buckets
+    of one row after the other; one part is expanded at a time."""
+    def expanded() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        at = 0
+        for part in parts:
+            size = part.value_lengths().to_numpy(zero_copy_only=False)
+            yield at + np.repeat(np.arange(len(part)), size), part.flatten().to_numpy(zero_copy_only=False)
+            at += len(part)
+
+    rows, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for doc, bucket in expanded():
+        rows += np.bincount(bucket, minlength=BUCKETS)
+        toxic += np.bincount(bucket, y[doc], BUCKETS)
+    keep = telling(rows, toxic, y.mean() if len(y) else 0.5)
+    kept = [(doc[k], bucket[k].astype(np.int64)) for doc, bucket in expanded() for k in [keep[bucket]]]
+    return tuple(np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.empty(0, np.int64),) * 2
 
 
 def fit(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray, epochs: int = 12, batch: int = 256,
@@ -110,7 +127,7 @@ def fit(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray, epochs: int = 12, ba
     place = np.full(BUCKETS, -1, dtype=np.int32)
     if not len(y) or y.min() == y.max():
         return Machine(bias, place, np.zeros(0), np.zeros((0, FACTORS)))
-    kept = select_buckets(y, doc, bucket)
+    kept = np.flatnonzero(telling(np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket, y[doc], BUCKETS), y.mean()))
     place[kept] = np.arange(len(kept))
     at = place[bucket]
     doc, at = doc[at >= 0], at[at >= 0].astype(np.int64)
@@ -163,12 +180,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
     lowered = training_rows(docs, labels, "toxic", rows).select(F.lower("text").alias("text"), "label")
     sample = lowered.mapInArrow(terms, "terms array<int>, label int").toArrow()
-    lists = sample.column("terms").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
     y = (sample.column("label").to_numpy() > 0).astype(float)
-    doc = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-    machine = fit(y, doc, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+    machine = fit(y, *select_terms(y, sample.column("terms").chunks))
     sent = docs.sparkSession.sparkContext.broadcast(machine)  # about 2 MB at most
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
