@@ -203,14 +203,19 @@ def pattern_code(stats: str, rules: Sequence[Rule]) -> Column:
     return code
 
 
+def fit_patterns(counts: DataFrame, rules: int) -> dict[int, float]:
+    """The posterior quality of each vote pattern, by its code, from the
+    (code, n) rows of all that occur: at most 3 ** rules."""
+    counts = dict(tuple(r) for r in counts.collect())
+    votes = {c: tuple(c // 3 ** k % 3 - 1 for k in reversed(range(rules))) for c in counts}
+    model = fit_label_model({votes[c]: n for c, n in counts.items()}, rules)
+    return {c: model.quality(v) for c, v in votes.items()}
+
+
 def learn_rules(with_stats: DataFrame, stats: str, rules: Sequence[Rule] = RULES) -> dict[int, float]:
-    """Fit the label model to the votes of every row. Returns the posterior
-    quality of each vote pattern that occurs, by its code."""
+    """Fit the label model to the votes of every row."""
     code = pattern_code(stats, rules).alias("code")
-    counts = {r["code"]: r["n"] for r in with_stats.groupBy(code).agg(F.count(F.lit(1)).alias("n")).collect()}
-    votes = {c: tuple(c // 3 ** k % 3 - 1 for k in reversed(range(len(rules)))) for c in counts}
-    model = fit_label_model({votes[c]: n for c, n in counts.items()}, len(rules))
-    return {c: model.quality(v) for c, v in votes.items()}
+    return fit_patterns(with_stats.groupBy(code).agg(F.count(F.lit(1)).alias("n")), len(rules))
 
 
 def base_failed(stats: str) -> Column:
@@ -243,9 +248,14 @@ def quality_verdicts(docs: DataFrame, keys: Sequence[str], text: str = "text",
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` without the rows that the verdict rejects (among them those
-    with NULL or empty text). The model is fitted to every row; the verdict
-    is a filter on the rows as they are read, so nothing is joined."""
-    stats = fresh(docs, "__stats")
-    marked = with_statistics(docs, stats, text)
-    good = [code for code, q in learn_rules(marked, stats, rules).items() if q >= 0.5]
-    return marked.where(~base_failed(stats) & pattern_code(stats, rules).isin(good)).drop(stats)
+    with NULL or empty text). The model is fitted to every row. The rows that
+    pass the base check are staged with their vote pattern, so the statistics
+    are worked out once, and the verdict is a filter on them; nothing is joined.
+    """
+    stats, code, good = fresh(docs, "__stats"), fresh(docs, "__code"), fresh(docs, "__base_good")
+    marked = with_statistics(docs, stats, text).withColumn(code, pattern_code(stats, rules)).withColumn(
+        good, ~base_failed(stats)).drop(stats)
+    held = staged(marked.withColumn(text, F.when(F.col(good), F.col(f"`{text}`"))), "voted")  # the others have been read
+    qualities = fit_patterns(held.groupBy(code).agg(F.count(F.lit(1)).alias("n")), len(rules))
+    kept = [c for c, q in qualities.items() if q >= 0.5]
+    return held.where(F.col(good) & F.col(code).isin(kept)).drop(code, good)
