@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD_BREAK, fresh, staged
+from strata.llm.common import WORD_BREAK, fresh, let, staged
 
 
 @dataclass(frozen=True)
@@ -44,19 +44,19 @@ def line_words(line: Column) -> Column:
     return F.filter(F.split(line, WORD_BREAK), lambda w: w != "")
 
 
-def generalised(words: Column) -> Column:
-    """Words with those that hold a digit replaced by the variable field."""
-    return F.transform(words, lambda w: F.when(w.rlike("[0-9]"), F.lit(ANY)).otherwise(w))
+def generalised(word: Column) -> Column:
+    """The word, or the variable field if it holds a digit."""
+    return F.when(word.rlike("[0-9]"), F.lit(ANY)).otherwise(word)
 
 
 def document_lines(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
-    """(id, text_key, line, words, leaf) for each line of ``least_words`` words
+    """(id, text_key, line, said, leaf) for each line of ``least_words`` words
     or more; ``line`` is its number in the document."""
     lines = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
                         F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line", "said"))
-    lines = lines.withColumn("words", generalised(line_words(F.col("said")))).where(F.size("words") >= s.least_words)
-    leaf = F.xxhash64(F.size("words"), F.slice("words", 1, s.depth))
-    return lines.select("id", "text_key", "line", "words", leaf.alias("leaf"))
+    leaf = let(line_words(F.col("said")), lambda words: F.when(F.size(words) >= s.least_words, F.xxhash64(
+        F.size(words), *[generalised(F.get(words, k)) for k in range(s.depth)])))
+    return lines.withColumn("leaf", leaf).where("leaf is not null")
 
 
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -70,7 +70,8 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     leaves = lines.select("leaf", doc.alias("doc")).distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     # staged tables are shuffled for their joins, which lets Spark split a hot leaf's lines
     leaves = staged(leaves.where(F.col("n") >= s.least_docs).select("leaf"), "shared-leaves")
-    shared = staged(lines.join(leaves, "leaf"), "shared-lines")
+    shared = staged(lines.join(leaves, "leaf").select(
+        "id", "text_key", "line", "leaf", F.transform(line_words(F.col("said")), generalised).alias("words")), "shared-lines")
 
     variants = shared.groupBy("leaf", "words").agg(F.count(F.lit(1)).alias("n"))
     places = variants.select("leaf", "n", F.posexplode("words").alias("at", "word"))
@@ -108,7 +109,7 @@ def drop_recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         F.collect_set("line").alias(gone)), "dropped-lines")  # as many as one text has lines
     on = F.col(f"`{doc_id}`").eqNullSafe(F.col(fid)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(fkey))
     columns = docs.columns
-    out = docs.join(marks, on, "left")
+    out = docs.join(marks.hint("merge"), on, "left")  # it grows with the corpus: never broadcast
     left = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda x, i: ~F.array_contains(F.col(gone), i))
     n = fresh(docs, "n_dropped")
     return out.select(
