@@ -80,6 +80,40 @@ FROM placed GROUP BY conv_id
 """
 
 
+OP4_SQL = r"""
+WITH split AS (
+  SELECT doc_id, string_split(text, chr(10)) AS ls FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+lines AS (
+  SELECT doc_id, i AS line, ls[i] AS said FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM split)),
+words AS (
+  SELECT doc_id, line, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END
+    for x in regexp_split_to_array(said, '[\x20\x09-\x0D]+') if x <> ''] AS w
+  FROM lines),
+long AS (SELECT *, len(w) || ' ' || array_to_string(w[1:3], ' ') AS leaf FROM words WHERE len(w) >= 5),
+leaves AS (SELECT leaf FROM long GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
+places AS (
+  SELECT doc_id, line, leaf, i AS pos, w[i] AS word
+  FROM (SELECT long.*, unnest(range(1, len(w) + 1)) AS i FROM long JOIN leaves USING (leaf))),
+counted AS (SELECT leaf, pos, word, count(*) AS n FROM places GROUP BY ALL),
+kept AS (
+  SELECT leaf, pos, max({'n': n, 'word': word}) AS top FROM counted GROUP BY leaf, pos
+  HAVING max(n) >= 0.5 * sum(n)),
+fitted AS (
+  SELECT doc_id, line, count(*) AS n, count(*) FILTER (word <> '<*>' AND word = top.word) AS same,
+    string_agg(coalesce(top.word, '<*>'), ' ' ORDER BY pos) AS general, string_agg(word, ' ' ORDER BY pos) AS own
+  FROM places LEFT JOIN kept USING (leaf, pos) GROUP BY doc_id, line),
+named AS (SELECT doc_id, line, CASE WHEN same >= CAST(0.7 AS DOUBLE) * n THEN general ELSE own END AS template FROM fitted),
+gone AS (
+  SELECT doc_id, line FROM named WHERE template IN (
+    SELECT template FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 5)),
+rest AS (
+  SELECT l.doc_id, string_agg(said, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS text, count(g.line) AS n
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line = g.line GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN r.n > 0 THEN coalesce(r.text, '') ELSE d.text END AS text, coalesce(r.n, 0) AS n_dropped
+FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
+"""
+
+
 def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_templates.drop_recurring_lines(docs)
@@ -116,7 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_html_extract, op2_quality_model, op3_preference_pairs, op4_line_templates, op5_toxicity_fm,
         op6_quality_rules, op7_simhash_dedup, op8_decontaminate, op9_token_shards, op10_mixing)
 }
-ORACLE: dict[str, str] = {"op3_preference_pairs": OP3_SQL}
+ORACLE: dict[str, str] = {"op3_preference_pairs": OP3_SQL, "op4_line_templates": OP4_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
