@@ -1,8 +1,8 @@
 """Incremental-load operators: high-water mark, key and version increments,
 latest version per key.
 
-Only aggregate rows reach the driver: the high-water mark, and the bounded
-size measurement of a batch's keys. A batch whose keys measure small probes
+Only aggregate rows reach the driver: the high-water mark, and the measured
+size of a batch's keys. A batch whose keys measure small probes
 the target through a broadcast of those keys (the target is scanned, never
 shuffled). Otherwise every step is a shuffle on the key after map-side
 pre-aggregation, so a key holding a large share of the rows is reduced
