@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from itertools import islice
 
 import pytest
 
@@ -72,3 +73,30 @@ def test_hot_source_is_numbered_in_parts(spark):
     docs = spark.range(6000).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 50)) as source")
     rows = mixture(docs)
     assert len({r["doc_id"] for r in rows}) == 6000
+
+
+@pytest.mark.parametrize("weights, slots", [
+    ([500_000 ** M.TEMPERATURE] * 20, 156_873), ([1e9 ** M.TEMPERATURE, 1.0], 200_000), ([0.1 + 0.37 * k for k in range(11)], 50_000)])
+def test_deviation_does_not_grow_with_the_corpus(weights, slots):
+    exact, had = M.exact_weights(weights), [0] * len(weights)
+    total = sum(exact)
+    for t, (k, i) in enumerate(islice(M.schedule(exact), slots), 1):
+        assert had[k] == i
+        had[k] += 1
+        assert abs(had[k] * total - exact[k] * t) < total
+        if t % 97 == 0 or t == slots:
+            assert all(abs(h * total - w * t) < total for h, w in zip(had, exact, strict=True))
+
+
+def test_long_mixture_follows_the_weights(spark):
+    """More slots than a frame of 4,096; the light source is not read more often than its weight calls for."""
+    docs = spark.range(30_001).selectExpr("id as doc_id", "if(id = 0, 'light', concat('s', id % 7)) as source")
+    weights = {"light": 0.0001, **{f"s{k}": 1.0 + k / 3 for k in range(7)}}
+    rows = M.mix(docs, weights=weights, block_rows=2).select("source", "slot", "mix_row").collect()
+    assert sorted(r["mix_row"] for r in rows) == list(range(len(rows)))
+    of = sorted({(r["slot"], r["source"]) for r in rows})
+    assert len(of) == of[-1][0] + 1 > 4096
+    had, total = Counter(), sum(weights.values())
+    for t, (_, s) in enumerate(of, 1):
+        had[s] += 1
+        assert all(abs(had[x] - w / total * t) < 1 + 1e-6 for x, w in weights.items())
