@@ -13,8 +13,11 @@ example, whose size does not depend on the size of the corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.llm.common import staged
 
 #: The chat template.
 HEAD, AFTER_ROLE, TAIL = "<|im_start|>", "\n", "<|im_end|>\n"
@@ -84,20 +87,40 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, pair: str = "pair",
         prompt(rest("b")).alias("rejected"), mask(rest("b")).alias("rejected_mask"))
 
 
+def next_in_order(ids: DataFrame) -> DataFrame:
+    """(pair, next) of the distinct values ``pair`` of ``ids``: the next greater
+    one, and the smallest for the greatest. A single value gives no row."""
+    # staged, so that the parts stay the same; only their ends meet in one place
+    parts = staged(ids.repartitionByRange("pair").select("pair", F.spark_partition_id().alias("part")), "pair-order")
+    ends = parts.groupBy("part").agg(F.min("pair").alias("first"), F.max("pair").alias("pair")).orderBy("part").collect()
+    after = [r["first"] for r in ends[1:]] + [r["first"] for r in ends[:1]]
+    over = parts.sparkSession.createDataFrame(
+        [(r["pair"], to) for r, to in zip(ends, after, strict=True)],
+        T.StructType([T.StructField(c, parts.schema["pair"].dataType) for c in ("pair", "to")]))
+    within = F.lead("pair").over(Window.partitionBy("part").orderBy("pair"))
+    out = parts.select("pair", within.alias("within")).join(F.broadcast(over), "pair", "left")  # one row a part
+    return out.select("pair", F.coalesce("within", "to").alias("next")).where("next <> pair")
+
+
 def paired_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected conversations out of plain ones, paired by conv_id.
 
     Chosen is a conversation up to its last assistant turn. Rejected is the
     same one with that answer exchanged for the last answer of its neighbour
-    (conv_id 2k and 2k + 1 are neighbours): fluent, and off the point. A
-    conversation without assistant turn, or without such a neighbour, has no
-    pair. Repeated turns and NULLs as in ``one_row_per_turn``.
+    (conv_id 2k and 2k + 1 are neighbours): fluent, and off the point. If the
+    neighbour is missing or has no answer, the next answered conversation in
+    the order of conv_id takes its place, after the last one the first. Only a
+    conversation without assistant turn, or the only one with an answer, has
+    no pair. Repeated turns and NULLs as in ``one_row_per_turn``.
     """
     turns = one_row_per_turn(conversations, "conv_id", "turn", "role", "text")
-    answers = turns.where(F.col("role") == TRAINED_ROLE).groupBy("pair").agg(
-        F.max(F.struct("turn", "text")).alias("last"))
-    other = answers.select(F.col("pair").bitwiseXOR(F.lit(1).cast("long")).alias("pair"),
-                           F.col("last.text").alias("instead"))
+    answers = staged(turns.where(F.col("role") == TRAINED_ROLE).groupBy("pair").agg(
+        F.max(F.struct("turn", "text")).alias("last")), "last-answers")
+    ids = answers.select("pair")
+    beside = ids.select(F.col("pair").bitwiseXOR(F.lit(1).cast("long")).alias("pair"), F.col("pair").alias("beside"))
+    other = ids.join(next_in_order(ids), "pair").join(beside, "pair", "left").select(
+        "pair", F.coalesce("beside", "next").alias("other"))
+    other = other.join(answers.select(F.col("pair").alias("other"), F.col("last.text").alias("instead")), "other").drop("other")
     ends = answers.select("pair", F.col("last.turn").alias("end")).join(other, "pair")
     chosen = turns.join(ends, "pair").where("turn <= end")
     rejected = chosen.withColumn("text", F.when(F.col("turn") == F.col("end"), F.col("instead")).otherwise(F.col("text")))

@@ -74,3 +74,17 @@ def test_pairs_of_the_table(spark):
     a = {c: turns[:last[c] + 1] for c, turns in talks.items() if last[c] is not None and last.get(c ^ 1) is not None}
     b = {c: turns[:-1] + [("assistant", talks[c ^ 1][last[c ^ 1]][1])] for c, turns in a.items()}
     assert got == expected(a, b) and got
+
+
+def test_no_answered_conversation_is_lost(spark):
+    """Ids without an answered neighbour get the next answer in order, the last the first."""
+    ids = [-7, 0, 4, 5, 8, 20, 21]  # 20 has no answer
+    rows = [(c, 0, "user", f"q{c}") for c in ids] + [(c, 1, "assistant", f"a{c}") for c in ids if c != 20]
+    other = {-7: 0, 0: 4, 4: 5, 5: 4, 8: 21, 21: -7}
+    got = result(C.preference_pairs(*C.paired_answers(spark.createDataFrame(rows, TURN.replace("pair", "conv_id")))))
+    assert got == expected({c: [("user", f"q{c}"), ("assistant", f"a{c}")] for c in other},
+                           {c: [("user", f"q{c}"), ("assistant", f"a{o}")] for c, o in other.items()})
+    even = spark.range(2000).selectExpr("id * 2 as pair")
+    ring = {r["pair"]: r["next"] for r in C.next_in_order(even).collect()}
+    assert ring == {2 * k: 2 * (k + 1) % 4000 for k in range(2000)}
+    assert C.next_in_order(even.limit(1)).count() == 0 and C.next_in_order(even.limit(0)).count() == 0
