@@ -28,13 +28,15 @@ class Settings:
     """``depth`` leading words lead to a leaf. A word stays in a template if
     ``steady`` of the leaf's documents have it there; a line fits if ``alike``
     of its words are the template's. Templates of ``least_docs`` documents or
-    more, and of ``least_words`` words or more, are dropped."""
+    more are dropped. Clean texts share short lines sooner, so templates of
+    fewer than ``least_words`` words need ``short_docs`` documents."""
 
     depth: int = 3
     steady: float = 0.5
     alike: float = 0.7
     least_docs: int = 5
     least_words: int = 5
+    short_docs: int = 10
 
 
 ANY = "<*>"
@@ -49,29 +51,45 @@ def generalised(word: Column) -> Column:
     return F.when(word.rlike("[0-9]"), F.lit(ANY)).otherwise(word)
 
 
+def generalised_words(words: Column, s: Settings, first: int | None = None) -> Column:
+    """``words`` (or the ``first`` ones) with variable fields. A line of
+    ``depth`` words or fewer that all hold digits would be nothing but fields:
+    it stays as it is."""
+    bare = (F.size(words) <= s.depth) & F.forall(words, lambda w: w.rlike("[0-9]"))
+    return F.when(bare, words).otherwise(F.transform(words if first is None else F.slice(words, 1, first), generalised))
+
+
+def needed_docs(words: Column, s: Settings) -> Column:
+    return F.when(F.size(words) >= s.least_words, s.least_docs).otherwise(max(s.least_docs, s.short_docs))
+
+
 def document_lines(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
-    """(id, text_key, line, said, leaf) for each line of ``least_words`` words
-    or more; ``line`` is its number in the document."""
+    """(id, text_key, line, said, leaf, needs) for each line that is not blank;
+    ``line`` is its number in the document, ``needs`` how many documents its
+    template must be in."""
     lines = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
                         F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line", "said"))
-    leaf = let(line_words(F.col("said")), lambda words: F.when(F.size(words) >= s.least_words, F.xxhash64(
-        F.size(words), *[generalised(F.get(words, k)) for k in range(s.depth)])))
-    return lines.withColumn("leaf", leaf).where("leaf is not null")
+    found = let(line_words(F.col("said")), lambda words: F.when(F.size(words) > 0, F.struct(
+        F.xxhash64(F.size(words), generalised_words(words, s, s.depth)).alias("leaf"),
+        needed_docs(words, s).alias("needs"))))
+    return lines.withColumn("found", found).where("found is not null").select(
+        "id", "text_key", "line", "said", "found.leaf", "found.needs")
 
 
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     settings: Settings = Settings()) -> DataFrame:
     """(id, text_key, line, template, n_docs) of every line whose template
-    ``least_docs`` documents or more hold. Documents are told apart by id and
+    enough documents hold. Documents are told apart by id and
     text, so repeated rows count once."""
     s = settings
     lines = document_lines(docs, doc_id, text, s)
     doc = F.xxhash64("id", "text_key")
-    leaves = lines.select("leaf", doc.alias("doc")).distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    leaves = lines.select("leaf", "needs", doc.alias("doc")).distinct().groupBy("leaf", "needs").agg(F.count(F.lit(1)).alias("n"))
     # staged tables are shuffled for their joins, which lets Spark split a hot leaf's lines
-    leaves = staged(leaves.where(F.col("n") >= s.least_docs).select("leaf"), "shared-leaves")
+    leaves = staged(leaves.where("n >= needs").select("leaf"), "shared-leaves")
     shared = staged(lines.join(leaves, "leaf").select(
-        "id", "text_key", "line", "leaf", F.transform(line_words(F.col("said")), generalised).alias("words")), "shared-lines")
+        "id", "text_key", "line", "leaf", let(line_words(F.col("said")), lambda words: generalised_words(words, s)).alias("words")),
+        "shared-lines")
 
     variants = shared.groupBy("leaf", "words").agg(F.count(F.lit(1)).alias("n"))
     places = variants.select("leaf", "n", F.posexplode("words").alias("at", "word"))
@@ -87,9 +105,10 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.element_at(F.col("kept"), i) == w, F.lit(False))))
     general = F.transform("words", lambda w, i: F.coalesce(F.element_at(F.col("kept"), i), F.lit(ANY)))
     template = F.concat_ws(" ", F.when(same >= s.alike * F.size("words"), general).otherwise(F.col("words")))
-    fitted = fitted.select("id", "text_key", "line", template.alias("template"), doc.alias("doc"))
-    counts = fitted.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n_docs"))
-    counts = staged(counts.where(F.col("n_docs") >= s.least_docs), "recurring-templates")
+    fitted = fitted.select("id", "text_key", "line", template.alias("template"),
+                           needed_docs(F.col("words"), s).alias("needs"), doc.alias("doc"))
+    counts = fitted.select("template", "needs", "doc").distinct().groupBy("template", "needs").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = staged(counts.where("n_docs >= needs").drop("needs"), "recurring-templates")
     return fitted.join(counts, "template").select("id", "text_key", "line", "template", "n_docs")
 
 

@@ -88,3 +88,12 @@ def test_hot_line(spark):
 def test_main_path_is_native(spark):
     plan = L.drop_recurring_lines(table(spark, SF_SMALL, "documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_short_lines(spark):
+    """Boilerplate of one to four words goes; numbers alone are no template."""
+    own = [f"own text of {a}{b} and more" for a in "abc" for b in "defg"]
+    rows = [(k, f"{x}\nAll rights reserved.\nShare\n\npage {k}\n{k}77\n 42 \nIn nine texts{' only' if k > 8 else ''}") for k, x in enumerate(own)]
+    out = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in L.drop_recurring_lines(
+        spark.createDataFrame(rows, DOC), settings=L.Settings(alike=0.99)).collect()}
+    assert out == {k: (f"{x}\n\n{k}77\nIn nine texts{' only' if k > 8 else ''}", 4) for k, x in enumerate(own)}
