@@ -1,7 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts and test items are compared as word sequences after lower-casing and
-dropping everything but letters, marks and digits. An item of n words may
+dropping everything but letters, marks and digits; in scripts written without
+spaces every character is a word. An item of n words may
 occur with up to n // WORDS_PER_EDIT word edits. Cut into one more piece than
 that, at least one piece occurs unchanged, so exact piece hits (one
 Aho-Corasick pass over each whole text) find every candidate place, and the
@@ -24,8 +25,12 @@ from pyspark.sql import functions as F
 from strata.llm.common import fresh
 
 WORDS_PER_EDIT = 8
-#: Items of fewer words are phrases that clean texts also hold; none are searched.
-MIN_ITEM_WORDS = 6
+#: Every item with a word is searched; one under WORDS_PER_EDIT words is found
+#: only where it occurs unchanged, as a run of whole words.
+MIN_ITEM_WORDS = 1
+#: Characters of scripts that put no spaces between words.
+UNSPACED = "[" + "".join(rf"\p{{Is{s}}}" for s in (
+    "Han", "Hiragana", "Katakana", "Bopomofo", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")) + "]"
 BLOCK_BYTES = 16 << 20
 
 Item = tuple[int, str]
@@ -34,7 +39,8 @@ Hit = tuple[int, int, int, int]
 
 def plain_words(text: Column) -> Column:
     """Lower-case words of ``text``, one space between them."""
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", " "))
+    spaced = F.regexp_replace(F.lower(text), UNSPACED, " $0 ")
+    return F.trim(F.regexp_replace(spaced, r"[^\p{L}\p{M}\p{N}]+", " "))
 
 
 def pieces_of(words: list[str], edits: int) -> list[tuple[int, str]]:
@@ -120,10 +126,10 @@ def _matcher(items: tuple[Item, ...]) -> Matcher:
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
                 block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
     """The distinct items as frames (item_id, words) of about ``block_bytes``
-    of text each. NULL ids and texts, and items under MIN_ITEM_WORDS words,
-    are left out."""
+    of text each. NULL ids and texts, and items without words, are left
+    out."""
     words = benchmark.select(F.col(item_id).cast("long").alias("item_id"), plain_words(F.col(text)).alias("words"))
-    words = words.where("item_id is not null and words is not null").where(
+    words = words.where("item_id is not null and words <> ''").where(
         F.size(F.split("words", " ")) >= MIN_ITEM_WORDS).distinct()
     total = words.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     blocks = -(-total // block_bytes)

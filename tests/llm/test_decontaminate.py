@@ -113,3 +113,14 @@ def test_awkward_rows(spark, awkward, clashing, no_docs):
     assert D.contaminated(no_docs, bench).count() == 0 and D.drop_contaminated(no_docs, bench).count() == 0
     none = bench.limit(0)
     assert D.contaminated(awkward, none).count() == 0 and D.drop_contaminated(awkward, none).count() == awkward.count()
+
+
+def test_short_and_unspaced_items(spark):
+    """Short items are found as whole word runs, unspaced scripts by characters."""
+    items = [(1, "Who wrote Pride and Prejudice?"), (2, "H2O"), (3, "誰が高慢と偏見を書きましたか"), (4, "ใครเขียนเรื่องนี้"), (5, "?!"), (6, "")]
+    docs = [(1, "Q: who wrote pride, and prejudice? A: Austen"), (2, "who wrote pride and prejudices"), (3, "water is h2o."), (4, "h2o2"),
+            (5, "問題:誰が高慢と偏見を書きましたか。"), (6, "問題:誰が高慢と偏見を読きましたか。"), (7, "誰が偏見を書いた"), (8, "ถาม ใครเขียนเรื่องนี้ ตอบ"), (9, "who wrote it")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in D.contaminated(d, b).collect()}
+    assert got == {(1, 1, 0), (3, 2, 0), (5, 3, 0), (6, 3, 1), (8, 4, 0)}
+    assert {r["doc_id"] for r in D.drop_contaminated(d, b).collect()} == {2, 4, 7, 9}
