@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     chat_format,
+    context_tree,
     decontaminate,
     html_extract,
     line_templates,
     mixing,
+    prefix_trie,
     quality_model,
     quality_rules,
     simhash,
     token_shards,
     toxicity_fm,
+    vector_codes,
 )
 from strata.llm.common import table
 
@@ -145,12 +148,100 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.language_scores(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _kmeans_round(k: int) -> str:
+    """SQL of round k: parts assigned to entries e{k}, and the entries after it."""
+    return f"""
+a{k} AS (
+  SELECT rid, p.part, min({{'d': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), 'entry': entry}}) AS best
+  FROM parts p JOIN e{k} ON p.part = e{k}.part GROUP BY rid, p.part),
+s{k} AS (
+  SELECT part, entry, place, CAST(floor(CAST(sum(x[place]) AS DOUBLE) / count(*)) AS BIGINT) AS c
+  FROM (SELECT p.part, a.best.entry AS entry, x, unnest(range(1, len(x) + 1)) AS place FROM parts p JOIN a{k} a ON p.rid = a.rid AND p.part = a.part)
+  GROUP BY ALL),
+n{k} AS (SELECT part, entry, list(c ORDER BY place) AS c FROM s{k} GROUP BY part, entry),
+e{k + 1} AS (SELECT e.part, e.entry, coalesce(n.c, e.c) AS c FROM e{k} e LEFT JOIN n{k} n ON e.part = n.part AND e.entry = n.entry),"""
+
+
+#: For vectors of one length that 16 divides, and distinct vec_ids.
+OP12_SQL = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    [CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT) for y in embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([1 for y in embedding if y IS NULL OR NOT isfinite(y)]) = 0),
+parts AS MATERIALIZED (
+  SELECT rid, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS x
+  FROM (SELECT rid, v, unnest(range(0, 16)) AS part FROM kept)),
+e0 AS (SELECT part, rid - 1 AS entry, x AS c FROM parts WHERE rid <= 64),""" + _kmeans_round(0) + _kmeans_round(1) + """
+a2 AS (
+  SELECT rid, p.part, min({'d': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), 'entry': entry}) AS best
+  FROM parts p JOIN e2 ON p.part = e2.part GROUP BY rid, p.part),
+codes AS (
+  SELECT rid, string_agg(lower(printf('%02x', best.entry)), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a2 GROUP BY rid),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM e2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (rid), digest
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: For distinct turn numbers within a conversation. ``bytes`` is a CRC-32 table.
+OP13_SQL = r"""
+WITH RECURSIVE bytes AS (
+  SELECT list(list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) ORDER BY x) AS crc
+  FROM (SELECT unnest(range(0, 256)) AS x)),
+own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+talks AS (SELECT conv_id, list(said ORDER BY i) AS said FROM own GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, said, xor(list_reduce(list_prepend(4294967295, [CAST(ascii(ch) AS BIGINT) for ch in string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda r, b: xor(r >> 8, crc[1 + (xor(r, b) & 255)])), 4294967295) % 4 AS h
+  FROM talks, bytes),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.said, [])[1:a.h], a.said[a.h + 1:]) AS said
+  FROM hashed a LEFT JOIN talks b ON b.conv_id = a.conv_id - a.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, len(said) AS whole, d, said[1:d] AS seq FROM (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)),
+nodes AS MATERIALIZED (
+  SELECT seq, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole = d), '') AS ids
+  FROM prefixes GROUP BY seq, d),
+gains AS (
+  SELECT *, (n_convs - 1) * coalesce(len([1 for w in regexp_split_to_array(seq[d].text, '[ 	-]+') if w <> '']), 0) AS own FROM nodes),
+family AS MATERIALIZED (
+  SELECT n.*, p.conv_id AS parent_conv_id, count(k.d) AS n_children
+  FROM gains n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.seq = n.seq[1:n.d - 1]
+  LEFT JOIN nodes k ON k.d = n.d + 1 AND k.seq[1:n.d] = n.seq GROUP BY ALL),
+below AS (
+  SELECT seq[1:up] AS top, up, own, n_children FROM (SELECT seq, own, n_children, unnest(range(0, d + 1)) AS up FROM family)),
+sums AS (SELECT top, up, sum(own) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM below GROUP BY top, up)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ids) AS ends_sha256
+FROM family JOIN sums ON top = seq AND up = d
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extract, op2_quality_model, op3_preference_pairs, op4_line_templates, op5_toxicity_fm,
-        op6_quality_rules, op7_simhash_dedup, op8_decontaminate, op9_token_shards, op10_mixing)
+        op6_quality_rules, op7_simhash_dedup, op8_decontaminate, op9_token_shards, op10_mixing, op11_context_tree,
+        op12_vector_codes, op13_prefix_trie)
 }
-ORACLE: dict[str, str] = {"op3_preference_pairs": OP3_SQL, "op4_line_templates": OP4_SQL}
+ORACLE: dict[str, str] = {"op3_preference_pairs": OP3_SQL, "op4_line_templates": OP4_SQL,
+                          "op12_vector_codes": OP12_SQL, "op13_prefix_trie": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
