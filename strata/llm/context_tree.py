@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import WORD_BREAK, staged
 
 #: Bytes of context.
-DEPTH = 5
+DEPTH = 6
 #: Nodes of a block that is sent to every task (16 bytes each).
 BLOCK_NODES = 1 << 22
 #: Words with this share of all words are sent to every task, if no longer than HOT_WORD_BYTES.
