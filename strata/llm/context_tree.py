@@ -15,13 +15,13 @@ What is left below the longest context seen in training predicts 1/2. So each
 node holds one number: the probability of a one if it is the longest that
 training saw.
 
-Training counts the byte grams of DEPTH + 1 bytes (per slice of text, then by
-grouping). The trees are built level by level from them with grouped sums (up)
-and joins with the next shorter context (down; a context has at most 256 longer
-ones, so no join key is hot). Scoring walks the corpus once per block of nodes.
-A block holds whole pairs of last context bytes and at most ``BLOCK_NODES``
-nodes more than its largest pair has.
-Few texts differ so much that one block does not hold their trees.
+Training counts the byte grams of DEPTH + 1 bytes. Contexts that end in the same
+two bytes lie in the same task, at most 256 ** (DEPTH - 2) of them however large
+the corpus: it works out their trees from the full depth up to two bytes, and
+the mixture down again, relative to the shorter contexts. Those, at most
+257 * 255 nodes, follow on the driver. Scoring walks the corpus once per block
+of nodes. A block holds whole pairs of last context bytes and at most
+``BLOCK_NODES`` nodes more than its largest pair has.
 
 The base score needs each word's training count. Words with a 2 ** -16 share of
 all words or more (at most 2 ** 16 of them) go along with the model; the counts
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import WORD_BREAK, staged
 
 #: Bytes of context.
-DEPTH = 6
+DEPTH = 5
 #: Nodes of a block that is sent to every task (16 bytes each).
 BLOCK_NODES = 1 << 22
 #: Words with this share of all words are sent to every task, if no longer than HOT_WORD_BYTES.
@@ -105,8 +105,6 @@ class Slice:
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES, depth: int = DEPTH) -> Iterator[tuple[int, Slice]]:
     """``column`` as (first row, ``Slice``) of about ``max_bytes``; a longer
     text is a slice of its own."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
     size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     at = 0
     while at < len(column):
@@ -117,24 +115,55 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES, depth: int = DEPTH) -
         at = to
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, word, n, n_train): of each slice the words of all texts, and the
-    grams of the texts to learn from."""
+class _Tally:
+    """Counts per key of many slices, added up until ``most`` keys are held."""
+
+    def __init__(self, most: int = 1 << 21):
+        self.most, self.held, self.size = most, [], 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.held.append((keys, n))
+        self.size += len(keys)
+        if self.size > 2 * self.most:
+            keys, n = self.merged()
+            if len(keys) > self.most:
+                yield keys, n
+            else:
+                self.held, self.size = [(keys, n)], len(keys)
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate([h[k] for h in self.held]) for k in (0, 1))
+        self.held, self.size = [], 0
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+        return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n) of all texts; a gram may come several times."""
+    def rows(keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], names=["gram", "n"])
+    tally = _Tally()
+    for batch in batches:
+        for _, part in slices(batch.column("text")):
+            for gram, _ in part.grams():
+                for full in tally.add(*np.unique(gram, return_counts=True)):
+                    yield rows(*full)
+    if tally.held:
+        yield rows(*tally.merged())
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n, n_train) of each slice."""
     for batch in batches:
         learns = ~batch.column("held").to_numpy(zero_copy_only=False)
-        for at, part in slices(batch.column("text")):
-            learn = learns[at:at + part.n]
+        for at, part in slices(batch.column("text"), 4 * SLICE_BYTES):
             coded = part.words.dictionary_encode()
             code, k = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
-            n_train = np.bincount(code[learn[part.word_text]], minlength=k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64()), coded.dictionary.cast(pa.string()), pa.array(np.bincount(code, minlength=k)),
-                 pa.array(n_train)], names=["gram", "word", "n", "n_train"])
-            for gram, text in part.grams():
-                kinds, n = np.unique(gram[learn[text]], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds.astype(np.int64)), pa.nulls(len(kinds), pa.string()), pa.array(n), pa.array(n)],
-                    names=["gram", "word", "n", "n_train"])
+            n_train = np.bincount(code[learns[at:at + part.n][part.word_text]], minlength=k)
+            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(np.bincount(code, minlength=k)), pa.array(n_train)],
+                                             names=["word", "n", "n_train"])
 
 
 # ---------------------------------------------------------------- trees
@@ -154,78 +183,123 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - math.log(math.pi)
 
 
-def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, kt, share, weight): the estimate of a one, the share of trust in
-    it, and ln W. ``longer`` (sum of ln W of the longer contexts) is NULL at
-    the full depth."""
-    for batch in batches:
-        zeros, ones = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("zeros", "ones"))
-        own = log_kt(zeros, ones)
-        longer = batch.column("longer")
-        leaf = pc.is_null(longer).to_numpy(zero_copy_only=False)
-        below = np.where(leaf, own, pc.fill_null(longer, 0.0).to_numpy(zero_copy_only=False))
-        share = np.where(leaf, 1.0, 1 / (1 + np.exp(np.clip(below - own, -700, 700))))
-        weight = np.where(leaf, own, np.logaddexp(own, below) - math.log(2))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("zeros"), batch.column("ones"),
-             pa.array((ones + 0.5) / (zeros + ones + 1)), pa.array(share), pa.array(weight)],
-            names=["node", "zeros", "ones", "kt", "share", "weight"])
-
-
-def _shorter(node: Column, depth: int) -> Column:
-    """The node's context cut to its last ``depth`` bytes, same known bits."""
-    return node.bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
-
-
-def weighted_trees(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(depth, node, p) of every node that training saw, from (gram, n) with
-    one row per gram. ``node`` is the context, its nearest byte lowest, then
-    eight bits: a one and the known bits of the byte. No grams give no rows."""
-    bits = grams.where("n > 0").withColumn("place", F.explode(F.array(*[F.lit(j) for j in range(8)])))
-    known = F.expr("shiftright((gram & 255) | 256, 8 - place)")
-    one = F.expr("shiftright(gram & 255, 7 - place) & 1") * F.col("n")
-    bits = bits.select((F.shiftright("gram", 8) * 256 + known).cast("long").alias("node"),
-                       (F.col("n") - one).alias("zeros"), one.alias("ones"))
-    level = bits.groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    level = level.withColumn("longer", F.lit(None).cast("double"))
-    kinds = "node long, zeros long, ones long, kt double, share double, weight double"
-    levels = {}
-    for d in range(depth, -1, -1):
-        levels[d] = staged(level.mapInArrow(_weighted, kinds), f"tree-{d}")
-        level = levels[d].groupBy(_shorter(F.col("node"), d - 1).alias("node")).agg(
-            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weight").alias("longer"))
-    out, above = None, None
-    for d in range(depth + 1):
-        here = levels[d].select("node", "kt", "share")
-        if above is None:
-            here = here.withColumn("mixed", F.lit(0.0)).withColumn("left", F.lit(1.0))
+def _level(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None = None):
+    """Sums per distinct node, and what follows from them: (nodes, which of
+    them each row is, zeros, ones, estimate of a one, share of trust, ln W).
+    ``below`` (ln W of each row) is None at the full depth."""
+    nodes, of = np.unique(node, return_inverse=True)
+    zeros, ones = (np.bincount(of, weights=v, minlength=len(nodes)) for v in (zeros, ones))  # exact below 2 ** 53
+    own = log_kt(zeros, ones)
+    kt = (ones + 0.5) / (zeros + ones + 1)
+    if below is None:
+        return nodes, of, zeros, ones, kt, np.ones(len(nodes)), own
+    longer = np.bincount(of, weights=below, minlength=len(nodes))
+    share = 1 / (1 + np.exp(np.clip(longer - own, -700, 700)))
+    return nodes, of, zeros, ones, kt, share, np.logaddexp(own, longer) - math.log(2)
+
+
+def _pair_trees(gram: np.ndarray, n: np.ndarray, depth: int) -> list[pa.RecordBatch]:
+    """(depth, node, q, zeros, ones, weight) of all nodes with two or more
+    bytes of context over whole pairs of last bytes. q is p with nothing mixed
+    in by shorter contexts; the sums are given for two bytes only."""
+    byte = gram & np.uint64(255)
+    known = [gram & ~np.uint64(255) | (byte | np.uint64(256)) >> np.uint64(8 - j) for j in range(8)]
+    one = [np.where(byte >> np.uint64(7 - j) & np.uint64(1), n, 0) for j in range(8)]
+    ones = np.concatenate(one)
+    levels = [_level(np.concatenate(known), np.tile(n, 8) - ones, ones)]
+    for d in range(depth - 1, 1, -1):
+        nodes, _, zeros, ones, _, _, weight = levels[-1]
+        levels.append(_level(nodes & np.uint64((1 << 8 * (d + 1)) - 1), zeros, ones, weight))
+    mixed, left, out = None, None, []
+    for d in range(2, depth + 1):
+        nodes, _, zeros, ones, kt, share, weight = levels[depth - d]
+        if mixed is None:
+            mixed, left = share * kt, 1 - share
         else:
-            here = here.withColumn("up", _shorter(F.col("node"), d - 1)).join(
-                above.select(F.col("node").alias("up"), "mixed", "left"), "up")
-        here = here.select(F.lit(d).alias("depth"), "node", (F.col("mixed") + F.col("left") * F.col("share") * F.col("kt")).alias("mixed"),
-                           (F.col("left") * (1 - F.col("share"))).alias("left"))
-        above = here = staged(here, f"mixture-{d}")
-        rows = here.select("depth", "node", (F.col("mixed") + F.col("left") / 2).alias("p"))
-        out = rows if out is None else out.unionByName(rows)
+            of = levels[depth - d + 1][1]
+            mixed, left = mixed[of] + left[of] * share * kt, left[of] * (1 - share)
+        low = pa.array(np.full(len(nodes), d > 2))
+        sums = [pa.array(v, mask=low.to_numpy(zero_copy_only=False)) for v in (zeros, ones, weight)]
+        out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), d, np.int32)), pa.array(nodes.astype(np.int64)),
+                                               pa.array(mixed + left / 2), *sums], names=["depth", "node", "q", "zeros", "ones", "weight"]))
     return out
 
 
+def _build(depth: int, size: int = 1 << 19):
+    """``_pair_trees`` of (pair, gram, n) sorted by pair, about ``size`` grams at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "gram", "n")]))
+            if sum(h.shape[1] for h in held) > size:
+                rows = np.concatenate(held, axis=1)
+                cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last pair may go on
+                if cut:
+                    yield from _pair_trees(rows[1, :cut].astype(np.uint64), rows[2, :cut], depth)
+                held = [rows[:, cut:]]
+        if held and held[0].size + sum(h.size for h in held[1:]):
+            rows = np.concatenate(held, axis=1)
+            yield from _pair_trees(rows[1].astype(np.uint64), rows[2], depth)
+    return run
+
+
+class Model:
+    """The weighted trees. ``nodes``: a table (depth, node, q) of all nodes
+    with two bytes of context or more. The others, at most 257 * 255, are here:
+    ``mixed`` and ``left`` per byte and known bits, and ``low``, the sorted
+    nodes and p of depths 0 and 1. ``node`` is the context, its nearest byte
+    lowest, then eight bits: a one and the known bits of the byte."""
+
+    def __init__(self, grams: DataFrame, depth: int = DEPTH):
+        if depth < 2:
+            raise ValueError("contexts have two bytes at least")
+        parts = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pairs = grams.where("n > 0").select(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)).alias("pair"), "gram", "n")
+        built = staged(pairs.repartition(parts, "pair").sortWithinPartitions("pair").mapInArrow(
+            _build(depth), "depth int, node long, q double, zeros double, ones double, weight double"), "trees")
+        self.depth, self.nodes = depth, built.select("depth", "node", "q")
+        two = built.where("depth = 2").groupBy(F.col("node").bitwiseAND(F.lit(0xFFFF)).alias("node")).agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weight").alias("weight")).toArrow()
+        node, zeros, ones, weight = (two.column(c).to_numpy() for c in ("node", "zeros", "ones", "weight"))
+        first = _level(node.astype(np.uint64), zeros, ones, weight)
+        root = _level(first[0] & np.uint64(255), first[2], first[3], first[6])
+        r_mixed, r_left = root[5] * root[4], 1 - root[5]
+        mixed, left = r_mixed[root[1]] + r_left[root[1]] * first[5] * first[4], r_left[root[1]] * (1 - first[5])
+        self.mixed, self.left = np.zeros(1 << 16), np.ones(1 << 16)
+        at = first[0].astype(np.int64)
+        self.mixed[at], self.left[at] = mixed, left
+        self.low = [(root[0], r_mixed + r_left / 2), (first[0], mixed + left / 2)]
+
+    def blocks(self, block_nodes: int = BLOCK_NODES) -> Iterator[Trees]:
+        """All nodes, in blocks small enough to send to every task."""
+        pair = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))
+        size = np.zeros(1 << 16, np.int64)
+        for r in self.nodes.groupBy(pair.alias("pair")).count().collect():  # at most 65,536 rows
+            size[r["pair"]] = r["count"]
+        of = np.cumsum(size) // max(block_nodes, 1)
+        edges = np.flatnonzero(np.diff(of, prepend=-1, append=of[-1] + 1))
+        for lo, hi in zip(edges, edges[1:]):
+            part = self.nodes if hi - lo == 1 << 16 else self.nodes.where(pair.between(int(lo), int(hi) - 1))
+            yield Trees(self, part.toArrow(), int(lo), int(hi))
+
+
 class Trees:
-    """A block of nodes, to look up in: per depth the sorted nodes and their p."""
+    """A block of nodes, to look up in: the sorted nodes and their p per depth,
+    for contexts whose last two bytes lie in ``pairs``."""
 
-    def __init__(self, table: pa.Table, pairs: np.ndarray | None = None, depth: int = DEPTH):
-        kinds, node, p = (table.column(c).to_numpy() for c in ("depth", "node", "p"))
-        self.pairs, self.levels = pairs, []
-        for d in range(depth + 1):
+    def __init__(self, model: Model, table: pa.Table, lo: int, hi: int):
+        kinds, node, q = (table.column(c).to_numpy() for c in ("depth", "node", "q"))
+        self.lo, self.hi, self.levels = lo, hi, list(model.low)
+        for d in range(2, model.depth + 1):
             of = np.flatnonzero(kinds == d)
             of = of[np.argsort(node[of])]
-            self.levels.append((node[of].astype(np.uint64), p[of]))
+            near = node[of] & 0xFFFF
+            self.levels.append((node[of].astype(np.uint64), (model.mixed[near] + model.left[near] * q[of]).astype(np.float64)))
 
     def holds(self, gram: np.ndarray) -> np.ndarray:
         """Does the block answer for the last two context bytes of ``gram``?"""
-        if self.pairs is None:
-            return np.ones(len(gram), bool)
-        return self.pairs[(gram >> np.uint64(8) & np.uint64(0xFFFF)).astype(np.int64)]
+        pair = gram >> np.uint64(8) & np.uint64(0xFFFF)
+        return (pair >= self.lo) & (pair < self.hi)
 
     def log10_p(self, gram: np.ndarray) -> np.ndarray:
         """log10 P(byte | context) of every gram: over its bits, p of the
@@ -248,26 +322,6 @@ class Trees:
         return total
 
 
-def tree_blocks(nodes: DataFrame, block_nodes: int = BLOCK_NODES) -> Iterator[Trees]:
-    """``weighted_trees`` in blocks small enough to send to every task. Nodes
-    with under two bytes of context (at most 257 * 255) are in each block."""
-    pair = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))
-    low = nodes.where("depth < 2")
-    sizes = nodes.where("depth >= 2").groupBy(pair.alias("pair")).count()  # at most 65,536 rows
-    size = np.zeros(1 << 16, np.int64)
-    for r in sizes.collect():
-        size[r["pair"]] = r["count"]
-    of = np.cumsum(size) // max(block_nodes, 1)
-    edges = np.flatnonzero(np.diff(of, prepend=-1, append=of[-1] + 1))
-    for lo, hi in zip(edges, edges[1:]):
-        if hi - lo == 1 << 16:
-            yield Trees(nodes.toArrow())
-        else:
-            pairs = np.zeros(1 << 16, bool)
-            pairs[lo:hi] = True
-            yield Trees(low.unionByName(nodes.where((F.col("depth") >= 2) & pair.between(int(lo), int(hi) - 1))).toArrow(), pairs)
-
-
 # ---------------------------------------------------------------- scores
 def _add_scores(broadcast, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,11 +383,10 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     read = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     read = read.withColumn("held", held_out_of_language(F.col("doc_id")))
-    counts = read.select("text", "held").mapInArrow(_counts, "gram long, word string, n long, n_train long")
-    counts = staged(counts.groupBy("gram", "word").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train")), "counts")
-    nodes = weighted_trees(counts.where("gram is not null").select("gram", "n"))
-
-    words = counts.where("word is not null").select("word", "n", "n_train")
+    grams = read.where(~F.col("held")).select("text").mapInArrow(_gram_counts, "gram long, n long")
+    model = Model(grams.groupBy("gram").agg(F.sum("n").alias("n")))
+    words = read.select("text", "held").mapInArrow(_word_counts, "word string, n long, n_train long")
+    words = staged(words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train")), "words")
     seen = words.agg(F.sum("n").alias("n"), F.sum("n_train").alias("t"), F.count_if(F.col("n_train") > 0).alias("v")).first()
     ends = read.where(~F.col("held")).count()
     train, kinds = (seen["t"] or 0) + ends, (seen["v"] or 0) + bool(ends)
@@ -344,7 +397,7 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     scored = read.withColumn("score", F.lit(0.0))
     kind = scored.schema
     arrow = pa.schema([pa.field(f.name, pa.null()) for f in kind])
-    for k, trees in enumerate(tree_blocks(nodes, block_nodes)):
+    for k, trees in enumerate(model.blocks(block_nodes)):
         if k and k % CHAINED_BLOCKS == 0:
             scored = staged(scored, "scored")
         scored = scored.mapInArrow(_add_scores(spark.sparkContext.broadcast(trees), arrow), kind)
