@@ -43,14 +43,12 @@ from strata.llm.common import WORD_BREAK, staged
 
 #: Bytes of context.
 DEPTH = 5
-#: Nodes of a block that is sent to every task (16 bytes each).
-BLOCK_NODES = 1 << 22
+#: Nodes of a block that is sent to every task (12 bytes each).
+BLOCK_NODES = 6 << 20
 #: Words with this share of all words are sent to every task, if no longer than HOT_WORD_BYTES.
 HOT_SHARE = 2.0 ** -16
 HOT_WORD_BYTES = 64
-SLICE_BYTES = 4 << 20
-#: Blocks whose passes run in one go, before what they add up is written.
-CHAINED_BLOCKS = 4
+SLICE_BYTES = 2 << 20
 
 _SPACE = " \t\n\x0b\x0c\r"
 
@@ -83,12 +81,12 @@ class Slice:
         offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:whole.offset + self.n + 1]
         self.data = np.frombuffer(whole.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         starts = offsets[:-1] - offsets[0]
-        self.byte_text = np.repeat(np.arange(self.n), np.diff(offsets))
+        self.byte_text = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(offsets))
         self.n_bytes = np.diff(offsets) - depth
         self.real = np.ones(len(self.data), bool)
         self.real[(starts[:, None] + np.arange(depth)).ravel()] = False
 
-    def grams(self, size: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def grams(self, size: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(gram, text) of every byte, ``size`` bytes at a time: the byte below
         the DEPTH bytes before it, the nearest in the lowest place."""
         k = self.depth
@@ -118,7 +116,7 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES, depth: int = DEPTH) -
 class _Tally:
     """Counts per key of many slices, added up until ``most`` keys are held."""
 
-    def __init__(self, most: int = 1 << 21):
+    def __init__(self, most: int = 1 << 20):
         self.most, self.held, self.size = most, [], 0
 
     def add(self, keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -225,7 +223,7 @@ def _pair_trees(gram: np.ndarray, n: np.ndarray, depth: int) -> list[pa.RecordBa
     return out
 
 
-def _build(depth: int, size: int = 1 << 19):
+def _build(depth: int, size: int = 1 << 18):
     """``_pair_trees`` of (pair, gram, n) sorted by pair, about ``size`` grams at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -270,31 +268,39 @@ class Model:
         self.mixed[at], self.left[at] = mixed, left
         self.low = [(root[0], r_mixed + r_left / 2), (first[0], mixed + left / 2)]
 
-    def blocks(self, block_nodes: int = BLOCK_NODES) -> Iterator[Trees]:
-        """All nodes, in blocks small enough to send to every task."""
+    def blocks(self, block_nodes: int = BLOCK_NODES) -> list[tuple[int, int]]:
+        """Ranges of pairs of last bytes whose nodes are few enough to send to every task."""
         pair = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))
         size = np.zeros(1 << 16, np.int64)
         for r in self.nodes.groupBy(pair.alias("pair")).count().collect():  # at most 65,536 rows
             size[r["pair"]] = r["count"]
-        of = np.cumsum(size) // max(block_nodes, 1)
-        edges = np.flatnonzero(np.diff(of, prepend=-1, append=of[-1] + 1))
-        for lo, hi in zip(edges, edges[1:]):
-            part = self.nodes if hi - lo == 1 << 16 else self.nodes.where(pair.between(int(lo), int(hi) - 1))
-            yield Trees(self, part.toArrow(), int(lo), int(hi))
+        of = (np.cumsum(size) - size) // max(block_nodes, 1)
+        starts = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+        return list(zip(starts, [*starts[1:], 1 << 16]))
+
+    def block(self, lo: int, hi: int) -> Trees:
+        pair = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))
+        part = self.nodes if hi - lo == 1 << 16 else self.nodes.where(pair.between(lo, hi - 1))
+        return Trees(self, [part.where(F.col("depth") == d).select("node", "q").toArrow() for d in range(2, self.depth + 1)], lo, hi)
+
+
+def _packed(p: np.ndarray) -> np.ndarray:
+    """p of a one in single width: the less likely bit's probability, negative
+    if that bit is zero."""
+    return np.where(p <= 0.5, p, p - 1).astype(np.float32)
 
 
 class Trees:
-    """A block of nodes, to look up in: the sorted nodes and their p per depth,
-    for contexts whose last two bytes lie in ``pairs``."""
-
-    def __init__(self, model: Model, table: pa.Table, lo: int, hi: int):
-        kinds, node, q = (table.column(c).to_numpy() for c in ("depth", "node", "q"))
-        self.lo, self.hi, self.levels = lo, hi, list(model.low)
-        for d in range(2, model.depth + 1):
-            of = np.flatnonzero(kinds == d)
-            of = of[np.argsort(node[of])]
-            near = node[of] & 0xFFFF
-            self.levels.append((node[of].astype(np.uint64), (model.mixed[near] + model.left[near] * q[of]).astype(np.float64)))
+    """A block of nodes, to look up in: the sorted nodes and their packed p per
+    depth, for contexts whose last two bytes lie in the block's range."""
+
+    def __init__(self, model: Model, tables: list[pa.Table], lo: int, hi: int):
+        self.lo, self.hi, self.levels = lo, hi, [(nodes, _packed(p)) for nodes, p in model.low]
+        for table in tables:
+            node, q = table.column("node").to_numpy(), table.column("q").to_numpy()
+            order = np.argsort(node)
+            near = node & 0xFFFF
+            self.levels.append((node[order].astype(np.uint64), _packed(model.mixed[near] + model.left[near] * q)[order]))
 
     def holds(self, gram: np.ndarray) -> np.ndarray:
         """Does the block answer for the last two context bytes of ``gram``?"""
@@ -307,7 +313,7 @@ class Trees:
         total, byte = np.zeros(len(gram)), gram & np.uint64(255)
         for j in range(8):
             node = gram & ~np.uint64(255) | (byte | np.uint64(256)) >> np.uint64(8 - j)
-            p, todo = np.full(len(gram), 0.5), np.arange(len(gram))
+            p, todo = np.full(len(gram), 0.5, np.float32), np.arange(len(gram))
             for d in range(len(self.levels) - 1, -1, -1):
                 nodes, ps = self.levels[d]
                 if not len(nodes) or not len(todo):
@@ -318,54 +324,58 @@ class Trees:
                 p[todo[hit]] = ps[at[hit]]
                 todo = todo[~hit]
             one = (byte >> np.uint64(7 - j) & np.uint64(1)).astype(bool)
-            total += np.log10(np.where(one, p, 1 - p))
+            rare = np.abs(p.astype(np.float64))
+            total += np.log10(np.where((p > 0) == one, rare, 1 - rare))
         return total
 
 
 # ---------------------------------------------------------------- scores
-def _add_scores(broadcast, schema: pa.Schema):
+def _scores(trees: Trees, part: Slice) -> np.ndarray:
+    """What the block's grams add to the score of each text."""
+    score = np.zeros(part.n)
+    for gram, text in part.grams():
+        mine = trees.holds(gram)
+        if not mine.all():
+            gram, text = gram[mine], text[mine]
+        kinds, of = np.unique(gram, return_inverse=True)
+        score += np.bincount(text, weights=trees.log10_p(kinds)[of], minlength=part.n)
+    return score
+
+
+def _more_scores(trees):
+    """(row, score) of a further block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = broadcast.value
         for batch in batches:
-            score = batch.column("score").to_numpy(zero_copy_only=False).copy()
             for at, part in slices(batch.column("text")):
-                for gram, text in part.grams():
-                    mine = trees.holds(gram)
-                    kinds, of = np.unique(gram[mine], return_inverse=True)
-                    score[at:at + part.n] += np.bincount(text[mine], weights=trees.log10_p(kinds)[of], minlength=part.n)
-            columns = [pa.array(score) if f.name == "score" else batch.column(f.name) for f in schema]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, part.n), pa.array(_scores(trees.value, part))], names=["row", "score"])
     return run
 
 
-def _words_of(broadcast):
-    """(…, n_bytes, n_tokens, known, logs, words, counts): how many words of a
-    text are frequent ones that training knows, the frequent words' sum of
-    log10(c + 1), and the other words."""
+def _texts(trees, hot, keep: list[str]):
+    """(…, score, n_bytes, n_tokens, known, logs, words, counts): the first
+    block's score, how many words of a text are frequent ones that training
+    knows, the frequent words' sum of log10(c + 1), and the other words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, hot_n = broadcast.value
-        hot_words, hot_log = pa.array(hot, pa.string()), np.log10(hot_n + 1.0)
+        hot_list, hot_n = hot.value
+        hot_words, hot_log, hot_seen = pa.array(hot_list, pa.string()), np.log10(hot_n + 1.0), (hot_n > 0).astype(np.float64)
         for batch in batches:
             for at, part in slices(batch.column("text")):
                 coded = part.words.dictionary_encode()
-                code = coded.indices.to_numpy(zero_copy_only=False)
-                if len(hot):
-                    place = pc.fill_null(pc.index_in(coded.dictionary.cast(pa.string()), value_set=hot_words), -1)
-                    place = place.to_numpy(zero_copy_only=False)[code] if len(code) else np.empty(0, np.int64)
-                else:
-                    place = np.full(len(code), -1)
-                known, text = place >= 0, part.word_text
-                log = np.bincount(text[known], weights=hot_log[place[known]], minlength=part.n) if len(hot) else np.zeros(part.n)
-                n_known = np.bincount(text[known], weights=hot_n[place[known]] > 0, minlength=part.n) if len(hot) else np.zeros(part.n)
-                k = max(len(coded.dictionary), 1)
+                code, kinds, text = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.string()), part.word_text
+                place = np.full(len(code), -1)
+                if len(hot_list) and len(code):
+                    place = pc.fill_null(pc.index_in(kinds, value_set=hot_words), -1).to_numpy(zero_copy_only=False)[code]
+                known = place >= 0
+                logs, n_known = (np.bincount(text[known], weights=v[place[known]] if len(v) else None, minlength=part.n).astype(np.float64)
+                                 for v in (hot_log, hot_seen))
+                k = max(len(kinds), 1)
                 pairs, n = np.unique(text[~known] * k + code[~known], return_counts=True)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(pairs // k, minlength=part.n))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, part.n), batch.column("held").slice(at, part.n), batch.column("score").slice(at, part.n),
-                     pa.array(part.n_bytes), pa.array(part.n_words + 1), pa.array(n_known.astype(np.int64)), pa.array(log.astype(np.float64)),
-                     pa.ListArray.from_arrays(pa.array(ends), coded.dictionary.cast(pa.string()).take(pa.array(pairs % k))),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(n.astype(np.int64)))],
-                    names=["doc_id", "held", "score", "n_bytes", "n_tokens", "known", "logs", "words", "counts"])
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(pairs // k, minlength=part.n))]).astype(np.int32))
+                columns = [batch.column(c).slice(at, part.n) for c in keep] + [
+                    pa.array(_scores(trees.value, part)), pa.array(part.n_bytes), pa.array(part.n_words + 1), pa.array(n_known.astype(np.int64)),
+                    pa.array(logs), pa.ListArray.from_arrays(ends, kinds.take(pa.array(pairs % k))),
+                    pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "n_bytes", "n_tokens", "known", "logs", "words", "counts"])
     return run
 
 
@@ -394,17 +404,22 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hot = words.where(is_hot).toArrow()  # at most 1 / hot_share rows
     hot = spark.sparkContext.broadcast((hot.column("word").to_pylist(), hot.column("n_train").to_numpy().astype(np.float64)))
 
-    scored = read.withColumn("score", F.lit(0.0))
-    kind = scored.schema
-    arrow = pa.schema([pa.field(f.name, pa.null()) for f in kind])
-    for k, trees in enumerate(model.blocks(block_nodes)):
-        if k and k % CHAINED_BLOCKS == 0:
-            scored = staged(scored, "scored")
-        scored = scored.mapInArrow(_add_scores(spark.sparkContext.broadcast(trees), arrow), kind)
-    id_type = kind["doc_id"].dataType.simpleString()
-    scored = scored.mapInArrow(_words_of(hot), f"doc_id {id_type}, held boolean, score double, n_bytes long, n_tokens long, known long, "
-                                               "logs double, words array<string>, counts array<long>")
-    scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "texts")
+    blocks, send = model.blocks(block_nodes), spark.sparkContext.broadcast
+    if len(blocks) > 1:  # several passes over the texts need their rows to have names
+        read = staged(read.withColumn("row", F.monotonically_increasing_id()), "rows")
+    keep = [c for c in read.columns if c != "text"]
+    kinds_of = ", ".join(f"{c} {read.schema[c].dataType.simpleString()}" for c in keep)
+    scored = read.mapInArrow(_texts(send(model.block(*blocks[0])), hot, keep), f"{kinds_of}, score double, n_bytes long, n_tokens long, "
+                             "known long, logs double, words array<string>, counts array<long>")
+    if len(blocks) == 1:
+        scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "texts")
+    else:
+        scored, more = staged(scored, "texts"), None
+        for lo, hi in blocks[1:]:
+            part = staged(read.select("row", "text").mapInArrow(_more_scores(send(model.block(lo, hi))), "row long, score double"), "scores")
+            more = part if more is None else more.unionByName(part)
+        more = more.groupBy("row").agg(F.sum("score").alias("more"))
+        scored = scored.join(more, "row").withColumn("score", F.col("score") + F.col("more")).drop("more")
 
     rare = scored.where(F.size("words") > 0).select("row", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     rare = rare.select("row", F.col("w.words").alias("word"), F.col("w.counts").alias("times"))
