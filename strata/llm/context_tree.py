@@ -23,8 +23,8 @@ the mixture down again, relative to the shorter contexts. Those, at most
 of nodes. A block holds whole pairs of last context bytes and at most
 ``BLOCK_NODES`` nodes more than its largest pair has.
 
-The base score needs each word's training count. Words with a 2 ** -16 share of
-all words or more (at most 2 ** 16 of them) go along with the model; the counts
+The base score needs each word's training count. Words with a 2 ** -20 share of
+all words or more (at most 2 ** 20 of them) go along with the model; the counts
 of the rare rest are joined by word, where no key is hot by construction.
 """
 
@@ -41,14 +41,15 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import WORD_BREAK, staged
 
-#: Bytes of context.
+#: Bytes of context, at most 5: a gram and the number of its text share 64 bits.
 DEPTH = 5
 #: Nodes of a block that is sent to every task (12 bytes each).
 BLOCK_NODES = 6 << 20
 #: Words with this share of all words are sent to every task, if no longer than HOT_WORD_BYTES.
-HOT_SHARE = 2.0 ** -16
-HOT_WORD_BYTES = 64
+HOT_SHARE = 2.0 ** -20
+HOT_WORD_BYTES = 32
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1 << 16
 
 _SPACE = " \t\n\x0b\x0c\r"
 
@@ -107,7 +108,7 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES, depth: int = DEPTH) -
     at = 0
     while at < len(column):
         before = size[at - 1] if at else 0
-        to = max(int(np.searchsorted(size, before + max_bytes, side="right")), at + 1)
+        to = min(max(int(np.searchsorted(size, before + max_bytes, side="right")), at + 1), at + SLICE_ROWS)
         # ``take`` copies: string functions misread a slice that was cast in place
         yield at, Slice(column.take(pa.array(np.arange(at, to))), depth)
         at = to
@@ -156,7 +157,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, n_train) of each slice."""
     for batch in batches:
         learns = ~batch.column("held").to_numpy(zero_copy_only=False)
-        for at, part in slices(batch.column("text"), 4 * SLICE_BYTES):
+        for at, part in slices(batch.column("text"), 16 * SLICE_BYTES):
             coded = part.words.dictionary_encode()
             code, k = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
             n_train = np.bincount(code[learns[at:at + part.n][part.word_text]], minlength=k)
@@ -249,8 +250,8 @@ class Model:
     lowest, then eight bits: a one and the known bits of the byte."""
 
     def __init__(self, grams: DataFrame, depth: int = DEPTH):
-        if depth < 2:
-            raise ValueError("contexts have two bytes at least")
+        if not 2 <= depth <= 5:
+            raise ValueError("contexts have two to five bytes")
         parts = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         pairs = grams.where("n > 0").select(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)).alias("pair"), "gram", "n")
         built = staged(pairs.repartition(parts, "pair").sortWithinPartitions("pair").mapInArrow(
@@ -281,7 +282,11 @@ class Model:
     def block(self, lo: int, hi: int) -> Trees:
         pair = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))
         part = self.nodes if hi - lo == 1 << 16 else self.nodes.where(pair.between(lo, hi - 1))
-        return Trees(self, [part.where(F.col("depth") == d).select("node", "q").toArrow() for d in range(2, self.depth + 1)], lo, hi)
+        trees = Trees(self, lo, hi)
+        for d in range(2, self.depth + 1):
+            trees.add(self, part.where(F.col("depth") == d).select("node", "q").toArrow())
+        trees.spell_out()
+        return trees
 
 
 def _packed(p: np.ndarray) -> np.ndarray:
@@ -294,13 +299,28 @@ class Trees:
     """A block of nodes, to look up in: the sorted nodes and their packed p per
     depth, for contexts whose last two bytes lie in the block's range."""
 
-    def __init__(self, model: Model, tables: list[pa.Table], lo: int, hi: int):
+    def __init__(self, model: Model, lo: int, hi: int):
         self.lo, self.hi, self.levels = lo, hi, [(nodes, _packed(p)) for nodes, p in model.low]
-        for table in tables:
-            node, q = table.column("node").to_numpy(), table.column("q").to_numpy()
-            order = np.argsort(node)
-            near = node & 0xFFFF
-            self.levels.append((node[order].astype(np.uint64), _packed(model.mixed[near] + model.left[near] * q)[order]))
+        self.grams, self.logs = np.empty(0, np.uint64), np.empty(0, np.float32)
+
+    def add(self, model: Model, table: pa.Table) -> None:
+        """The nodes of the next depth."""
+        node, q = table.column("node").to_numpy(), table.column("q").to_numpy()
+        order = np.argsort(node)
+        near = node & 0xFFFF
+        self.levels.append((node[order].astype(np.uint64), _packed(model.mixed[near] + model.left[near] * q)[order]))
+
+    def spell_out(self, size: int = 1 << 18) -> None:
+        """``log10_p`` of every gram whose bits, but for the last, training saw
+        after the full context: what most bytes of a text ask for."""
+        nodes = self.levels[-1][0]
+        nodes = nodes[nodes & np.uint64(128) > 0]  # seven known bits
+        stem = nodes & ~np.uint64(255) | (nodes & np.uint64(127)) << np.uint64(1)
+        grams = np.stack([stem, stem | np.uint64(1)], axis=1).ravel()
+        grams.sort()
+        self.logs = np.concatenate([np.empty(0, np.float32), *[
+            self._by_bits(grams[at:at + size]).astype(np.float32) for at in range(0, len(grams), size)]])
+        self.grams = grams
 
     def holds(self, gram: np.ndarray) -> np.ndarray:
         """Does the block answer for the last two context bytes of ``gram``?"""
@@ -308,8 +328,17 @@ class Trees:
         return (pair >= self.lo) & (pair < self.hi)
 
     def log10_p(self, gram: np.ndarray) -> np.ndarray:
-        """log10 P(byte | context) of every gram: over its bits, p of the
-        longest context that training saw; 1/2 if it saw none."""
+        """log10 P(byte | context) of every gram."""
+        if not len(self.grams):
+            return self._by_bits(gram)
+        at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
+        out, other = self.logs[at].astype(np.float64), self.grams[at] != gram
+        out[other] = self._by_bits(gram[other])
+        return out
+
+    def _by_bits(self, gram: np.ndarray) -> np.ndarray:
+        """The same bit by bit: p of the longest context that training saw
+        before it; 1/2 if it saw none."""
         total, byte = np.zeros(len(gram)), gram & np.uint64(255)
         for j in range(8):
             node = gram & ~np.uint64(255) | (byte | np.uint64(256)) >> np.uint64(8 - j)
@@ -337,8 +366,14 @@ def _scores(trees: Trees, part: Slice) -> np.ndarray:
         mine = trees.holds(gram)
         if not mine.all():
             gram, text = gram[mine], text[mine]
-        kinds, of = np.unique(gram, return_inverse=True)
-        score += np.bincount(text, weights=trees.log10_p(kinds)[of], minlength=part.n)
+        key = gram << np.uint64(16) | text.astype(np.uint64)  # sorted: grams, and in them texts
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        times, key = np.diff(np.append(first, len(key))), key[first]
+        gram = key >> np.uint64(16)
+        change = np.append(True, gram[1:] != gram[:-1]) if len(gram) else np.empty(0, bool)
+        logs = trees.log10_p(gram[change])[np.cumsum(change) - 1]
+        score += np.bincount((key & np.uint64(0xFFFF)).astype(np.int64), weights=times * logs, minlength=part.n)
     return score
 
 
