@@ -54,11 +54,15 @@ WITH turns AS (
   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
 answers AS (
   SELECT conv_id, max({'turn': turn, 'said': t.said}) AS last FROM turns WHERE t.role = 'assistant' GROUP BY conv_id),
+others AS (
+  SELECT a.conv_id, a.last, coalesce(b.conv_id, a.next) AS other
+  FROM (SELECT *, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS next FROM answers) a
+  LEFT JOIN answers b ON b.conv_id = xor(a.conv_id, 1)),
 sides AS (
   SELECT t.conv_id, t.turn, t.t.role AS role, t.t.said AS chosen,
     CASE WHEN t.turn = a.last.turn THEN o.last.said ELSE t.t.said END AS rejected
-  FROM turns t JOIN answers a USING (conv_id) JOIN answers o ON o.conv_id = xor(a.conv_id, 1)
-  WHERE t.turn <= a.last.turn),
+  FROM turns t JOIN others a USING (conv_id) JOIN answers o ON o.conv_id = a.other
+  WHERE t.turn <= a.last.turn AND a.other <> a.conv_id),
 split AS (
   SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY conv_id), 9223372036854775807) AS parts
   FROM sides),
@@ -88,27 +92,29 @@ WITH split AS (
   SELECT doc_id, string_split(text, chr(10)) AS ls FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
 lines AS (
   SELECT doc_id, i AS line, ls[i] AS said FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM split)),
+plain AS (SELECT doc_id, line, [x for x in regexp_split_to_array(said, '[\x20\x09-\x0D]+') if x <> ''] AS w FROM lines),
 words AS (
-  SELECT doc_id, line, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END
-    for x in regexp_split_to_array(said, '[\x20\x09-\x0D]+') if x <> ''] AS w
-  FROM lines),
-long AS (SELECT *, len(w) || ' ' || array_to_string(w[1:3], ' ') AS leaf FROM words WHERE len(w) >= 5),
-leaves AS (SELECT leaf FROM long GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
+  SELECT doc_id, line, CASE WHEN len(w) <= 3 AND len([x for x in w if NOT regexp_matches(x, '[0-9]')]) = 0 THEN w
+    ELSE [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END for x in w] END AS w
+  FROM plain WHERE len(w) > 0),
+told AS (
+  SELECT *, len(w) || ' ' || array_to_string(w[1:3], ' ') AS leaf, CASE WHEN len(w) >= 5 THEN 5 ELSE 10 END AS needs FROM words),
+leaves AS (SELECT leaf FROM told GROUP BY leaf, needs HAVING count(DISTINCT doc_id) >= needs),
 places AS (
-  SELECT doc_id, line, leaf, i AS pos, w[i] AS word
-  FROM (SELECT long.*, unnest(range(1, len(w) + 1)) AS i FROM long JOIN leaves USING (leaf))),
+  SELECT doc_id, line, leaf, needs, i AS pos, w[i] AS word
+  FROM (SELECT told.*, unnest(range(1, len(w) + 1)) AS i FROM told JOIN leaves USING (leaf))),
 counted AS (SELECT leaf, pos, word, count(*) AS n FROM places GROUP BY ALL),
 kept AS (
   SELECT leaf, pos, max({'n': n, 'word': word}) AS top FROM counted GROUP BY leaf, pos
   HAVING max(n) >= 0.5 * sum(n)),
 fitted AS (
-  SELECT doc_id, line, count(*) AS n, count(*) FILTER (word <> '<*>' AND word = top.word) AS same,
+  SELECT doc_id, line, min(needs) AS needs, count(*) AS n, count(*) FILTER (word <> '<*>' AND word = top.word) AS same,
     string_agg(coalesce(top.word, '<*>'), ' ' ORDER BY pos) AS general, string_agg(word, ' ' ORDER BY pos) AS own
   FROM places LEFT JOIN kept USING (leaf, pos) GROUP BY doc_id, line),
-named AS (SELECT doc_id, line, CASE WHEN same >= CAST(0.7 AS DOUBLE) * n THEN general ELSE own END AS template FROM fitted),
+named AS (SELECT doc_id, line, needs, CASE WHEN same >= CAST(0.7 AS DOUBLE) * n THEN general ELSE own END AS template FROM fitted),
 gone AS (
   SELECT doc_id, line FROM named WHERE template IN (
-    SELECT template FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 5)),
+    SELECT template FROM named GROUP BY template, needs HAVING count(DISTINCT doc_id) >= needs)),
 rest AS (
   SELECT l.doc_id, string_agg(said, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS text, count(g.line) AS n
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line = g.line GROUP BY l.doc_id)
@@ -221,7 +227,8 @@ nodes AS MATERIALIZED (
     coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole = d), '') AS ids
   FROM prefixes GROUP BY seq, d),
 gains AS (
-  SELECT *, (n_convs - 1) * coalesce(len([1 for w in regexp_split_to_array(seq[d].text, '[ 	-]+') if w <> '']), 0) AS own FROM nodes),
+  SELECT *, (n_convs - 1) * coalesce(len([1 for w in regexp_split_to_array(seq[d].text, '[ 	-
+]+') if w <> '']), 0) AS own FROM nodes),
 family AS MATERIALIZED (
   SELECT n.*, p.conv_id AS parent_conv_id, count(k.d) AS n_children
   FROM gains n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.seq = n.seq[1:n.d - 1]

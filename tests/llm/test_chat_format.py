@@ -71,8 +71,10 @@ def test_pairs_of_the_table(spark):
     for r in table(spark, SF_SMALL, "conversations").orderBy("conv_id", "turn").collect():
         talks.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
     last = {c: max((k for k, t in enumerate(turns) if t[0] == "assistant"), default=None) for c, turns in talks.items()}
-    a = {c: turns[:last[c] + 1] for c, turns in talks.items() if last[c] is not None and last.get(c ^ 1) is not None}
-    b = {c: turns[:-1] + [("assistant", talks[c ^ 1][last[c ^ 1]][1])] for c, turns in a.items()}
+    ids = sorted(c for c in talks if last[c] is not None)
+    other = {c: c ^ 1 if last.get(c ^ 1) is not None else ids[(k + 1) % len(ids)] for k, c in enumerate(ids)}
+    a = {c: talks[c][:last[c] + 1] for c in ids}
+    b = {c: turns[:-1] + [("assistant", talks[other[c]][last[other[c]]][1])] for c, turns in a.items()}
     assert got == expected(a, b) and got
 
 

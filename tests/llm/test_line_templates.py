@@ -17,15 +17,18 @@ def brute(docs, s):
     lines = {}
     for d, t in rows:
         for k, line in enumerate(t.split("\n")):
-            words = [L.ANY if re.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
-            if len(words) >= s.least_words:
+            words = re.findall(r"[^\x20\x09-\x0D]+", line)
+            if len(words) > s.depth or any(not re.search("[0-9]", w) for w in words):
+                words = [L.ANY if re.search("[0-9]", w) else w for w in words]
+            if words:
                 lines[(d, t, k)] = tuple(words)
+    needs = lambda w: s.least_docs if len(w) >= s.least_words else max(s.least_docs, s.short_docs)
     leaves = {}
     for key, w in lines.items():
         leaves.setdefault((len(w), w[:s.depth]), []).append(key)
     held = {}
     for keys in leaves.values():
-        if len({k[:2] for k in keys}) < s.least_docs:
+        if len({k[:2] for k in keys}) < needs(lines[keys[0]]):
             continue
         kept = {}
         for at in range(len(lines[keys[0]])):
@@ -40,7 +43,7 @@ def brute(docs, s):
             same = sum(x != L.ANY and kept.get(at) == x for at, x in enumerate(w))
             template = tuple(kept.get(at, L.ANY) for at in range(len(w))) if same >= s.alike * len(w) else w
             held.setdefault(template, set()).add(k)
-    return {(d, k) for keys in held.values() if len({x[:2] for x in keys}) >= s.least_docs for d, _, k in keys}
+    return {(d, k) for w, keys in held.items() if len({x[:2] for x in keys}) >= needs(w) for d, _, k in keys}
 
 
 def found(docs, s=L.Settings()):
