@@ -2,7 +2,7 @@
 
     python -m strata --landed <folder> --warehouse <folder> [--prefix dev]
                      [--layers bronze,silver,gold] [--entities shows,cast,episodes]
-                     [--reference-mode] [--no-marts] [--optimize]
+                     [--reference-mode] [--no-marts] [--optimize] [--declared-only]
 
 The warehouse is a folder that driver and executors share.
 """
@@ -28,13 +28,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--reference-mode", action="store_true")
     ap.add_argument("--no-marts", action="store_true")
     ap.add_argument("--optimize", action="store_true", help="compact the tables written")
+    ap.add_argument("--declared-only", action="store_true", help="read only the declared fields of landed records")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     store = TableStore(spark, args.warehouse, args.prefix)
     done = run(spark, store, args.landed, args.layers.split(","), args.entities.split(","),
                reference_mode=args.reference_mode, with_marts=not args.no_marts,
-               optimize=args.optimize)
+               optimize=args.optimize, keep_drift=not args.declared_only)
     counts = {r["table_name"]: r["record_count"] for r in layer_row_counts(store).collect()}  # None: no such table
     print(json.dumps({"loaded": {f"{k[0]}.{k[1]}": v for k, v in done.items()},
                       "row_counts": counts}, default=str))

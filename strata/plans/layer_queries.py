@@ -16,7 +16,9 @@ from strata.plans.landed import LANDED, PERSON_EPOCH, SHOW_EPOCH
 from strata.plans.registry import query
 from strata.plans.scratch import keep_result, scratch_store
 from strata.session import scratch_path
-from strata.sources.landing import CORRUPT, read_landed
+from strata.sources import sinks as K
+from strata.sources.drift import read_drifting
+from strata.sources.landing import CORRUPT, read_landed, split_corrupt
 from strata.sources.sinks import with_audit
 from strata.streaming.ingest import ingest_landed
 
@@ -378,6 +380,55 @@ def bad_lines(spark, sf):
     return back.select(F.when(good, F.col("id")).alias("id"), F.when(good, F.col("name")).alias("name"), CORRUPT)
 
 
+# ---------------------------------------------------------------- drifting records
+@query("drifted_landing", """
+SELECT o_orderkey AS id,
+       CASE WHEN o_orderkey % 7 > 0 THEN o_custkey END AS customer_id,
+       CASE WHEN o_orderkey % 7 = 0 THEN '"c-' || o_custkey || '"' END AS customer_drift,
+       o_orderpriority AS customer_name,
+       CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus END AS customer_status,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS extra_priority,
+       CASE WHEN o_orderkey % 3 = 0 THEN list_value(o_orderkey, o_custkey) END AS extra_ids,
+       CASE WHEN o_orderkey % 11 = 0 THEN CAST(o_orderkey AS VARCHAR) WHEN o_orderkey % 11 = 1 THEN '"' || o_orderstatus || '"' END AS mixed,
+       CASE WHEN o_orderkey % 13 = 0 THEN '"' || o_orderstatus || '"' END AS id_clash
+FROM orders""")
+def drifted_landing(spark, sf):
+    """A first load has the declared fields only. The records of a
+    second one bring new and nested fields, one of mixed type, a name that is
+    taken, and texts where a number was declared. Bronze takes both loads."""
+    o = S.read(spark, sf, "orders")
+    key = F.col("o_orderkey")
+
+    def text(name: str, value, when=None):
+        pair = F.concat(F.lit(f', "{name}": '), value)
+        return pair if when is None else F.when(when, pair).otherwise(F.lit(""))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    customer = F.concat(
+        F.lit('{"name": '), quoted("o_orderpriority"),
+        text("id", F.when(key % 7 > 0, F.col("o_custkey").cast("string")).otherwise(quoted(F.concat(F.lit("c-"), F.col("o_custkey"))))),
+        text("status", quoted("o_orderstatus"), key % 5 == 0), F.lit("}"))
+    drifts = (key % 7 == 0) | (key % 5 == 0) | (key % 3 == 0) | (key % 11 < 2) | (key % 13 == 0)
+    line = F.concat(
+        F.lit('{"id": '), key, text("customer", customer),
+        text("extra", F.concat(F.lit('{"priority": '), quoted("o_orderpriority"), F.lit(', "ids": ['), key, F.lit(", "), "o_custkey", F.lit("]}")), key % 3 == 0),
+        text("mixed", F.when(key % 11 == 0, key.cast("string")).otherwise(quoted("o_orderstatus")), key % 11 < 2),
+        text("ID", quoted("o_orderstatus"), key % 13 == 0), F.lit("}"))
+    declared = "id BIGINT, customer STRUCT<id: BIGINT, name: STRING>"
+    with scratch_store(spark, "drift") as store:
+        store.ensure_database("bronze")
+        name = store.name("bronze", "orders_drifting")
+        for part in (~drifts, drifts):
+            path = scratch_path(spark, "drifting-lines")
+            o.filter(part).select(line.alias("value")).write.text(path)
+            held = store.read("bronze", "orders_drifting")
+            records, _ = split_corrupt(K.stage(read_drifting(spark, path, declared, table=held.schema if held is not None else None)))
+            K.append_table(L.bronze_records(records), name, created=None)
+        drifted = F.col("drifted")
+        return keep_result(store.read("bronze", "orders_drifting").select(
+            "id", "customer_id", drifted["customer.id"].alias("customer_drift"), "customer_name", "customer_status", "extra_priority",
+            "extra_ids", "mixed", drifted["ID"].alias("id_clash")))
+
+
 # ---------------------------------------------------------------- streaming
 @query("stream_ingest", f"WITH {CAST_SQL}\nSELECT * FROM lc")
 def stream_ingest(spark, sf):

@@ -32,6 +32,7 @@ from strata.operators.setops import row_counts
 from strata.plans.entities import (CALENDAR, ENTITIES, FACT_CLUSTER, LAYERS, MART_TABLES,
                                    ORDER, Entity)
 from strata.sources import sinks as K
+from strata.sources.drift import read_drifting
 from strata.sources.landing import CORRUPT, read_landed, split_corrupt
 
 log = logging.getLogger(__name__)
@@ -234,7 +235,10 @@ def landed_schema(entity: Entity) -> str:
     return entity.landed_schema
 
 
-def read_entity(spark: SparkSession, landed_root: str, entity: Entity) -> DataFrame:
+def read_entity(spark: SparkSession, landed_root: str, entity: Entity, keep_drift: bool = False) -> DataFrame:
+    """The entity's landed records; ``keep_drift`` keeps what the declared schema lacks."""
+    if keep_drift:
+        return read_drifting(spark, _landed_path(landed_root, entity), entity.landed_schema, entity.parent)
     return read_landed(spark, _landed_path(landed_root, entity), landed_schema(entity),
                        parent_col=entity.parent)
 
@@ -340,11 +344,12 @@ def optimize_written(store: K.TableStore, done: dict, target_file_mb: int = K.DE
 def run(spark: SparkSession, store: K.TableStore, landed_root: str,
         layers: Iterable[str] = LAYERS, entities: Iterable[str] = ORDER,
         reference_mode: bool = False, with_marts: bool = True,
-        optimize: bool = False) -> dict:
+        optimize: bool = False, keep_drift: bool = True) -> dict:
     """L1: build the chosen layers and entities in order (shows, cast,
     episodes; bronze, silver, gold), then the marts; with ``optimize``,
     compact what was written. Bronze takes landed files as a stream source
-    that remembers which it has read, so a run reads the new ones only.
+    that remembers which it has read, so a run reads the new ones only; unless
+    ``keep_drift`` is off, fields that the source has added come along.
     Returns what loaded."""
     from strata.streaming.ingest import ingest_landed
     layers, entities = list(layers), [e for e in ORDER if e in set(entities)]
@@ -356,7 +361,7 @@ def run(spark: SparkSession, store: K.TableStore, landed_root: str,
             e = ENTITIES[name]
             if layer == "bronze":
                 done[(layer, name)] = ingest_landed(spark, store, e, landed_root,
-                                                    reference_mode=reference_mode)["appended"] > 0
+                                                    reference_mode=reference_mode, keep_drift=keep_drift)["appended"] > 0
             elif layer == "silver":
                 done[(layer, name)] = load_silver(store, e, reference_mode)
             else:
