@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, MapType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (ArrayType, DateType, MapType, StructType, TimestampNTZType, TimestampType)
 
 from strata.functions.scalars import LOW_WATER_DEFAULT
 from strata.operators.joins import BROADCAST_MAX_ROWS, measure_small
@@ -179,9 +179,61 @@ def increment_by_version(src: DataFrame, tgt: DataFrame | None, keys: Sequence[s
     return joined.filter(keep).select(*[src[c] for c in src.columns])
 
 
+def content_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128 bits that tell rows apart by the values of ``columns``. Hash
+    functions skip NULLs, and refuse maps, so NULLs are marked and nested
+    values go in as text."""
+    def marked(name: str) -> list[Column]:
+        c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        if isinstance(kind, MapType):
+            c, kind = F.array_sort(F.map_entries(c)), ArrayType(kind)
+        if isinstance(kind, (ArrayType, StructType)):
+            c = F.to_json(c, {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
+                              "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+        return [c, c.isNull()]
+    parts = [p for name in columns for p in marked(name)] or [F.lit(0)]
+    return F.struct(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2"))
+
+
+def changed_rows(src: DataFrame, tgt: DataFrame | None, keys: Sequence[str], order: str,
+                 ignore: Sequence[str] = (), probe_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``src`` whose key ``tgt`` lacks, or whose content differs from
+    the key's newest row there (by ``order``): the increment of a source that
+    corrects its rows without a version. NULL keys are keys.
+
+    The columns of ``src`` are compared, but the keys, ``order`` and
+    ``ignore``; one that the target lacks counts as NULL there. The target is
+    reduced to one 128-bit hash per key (a partial aggregate) before it moves,
+    and a small batch (measured) probes it through a broadcast of its keys, as
+    in ``increment_by_version``."""
+    if tgt is None:
+        return src
+    keys = list(keys)
+    compared = [c for c in src.columns if c not in {*keys, order, *ignore}]
+    renamed = [f"__tk{i}" for i in range(len(keys))]
+    missing = [F.lit(None).cast(src.schema[c].dataType).alias(c) for c in compared if c not in tgt.columns]
+    t = tgt.select("*", *missing)
+    # in the target's own types values may be wider, never different
+    t = t.select(*[F.col(f"`{k}`").alias(r) for k, r in zip(keys, renamed)], F.col(f"`{order}`").alias("__order"),
+                 *[F.col(f"`{c}`").cast(src.schema[c].dataType).alias(c) for c in compared])
+    t = t.select(*renamed, "__order", content_hash(t, compared).alias("__was"))
+    batch = _batch_keys(src, keys, probe_max_rows)
+    if batch is not None:
+        b = F.broadcast(batch)
+        t = t.join(b, _key_condition(t, b, renamed, keys, True), "left_semi")
+    newest = t.groupBy(*renamed).agg(F.max_by("__was", F.struct("__order", "__was")).alias("__was"))
+    if batch is not None:
+        newest = F.broadcast(newest)
+    now = src.withColumn("__now", content_hash(src, compared))
+    joined = now.join(newest, _key_condition(now, newest, keys, renamed, True), "left")
+    return joined.filter(~F.col("__now").eqNullSafe(F.col("__was"))).select(*[src[c] for c in src.columns])
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], version: str,
-                  tiebreak: Sequence[str] | str | None = None) -> DataFrame:
-    """The newest row per key of an append-only history.
+                  tiebreak: Sequence[str] | str | None = None, deleted: str | None = None) -> DataFrame:
+    """The newest row per key of an append-only history (I5). With ``deleted``
+    (a boolean column that marks tombstones) a key whose newest row is one is
+    left out.
 
     ``max_by`` is a partial aggregate: each task keeps one candidate per key
     before the shuffle, so a key with a third of all rows costs no more than
@@ -197,4 +249,5 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], version: str,
     order = F.struct(*[F.col(c) for c in [version, *(tiebreak or [])]], *last)
     picked = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("__row")))
-    return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
+    out = picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
+    return out.filter(~F.coalesce(F.col(deleted), F.lit(False))) if deleted else out

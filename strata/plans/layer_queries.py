@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import increment as I
 from strata.operators import marts as M
 from strata.plans import layers as L
 from strata.plans import standin as S
@@ -306,6 +307,23 @@ def silver_child_doubled(spark, sf):
     return _drop_audit(L.silver_increment(ENTITIES["episodes"], bronze.unionByName(again), None))
 
 
+@query("silver_child_corrected", "WITH " + EPISODES_SQL.replace(
+    "s_episodes AS (", "le3 AS (SELECT * REPLACE (CASE WHEN id % 5 = 0 THEN 'new ' || name ELSE name END AS name) FROM le2),\n"
+    "s_episodes AS (").replace("FROM le2 WHERE", "FROM le3 WHERE") + "\nSELECT * FROM s_episodes")
+def silver_child_corrected(spark, sf):
+    """The source has no version, and gives every fifth episode again under
+    another name, the others unchanged. The second load brings the corrected
+    ones only; the newest row per episode shows them."""
+    bronze = _bronze(spark, sf, "episodes")
+    later = bronze.select(*[
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("new "), "name")).otherwise(F.col(c)).alias(c) if c == "name"
+        else (F.col(c) + F.expr("interval 1 hour")).alias(c) if c == "created_date" else F.col(c) for c in bronze.columns])
+    e = ENTITIES["episodes"]
+    first = K.stage(L.silver_increment(e, bronze, None))
+    second = L.silver_increment(e, later, first)
+    return _drop_audit(I.latest_by_key(first.unionByName(second), list(e.silver_keys), "created_at"))
+
+
 def _renamed_star(spark, sf) -> M.Star:
     """The silver star, with an older credit under another name for every
     second person. Only the latest version of a credit counts."""

@@ -56,7 +56,9 @@ def bronze_increment(entity: Entity, records: DataFrame, target: DataFrame | Non
             return I.increment_by_watermark(records, target, "updated", default=0)
         return I.increment_by_version(records, target, ["id"], "updated")
     if entity.name == "episodes":
-        return I.new_rows(records, target, ["id"], null_safe=not reference_mode)
+        if reference_mode:
+            return I.new_rows(records, target, ["id"])
+        return I.changed_rows(records, target, ["id"], "created_date")
     if reference_mode:
         return I.new_rows(records, target, list(entity.bronze_keys))
     return I.increment_by_version(records, target, list(entity.bronze_keys), "person_updated")
@@ -136,8 +138,10 @@ def with_dw(df: DataFrame) -> DataFrame:
 def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None,
                      reference_mode: bool = False) -> DataFrame:
     """Typed, cleaned rows not yet in silver. Of several rows with one
-    key (and version) in a batch the one loaded last stays (D10); reference
-    mode only drops rows that are equal in every column."""
+    key (and version) in a batch the one loaded last stays (D10). An entity
+    without version also loads corrected rows: those that differ from the
+    key's newest one in silver. Reference mode only drops rows that are equal
+    in every column, and knows no corrections."""
     src = SILVER[entity.name](bronze)
     if reference_mode:
         src = src.distinct()
@@ -145,8 +149,8 @@ def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None
                else I.increment_by_watermark(src, target, entity.silver_version))
         return C.clean_strings(with_dw(inc))
     if entity.silver_version is None:
-        inc = I.new_rows(src, target, list(entity.silver_keys), null_safe=True)
-        inc = I.latest_by_key(inc, list(entity.silver_keys), "created_at", entity.tiebreak)
+        src = I.latest_by_key(src, list(entity.silver_keys), "created_at", entity.tiebreak)
+        inc = I.changed_rows(C.clean_strings(src), target, list(entity.silver_keys), "created_at")
     else:
         inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version)
         inc = I.latest_by_key(inc, [*entity.silver_keys, entity.silver_version], "created_at", entity.tiebreak)
@@ -183,10 +187,14 @@ def gold_frame(entity: Entity, silver: DataFrame, reference_mode: bool = False)
 
 def gold_increment(entity: Entity, silver: DataFrame, target: DataFrame | None,
                    reference_mode: bool = False) -> DataFrame:
-    """Column subset, increment, cleaned."""
+    """Column subset, increment, cleaned. Corrected rows of an entity
+    without version are loaded again, as in silver."""
     src = gold_frame(entity, silver, reference_mode)
-    if entity.silver_version is None:
+    if entity.silver_version is None and (reference_mode or UPSTREAM not in src.columns):
         inc = I.new_rows(src, target, list(entity.silver_keys), null_safe=True)
+    elif entity.silver_version is None:
+        src = I.latest_by_key(src, list(entity.silver_keys), UPSTREAM)
+        inc = I.changed_rows(C.clean_strings(src), target, list(entity.silver_keys), UPSTREAM)
     elif reference_mode:
         inc = I.increment_by_watermark(src, target, entity.silver_version)
     else:
@@ -198,11 +206,14 @@ def gold_increment(entity: Entity, silver: DataFrame, target: DataFrame | None,
 def silver_star(shows: DataFrame, episodes: DataFrame, cast: DataFrame,
                 reference_mode: bool = False) -> M.Star:
     """The fact's three factors from silver. Unless in reference mode, only
-    the latest version of each show and of each credit counts (D1)."""
+    the latest version of each show, credit and (corrected) episode counts (D1)."""
     if not reference_mode:
         ties = lambda df: [c for c in ("created_at", "dw_updated_timestamp") if c in df.columns]
         shows = I.latest_by_key(shows, ["show_id"], "updated", ties(shows))
         cast = I.latest_by_key(cast, list(ENTITIES["cast"].silver_keys), "person_updated", ties(cast))
+        if ties(episodes):
+            first, *more = ties(episodes)
+            episodes = I.latest_by_key(episodes, list(ENTITIES["episodes"].silver_keys), first, more)
     return M.Star(
         shows.select("show_id", "show_name", "language", "genres"),
         episodes.select("show_id", "season", "episode_id", "episode_name",

@@ -17,6 +17,7 @@ from strata.operators import increment as I
 from strata.operators import joins as J
 from strata.operators import marts as M
 from strata.operators import setops as U
+from strata.operators import snapshots as SN
 from strata.plans import standin as S
 from strata.plans.registry import query
 from strata.sources.landing import parse_json
@@ -627,3 +628,55 @@ def union_exact(spark, sf):
     f"SELECT '{t}' AS table_name, COUNT(*) AS record_count FROM {t}" for t in S.TABLES))
 def row_counts(spark, sf):
     return U.row_counts({t: _t(spark, sf, t) for t in S.TABLES})
+
+
+# ---------------------------------------------------------------- snapshots
+# Two snapshots of orders. Keys ending in 1 are new, in 2 gone, in 3 at another
+# price; those in 4 have no key (four rows in ten of them changed); rows in 5
+# come twice in the old one and three times in the new one, in 6 the reverse.
+SNAPSHOT_SQL = """
+WITH base AS (SELECT o_orderkey % 10 AS d, CASE WHEN o_orderkey % 10 <> 4 THEN o_orderkey END AS id, o_custkey, o_totalprice, o_orderkey FROM orders),
+old AS (
+  SELECT id, o_custkey, o_totalprice FROM base WHERE d <> 1
+  UNION ALL SELECT id, o_custkey, o_totalprice FROM base WHERE d IN (5, 6)
+  UNION ALL SELECT id, o_custkey, o_totalprice FROM base WHERE d = 6),
+new AS (
+  SELECT id, o_custkey, CASE WHEN d = 3 OR (d = 4 AND o_custkey % 10 < 4) THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM base WHERE d <> 2
+  UNION ALL SELECT id, o_custkey, o_totalprice FROM base WHERE d IN (5, 6)
+  UNION ALL SELECT id, o_custkey, o_totalprice FROM base WHERE d = 5)"""
+
+
+def _snapshots(spark, sf):
+    o = S.read(spark, sf, "orders")
+    d = F.col("o_orderkey") % 10
+    base = o.select(d.alias("d"), F.when(d != 4, F.col("o_orderkey")).alias("id"), "o_custkey", "o_totalprice")
+    columns = ["id", "o_custkey", "o_totalprice"]
+    raised = (F.col("d") == 3) | ((F.col("d") == 4) & (F.col("o_custkey") % 10 < 4))
+
+    def copies(*of):
+        return F.explode(F.array_repeat(F.lit(0), F.when(F.col("d") == of[0], 2).when(F.col("d") == of[1], 3).otherwise(1)))
+    old = base.where("d <> 1").withColumn("x", copies(5, 6)).select(*columns)
+    new = base.where("d <> 2").withColumn("o_totalprice", F.when(raised, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return old, new.withColumn("x", copies(6, 5)).select(*columns)
+
+
+@query("snapshot_diff", SNAPSHOT_SQL + """,
+counted AS (
+  SELECT id, o_custkey, o_totalprice, sum(o) AS o, sum(n) AS n FROM (
+    SELECT *, 1 AS o, 0 AS n FROM old UNION ALL SELECT *, 0, 1 FROM new) GROUP BY ALL),
+held AS (SELECT *, sum(o) OVER (PARTITION BY id) > 0 AS in_old, sum(n) OVER (PARTITION BY id) > 0 AS in_new FROM counted)
+SELECT 'same' AS change, CAST(least(o, n) AS BIGINT) AS copies, id, o_custkey, o_totalprice FROM held WHERE least(o, n) > 0
+UNION ALL SELECT CASE WHEN in_old THEN 'update' ELSE 'insert' END, CAST(n - o AS BIGINT), id, o_custkey, o_totalprice FROM held WHERE n > o
+UNION ALL SELECT CASE WHEN in_new THEN 'replaced' ELSE 'delete' END, CAST(o - n AS BIGINT), id, o_custkey, o_totalprice FROM held WHERE o > n""")
+def snapshot_diff(spark, sf):
+    return SN.snapshot_changes(*_snapshots(spark, sf), ["id"], SN.CHANGES)
+
+
+@query("snapshot_history", SNAPSHOT_SQL + " SELECT DISTINCT * FROM new WHERE id IS NOT NULL")
+def snapshot_history(spark, sf):
+    """A history of the old snapshot, and what the new one changed appended,
+    tombstones too: the newest row per key is the new snapshot's."""
+    old, new = (x.where("id is not null").distinct() for x in _snapshots(spark, sf))
+    history = old.select("*", F.lit(False).alias("is_deleted"), F.lit(1).alias("load"))
+    history = history.unionByName(SN.tombstones(old, new, ["id"]).select("*", F.lit(2).alias("load")))
+    return I.latest_by_key(history, ["id"], "load", deleted="is_deleted").drop("is_deleted", "load")
