@@ -62,9 +62,9 @@ def held_out_of_language(doc_id: Column) -> Column:
 # ---------------------------------------------------------------- texts as bytes
 class Slice:
     """Some texts as words and as bytes. ``words``: all words; ``word_text``:
-    the text each belongs to; ``n_words`` per text. ``data``: the bytes, every
-    text with DEPTH zeros before it; ``byte_text`` and ``real`` (not one of
-    the zeros) per byte."""
+    the text each belongs to; ``n_words`` per text. ``data``, once ``grams``
+    needs it: the bytes, every text with DEPTH zeros before it; ``byte_text``
+    and ``real`` (not one of the zeros) per byte; ``n_bytes`` per text."""
 
     def __init__(self, column: pa.Array, depth: int = DEPTH):
         self.n, self.depth = len(column), depth
@@ -77,8 +77,13 @@ class Slice:
         flat = lists.flatten()
         self.words = flat.filter(pc.not_equal(flat, ""))
         self.word_text = np.repeat(np.arange(self.n), n_words)
+        self._lists = lists
+
+    def _bytes(self) -> None:
+        """Work out ``data``, ``byte_text``, ``n_bytes`` and ``real``."""
+        depth = self.depth
         start, end, space, nothing = (pa.scalar(x, pa.large_string()) for x in ("\0" * depth, "\n", " ", ""))
-        whole = pc.binary_join_element_wise(start, pc.binary_join(lists, space), end, nothing)
+        whole = pc.binary_join_element_wise(start, pc.binary_join(self._lists, space), end, nothing)
         offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:whole.offset + self.n + 1]
         self.data = np.frombuffer(whole.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         starts = offsets[:-1] - offsets[0]
@@ -91,6 +96,8 @@ class Slice:
         """(gram, text) of every byte, ``size`` bytes at a time: the byte below
         the DEPTH bytes before it, the nearest in the lowest place."""
         k = self.depth
+        if not hasattr(self, "data"):
+            self._bytes()
         for lo in range(k, len(self.data), size):
             hi = min(lo + size, len(self.data))
             part = self.data[lo - k:hi].astype(np.uint64)
@@ -157,7 +164,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, n_train) of each slice."""
     for batch in batches:
         learns = ~batch.column("held").to_numpy(zero_copy_only=False)
-        for at, part in slices(batch.column("text"), 16 * SLICE_BYTES):
+        for at, part in slices(batch.column("text"), 2 * SLICE_BYTES):
             coded = part.words.dictionary_encode()
             code, k = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
             n_train = np.bincount(code[learns[at:at + part.n][part.word_text]], minlength=k)
@@ -406,8 +413,9 @@ def _texts(trees, hot, keep: list[str]):
                 k = max(len(kinds), 1)
                 pairs, n = np.unique(text[~known] * k + code[~known], return_counts=True)
                 ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(pairs // k, minlength=part.n))]).astype(np.int32))
+                score = _scores(trees.value, part)
                 columns = [batch.column(c).slice(at, part.n) for c in keep] + [
-                    pa.array(_scores(trees.value, part)), pa.array(part.n_bytes), pa.array(part.n_words + 1), pa.array(n_known.astype(np.int64)),
+                    pa.array(score), pa.array(part.n_bytes), pa.array(part.n_words + 1), pa.array(n_known.astype(np.int64)),
                     pa.array(logs), pa.ListArray.from_arrays(ends, kinds.take(pa.array(pairs % k))),
                     pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int64)))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "n_bytes", "n_tokens", "known", "logs", "words", "counts"])
