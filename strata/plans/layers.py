@@ -332,7 +332,8 @@ def load_marts(store: K.TableStore, reference_mode: bool = False) -> M.MartResul
 
 
 def optimize_written(store: K.TableStore, done: dict, target_file_mb: int = K.DEFAULT_FILE_MB) -> list:
-    """Rewrite the tables a run wrote into fewer, larger files (S12). Silver
+    """Rewrite what a run left in too small files into fewer, larger ones (S12):
+    of partitioned tables only the partitions that gain by it. Silver
     episodes, the fact's child factor, are laid out by the fact's cluster
     columns (S13). Returns the rewritten table names."""
     spark = store.spark
@@ -348,19 +349,20 @@ def optimize_written(store: K.TableStore, done: dict, target_file_mb: int = K.DE
         if name == store.name("silver", ENTITIES["episodes"].silver_table):
             K.cluster_rewrite(spark, name, list(FACT_CLUSTER), target_file_mb)
         else:
-            K.compact(spark, name, target_file_mb)
+            K.compact_where_needed(spark, name, target_file_mb)
     return names
 
 
 def run(spark: SparkSession, store: K.TableStore, landed_root: str,
         layers: Iterable[str] = LAYERS, entities: Iterable[str] = ORDER,
         reference_mode: bool = False, with_marts: bool = True,
-        optimize: bool = False, keep_drift: bool = True) -> dict:
+        optimize: bool = False, keep_drift: bool = False) -> dict:
     """L1: build the chosen layers and entities in order (shows, cast,
     episodes; bronze, silver, gold), then the marts; with ``optimize``,
     compact what was written. Bronze takes landed files as a stream source
-    that remembers which it has read, so a run reads the new ones only; unless
-    ``keep_drift`` is off, fields that the source has added come along.
+    that remembers which it has read, so a run reads the new ones only; with
+    ``keep_drift`` (the command line's default) fields that the source has
+    added come along.
     Returns what loaded."""
     from strata.streaming.ingest import ingest_landed
     layers, entities = list(layers), [e for e in ORDER if e in set(entities)]

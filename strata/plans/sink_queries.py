@@ -178,3 +178,19 @@ def compact_roundtrip(spark, sf):
 @query("cluster_roundtrip", "SELECT * FROM orders WHERE year(o_orderdate) >= 1992")
 def cluster_roundtrip(spark, sf):
     return _rewritten(spark, sf, lambda name: K.cluster_rewrite(spark, name, ["o_custkey"]))
+
+
+@query("compact_partial", "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS partition_year FROM orders")
+def compact_partial(spark, sf):
+    """Every second year arrives in four appends and is packed; the other
+    years keep the file they were written to."""
+    with scratch_store(spark, "partial") as store:
+        name = store.name("silver", "orders_partial")
+        store.ensure_database("silver")
+        o = _orders(spark, sf).withColumn("partition_year", F.year("o_orderdate"))
+        odd = F.col("partition_year") % 2 == 1
+        K.append_table(o.filter(~odd | F.col("partition_year").isNull()), name, ["partition_year"], created=None)
+        for k in range(4):
+            K.append_table(o.filter(odd & (F.col("o_orderkey") % 4 == k)), name, ["partition_year"], created=None)
+        K.compact_where_needed(spark, name)
+        return keep_result(spark.table(name))

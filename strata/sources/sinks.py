@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DataType, DecimalType, MapType, StructField,
                                StructType)
 
+from strata.operators.joins import measure_small
 from strata.session import scratch_path
 
 log = logging.getLogger(__name__)
 
 DEFAULT_FILE_MB = 128
+MAX_TASKS = 100_000
 
 
 # ---------------------------------------------------------------- catalog
@@ -382,6 +384,79 @@ def compact(spark: SparkSession, name: str, target_file_mb: int = DEFAULT_FILE_M
     return RewriteStats(before, file_count(spark, name), size, n)
 
 
+# Fixed value: a file of this share of the target size or more is left as it is.
+FULL_FILE = 0.75
+
+
+def partition_files(spark: SparkSession, name: str) -> DataFrame:
+    """(partition columns, file, bytes) of every data file of a table, from
+    the files' own metadata; no column of the rows is read."""
+    pcols = partition_columns(spark, name)
+    return spark.table(name).select(
+        *pcols, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).distinct()
+
+
+def partitions_to_compact(files: DataFrame, pcols: Sequence[str], target_file_mb: float = DEFAULT_FILE_MB,
+                          min_saved: int = 1) -> DataFrame:
+    """(partition columns, files, small, bytes, packed): the partitions whose
+    small files would pack into at least ``min_saved`` fewer. ``packed`` is how
+    many files of the target size the whole partition fills."""
+    target = int(target_file_mb * 1024 * 1024)
+    small = F.col("bytes") < int(target * FULL_FILE)
+    per = files.groupBy(*pcols).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(small).alias("small"), F.sum("bytes").alias("bytes"),
+        F.coalesce(F.sum(F.when(small, F.col("bytes"))), F.lit(0)).alias("small_bytes"))
+    fewer = F.greatest(F.ceil(F.col("small_bytes") / target), F.lit(1))
+    return per.where(F.col("small") - fewer >= min_saved).select(
+        *pcols, "files", "small", "bytes", F.greatest(F.ceil(F.col("bytes") / target), F.lit(1)).cast("int").alias("packed"))
+
+
+def compact_where_needed(spark: SparkSession, name: str, target_file_mb: float = DEFAULT_FILE_MB,
+                         min_saved: int = 1) -> RewriteStats | None:
+    """Compaction of what needs it. Partitions whose small files pack into
+    fewer are rewritten, the others keep their files; an unpartitioned table is
+    one partition. None if there is nothing to do.
+
+    The chosen rows are staged, dealt over as many tasks as the packed files
+    (a partition's rows by their hash, so a large one spans several tasks) and
+    put in place by dynamic partition overwrite. As with every rewrite, if that
+    fails the error names the staging table."""
+    pcols = partition_columns(spark, name)
+    chosen = partitions_to_compact(partition_files(spark, name), pcols, target_file_mb, min_saved)
+    chosen = stage(chosen, "to-compact")
+    total = chosen.agg(F.sum("packed").alias("n"), F.sum("bytes").alias("b"), F.sum("files").alias("f")).first()
+    if not total["n"]:
+        return None
+    if not pcols:
+        return compact(spark, name, max(1, int(target_file_mb)))
+    before = file_count(spark, name)
+    marks = chosen.select(*[F.col(f"`{c}`").alias(f"__p{i}") for i, c in enumerate(pcols)], "packed")
+    on = F.lit(True)
+    for i, c in enumerate(pcols):
+        on = on & F.col(f"`{c}`").eqNullSafe(F.col(f"__p{i}"))
+    table = spark.table(name)
+    staging = f"{name}__staging_{uuid.uuid4().hex[:8]}"
+    # as many rows as the table has partitions: broadcast only if that measures small
+    side = marks.drop("packed")
+    if measure_small(side).small:
+        side = F.broadcast(side)
+    table.join(side, on, "left_semi").write.format("parquet").saveAsTable(staging)
+    try:
+        held = spark.table(staging)
+        hashable = [f.name for f in held.schema.fields if not isinstance(f.dataType, MapType)]
+        wide = F.broadcast(marks) if measure_small(marks).small else marks
+        tagged = held.join(wide, on).withColumn("__slice", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.col("packed")))
+        dealt = tagged.repartition(min(int(total["n"]), MAX_TASKS), *[F.col(f"`{c}`") for c in pcols], "__slice")
+        with _overwrite_mode(spark, "dynamic"):
+            dealt.select(*[F.col(f"`{c}`") for c in table.columns]).write.insertInto(name, overwrite=True)
+    except Exception as e:
+        e.add_note(f"the rewritten partitions of {name} are in {staging}")
+        raise
+    spark.sql(f"DROP TABLE {staging}")
+    spark.catalog.refreshTable(name)
+    return RewriteStats(before, file_count(spark, name), int(total["b"]), chosen.count())
+
+
 def cluster_rewrite(spark: SparkSession, name: str, cols: Sequence[str],
                     target_file_mb: int = DEFAULT_FILE_MB) -> RewriteStats | None:
     """Lay the table out range-partitioned and sorted on ``cols`` so each
