@@ -17,6 +17,7 @@ and renamed, and its content does not depend on the attempt.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,6 +46,26 @@ KEY = 0x5EED
 ROUNDS = 6
 
 
+#: Fixed value: the white space of CUT.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: A run of white space from this length on is cut out of its text; the
+#: pattern's look-ahead would run out of stack on a very long one.
+LONG_GAP = 10_000
+
+
+def long_gaps(text: str) -> Iterator[tuple[str, bool]]:
+    """``text`` in parts that CUT would cut apart anyway, and whether a part is
+    a long run of white space. Such a run keeps its last character for what
+    follows, as CUT does; at the end of the text it is whole."""
+    at = 0
+    for gap in re.finditer(f"[{SPACE}]{{{LONG_GAP},}}", text):
+        end = gap.end() if gap.end() == len(text) else gap.end() - 1
+        yield text[at:gap.start()], False
+        yield text[gap.start():end], True
+        at = end
+    yield text[at:], False
+
+
 class Encoder:
     """Token ids of texts as little-endian bytes.
 
@@ -63,7 +84,8 @@ class Encoder:
         wide = pc.match_substring_regex(texts, r"[\s\v\p{Z}\x{85}]{2}")
         for t, exact in zip(texts, wide, strict=True):
             model = self.exact if exact.as_py() else self.quick
-            yield np.array(model.encode_ordinary(t.as_py() or ""), dtype=self.kind).tobytes()
+            ids = [i for part, plain in long_gaps(t.as_py() or "") for i in (self.quick if plain else model).encode_ordinary(part)]
+            yield np.array(ids, dtype=self.kind).tobytes()
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

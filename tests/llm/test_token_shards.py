@@ -81,3 +81,17 @@ def test_same_input_gives_the_same_shards(spark, tmp_path):
     docs = table(spark, SF_SMALL, "documents")
     sums = [[r["crc32"] for r in shards(docs, tmp_path / str(k))[1]] for k in range(2)]
     assert sums[0] == sums[1]
+
+
+def test_long_white_space_is_cut_as_the_pattern_does():
+    import pyarrow as pa
+    import tiktoken
+    ranks = {bytes([b]): b for b in range(256)} | {b"  ": 256, b"    ": 257, b" a": 258, b"\n\n": 259}
+    plain = tiktoken.Encoding("t", pat_str=T.CUT, mergeable_ranks=ranks, special_tokens={})
+    n = T.LONG_GAP
+    texts = [x for k in (n - 1, n, n + 1, 3 * n) for x in (
+        "x" + " " * k + "a b", " " * k, "x " + "\n" * k + " \na", "a" + " " * k + "\u3000" * 3 + "1", " " * k + "x" + "\t" * k)]
+    model = T.Encoder(ranks, 300)
+    got = [np.frombuffer(b, model.kind).tolist() for b in model.encode(pa.array(texts))]
+    assert got == [plain.encode_ordinary(t) for t in texts]
+    assert len(list(model.encode(pa.array(["a" + " " * 10 ** 6 + "b"])))) == 1  # more than the pattern itself can take
