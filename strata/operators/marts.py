@@ -232,6 +232,42 @@ def fact_summary(star: Star) -> DataFrame:
                     "n_persons"))
 
 
+def _factor_changes(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """Per parent, how many distinct rows of a factor the old state has, the
+    new one, and both. One grouping by row, which combines before it shuffles,
+    then one by parent."""
+    flag = lambda df, is_old: df.where("show_id is not null").select(
+        "*", F.lit(int(is_old)).alias("__o"), F.lit(int(not is_old)).alias("__n"))
+    rows = flag(old, True).unionByName(flag(new, False)).groupBy(*old.columns).agg(F.max("__o").alias("__o"), F.max("__n").alias("__n"))
+    return rows.groupBy("show_id").agg(F.sum("__o").alias(f"{name}_old"), F.sum("__n").alias(f"{name}_new"),
+                                       F.sum(F.col("__o") * F.col("__n")).alias(f"{name}_both"))
+
+
+def fact_changes(old: Star, new: Star) -> DataFrame:
+    """Per parent, the fact rows that a load adds and takes away, from the
+    changes of the fact's three factors (the increment of J7/B7).
+
+    The fact is tags x children x bridge rows of a parent, so two states share
+    exactly the product of what their factors share. The new state's product
+    less the shared one is added, the old state's less the shared one is gone:
+    for growing factors that is new x old + old x new + new x new, summed. No
+    product is built. A parent without bridge rows has one row of NULLs in
+    their place, which goes when it gets its first. Parents whose rows stay
+    are left out; NULL parents are in no fact."""
+    tags = _factor_changes(old.parent_tags(), new.parent_tags(), "t")
+    kids = _factor_changes(old.children.select(*CHILD_COLS), new.children.select(*CHILD_COLS), "c")
+    bridge = _factor_changes(old.bridge.select(*BRIDGE_COLS), new.bridge.select(*BRIDGE_COLS), "b")
+    joined = tags.join(kids, "show_id").join(bridge, "show_id", "left")
+    n = {f"b_{s}": F.coalesce(F.col(f"b_{s}"), F.lit(0)) for s in ("old", "new", "both")}
+    none_old, none_new = n["b_old"] == 0, n["b_new"] == 0
+    n["b_both"] = F.when(none_old & none_new, 1).otherwise(n["b_both"])
+    n["b_old"], n["b_new"] = F.greatest(n["b_old"], F.lit(1)), F.greatest(n["b_new"], F.lit(1))
+    rows = {s: F.col(f"t_{s}") * F.col(f"c_{s}") * n[f"b_{s}"] for s in ("old", "new", "both")}
+    out = joined.select("show_id", (rows["new"] - rows["both"]).cast("long").alias("added_rows"),
+                        (rows["old"] - rows["both"]).cast("long").alias("removed_rows"))
+    return out.where("added_rows > 0 or removed_rows > 0")
+
+
 MARTS: Mapping[str, Callable[[Star], DataFrame]] = {
     "episodes_per_season": episodes_per_season,
     "avg_runtime_per_show": avg_runtime,

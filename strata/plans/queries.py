@@ -680,3 +680,42 @@ def snapshot_history(spark, sf):
     history = old.select("*", F.lit(False).alias("is_deleted"), F.lit(1).alias("load"))
     history = history.unionByName(SN.tombstones(old, new, ["id"]).select("*", F.lit(2).alias("load")))
     return I.latest_by_key(history, ["id"], "load", deleted="is_deleted").drop("is_deleted", "load")
+
+
+# ---------------------------------------------------------------- the fact's increment
+# First load: no episodes of one remainder, another runtime for some, fewer
+# credits (none at all for some parents), one tag only for some. Second: all.
+FACT_CHANGES_SQL = """,
+old_episodes AS (
+  SELECT * REPLACE (CASE WHEN episode_id % 10 = 0 THEN runtime + 1 ELSE runtime END AS runtime) FROM episodes WHERE episode_id % 4 <> 1),
+old_cast AS (SELECT * FROM cast_ WHERE person_id % 3 <> 0 AND show_id % 7 <> 0),
+old_genres AS (
+  SELECT show_id, show_name, language, unnest(CASE WHEN show_id % 5 = 0 THEN genres[1:1] ELSE genres END) AS genre FROM shows),
+old_fact AS (
+  SELECT DISTINCT e.show_id, g.show_name, g.language, g.genre, e.season, e.episode_id, e.episode_name, e.airdate, e.runtime,
+         c.person_id, c.cast_name, c.character_id, c.character_name
+  FROM old_episodes e JOIN old_genres g ON e.show_id = g.show_id LEFT JOIN old_cast c ON e.show_id = c.show_id),
+changes AS (
+  SELECT show_id, 1 AS a, 0 AS r FROM (SELECT * FROM fact EXCEPT SELECT * FROM old_fact)
+  UNION ALL SELECT show_id, 0, 1 FROM (SELECT * FROM old_fact EXCEPT SELECT * FROM fact))
+SELECT show_id, CAST(sum(a) AS BIGINT) AS added_rows, CAST(sum(r) AS BIGINT) AS removed_rows FROM changes GROUP BY show_id"""
+
+
+def _fact_changes(spark, sf, hot: bool):
+    new = S.star(spark, sf, hot=hot)
+    runtime = F.when(F.col("episode_id") % 10 == 0, F.col("runtime") + 1).otherwise(F.col("runtime"))
+    old = M.Star(
+        new.parents.withColumn("genres", F.when(F.col("show_id") % 5 == 0, F.slice("genres", 1, 1)).otherwise(F.col("genres"))),
+        new.children.where(F.col("episode_id") % 4 != 1).withColumn("runtime", runtime),
+        new.bridge.where((F.col("person_id") % 3 != 0) & (F.col("show_id") % 7 != 0)))
+    return M.fact_changes(old, new)
+
+
+@query("fact_increment", STAR_SQL + FACT_CHANGES_SQL)
+def fact_increment(spark, sf):
+    return _fact_changes(spark, sf, hot=False)
+
+
+@query("fact_increment_hot", HOT_STAR_SQL + FACT_CHANGES_SQL)
+def fact_increment_hot(spark, sf):
+    return _fact_changes(spark, sf, hot=True)
