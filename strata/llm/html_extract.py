@@ -30,6 +30,7 @@ from strata.llm.html_tree import INLINE, Tree
 
 #: Pages whose sentences fill the training pages, and how many of these.
 SAMPLE_PAGES = 200
+TRAIN_SENTENCES = 20_000
 TRAIN_PAGES = 1200
 
 #: What class, id and role words say about a part of a page.
@@ -331,16 +332,20 @@ class PageMaker:
                 + (foot if self.chance(0.85) else "") + "</body></html>")
 
 
-def training_set(pages: list[str | None], made: int = TRAIN_PAGES) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the judged elements of ``made`` training pages.
-    An element is kept if any text below it is the article's."""
-    sentences = []
-    for p in pages:
-        tree = Tree(p or "")
-        for e, t, _ in tree.texts:
-            if tree.tag[e] not in SILENT:
-                sentences += [s.strip() for s in re.findall(r"[^.!?\n]{12,400}[.!?]", t)]
-    maker = PageMaker(sorted(set(sentences))[:20_000])
+def page_sentences(page: str | None) -> list[str]:
+    """The sentences of a whole page."""
+    tree, out = Tree(page or ""), []
+    for e, t, _ in tree.texts:
+        if tree.tag[e] not in SILENT:
+            out += [s.strip() for s in re.findall(r"[^.!?\n]{12,400}[.!?]", t)]
+    return out
+
+
+def training_set(sentences: list[str], made: int = TRAIN_PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the judged elements of ``made`` training pages,
+    filled with ``sentences``. An element is kept if any text below it is the
+    article's."""
+    maker = PageMaker(sorted(set(sentences)))
     xs, ys = [], []
     for _ in range(made):
         tree = Tree(maker.page())
@@ -358,9 +363,21 @@ def training_set(pages: list[str | None], made: int = TRAIN_PAGES) -> tuple[np.n
 
 
 def learn(pages: DataFrame, page_id: str, html: str) -> boosting.Trees:
-    sample = pages.where(F.col(html).isNotNull()).orderBy(F.xxhash64(page_id, html)).limit(SAMPLE_PAGES)
-    x, y = training_set([r[0] for r in sample.select(F.substring(html, 1, 20_000)).collect()])
-    return boosting.fit(x, y, trees=60, depth=5)
+    """Trees from at most TRAIN_SENTENCES sentences of SAMPLE_PAGES whole pages,
+    both those with the least hash. Only hashes and the sentences chosen leave
+    the tasks."""
+    hashed = pages.where(F.col(html).isNotNull()).select(F.xxhash64(page_id, html).alias("h"), F.col(html).alias("html"))
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(page_sentences(page.as_py()), pa.string())], names=["s"])
+    sentences: list[str] = []
+    if least:
+        found = hashed.where(F.col("h").isin(least)).select("html").mapInArrow(cut, "s string").distinct()
+        sentences = [r["s"] for r in found.orderBy(F.xxhash64("s"), "s").limit(TRAIN_SENTENCES).collect()]
+    return boosting.fit(*training_set(sentences), trees=60, depth=5)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 #: Fixed values from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -24,7 +25,8 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 BARRIER = frozenset("ul ol dl table article section div main body html td th select form aside nav".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_OPEN_END = re.compile(r"<(?:/?[a-zA-Z][^>]*|/)?\Z", re.S)
+#: Behind the last ">": a tag, comment or declaration that the page breaks off in.
+_OPEN_END = re.compile(r"<(?:/?[a-zA-Z]|/?\Z|[!?])")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:@][\w:.@-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 
 
@@ -38,10 +40,11 @@ class Tree:
         self.parent, self.tag, self.attributes, self.last = [-1], [""], [""], [0]
         self.texts: list[tuple[int, str, int]] = []
         stack = [0]
+        opened: Counter[str] = Counter()  # open elements per name
         at = 0
-        end = len(page)
-        if m := _OPEN_END.search(page, max(0, end - 4096)):
-            end = m.start()  # a tag that the page breaks off in
+        end, whole = len(page), page.rfind(">") + 1  # tags end before ``whole``
+        if m := _OPEN_END.search(page, whole):
+            end = m.start()
 
         block = 0
 
@@ -51,12 +54,13 @@ class Tree:
             for e in stack[depth:]:
                 self.last[e] = len(self.tag) - 1
                 left += self.tag[e] not in INLINE
+                opened[self.tag[e]] -= 1
             del stack[depth:]
             return left
 
         lowered = None
         while at < end:
-            m = _TOKEN.search(page, at, end)
+            m = _TOKEN.search(page, at, end) if at < whole else None
             until = m.start() if m else end
             if until > at:
                 self.texts.append((stack[-1], html.unescape(page[at:until]), block))
@@ -67,6 +71,8 @@ class Tree:
             if name is None:
                 continue
             name = name.lower()
+            if closing and not opened[name]:
+                continue
             if closing:
                 for depth in range(len(stack) - 1, 0, -1):
                     if self.tag[stack[depth]] == name:
@@ -76,7 +82,7 @@ class Tree:
                         break
                 continue
             ends = {"p"} if name in CLOSES_P else ENDS.get(name, ())
-            if ends:
+            if any(opened[x] for x in ends):
                 for depth in range(len(stack) - 1, 0, -1):
                     tag = self.tag[stack[depth]]
                     if tag in ends:
@@ -103,6 +109,7 @@ class Tree:
                 at = at or len(page)
                 continue
             stack.append(len(self.tag) - 1)
+            opened[name] += 1
         pop_to(0)
         self.size = len(self.tag)
 

@@ -102,3 +102,23 @@ def test_given_pages_and_awkward_rows(spark):
     assert len(got) == 5 + pages.count()
     assert [r["text"] for r in got if r["page_id"] is None] == [""]
     assert H.extract(odd.limit(0)).count() == 0
+
+
+def test_bad_markup_takes_linear_time():
+    import time
+
+    from strata.llm.html_tree import Tree
+    shapes = (lambda n: "<div>" * n + "</b>" * n + "x", lambda n: "<a '" * n, lambda n: "<b>" * n + "<div>" * n + "</p>" * n)
+    for shape in shapes:
+        took = []
+        for n in (8_000, 16_000):
+            start = time.process_time()
+            Tree(shape(n))
+            took.append(time.process_time() - start)
+        assert took[1] < 3.5 * took[0] + 0.2
+
+
+def test_a_long_tag_that_the_page_breaks_off_in_is_no_text():
+    from strata.llm.html_tree import Tree
+    for tail in ('<img src="data:' + "A" * 50_000, "<!-- " + "b" * 9_000, "<", "</", "</di", "<?x " + "c" * 5_000):
+        assert "".join(t for _, t, _ in Tree("<p>one < two</p>rest " + tail).texts) == "one < tworest "
