@@ -3,8 +3,11 @@
 Each rule votes good (1), bad (0) or abstains (-1) on a document. The rules'
 accuracies are unknown: expectation-maximisation estimates, for each rule and
 each hidden class, how often it votes each way, from the counts of the vote
-patterns over the whole corpus. A document is kept if its posterior
-probability of being good is at least one half.
+patterns over the whole corpus. One class is the good texts. How many classes
+of bad texts there are is estimated too: a class is added while the vote
+patterns become clearly likelier by it. A rule that votes bad as often on good
+texts as on bad ones is no evidence, and is outvoted. A document is kept if its
+posterior probability of being good is at least one half.
 
 Everything per document is built-in expressions. The estimation sees one row
 per distinct vote pattern (at most 3 ** rules of them, whatever the corpus
@@ -17,6 +20,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +136,8 @@ RULES: tuple[Rule, ...] = (
 @dataclass(frozen=True)
 class LabelModel:
     """``share`` of each hidden class and, for each class and rule, how often
-    a vote of that rule is "good". Class 0 is the good texts; class k + 1 is
-    the kind of bad text that rule k is there to see."""
+    a vote of that rule is "good". Class 0 is the good texts, the others are
+    kinds of bad texts."""
 
     share: tuple[float, ...]
     says_good: tuple[tuple[float, ...], ...]
@@ -146,53 +150,73 @@ class LabelModel:
         return 1 / sum(math.exp(min(x - like[0], 700.0)) for x in like)
 
 
-def fit_label_model(patterns: dict[tuple[int, ...], int], rules: int, rounds: int = 100) -> LabelModel:
-    """Expectation-maximisation over vote-pattern counts.
-
-    Bad texts come in kinds that few rules see at a time, so one class of bad
-    texts would make the rules contradict each other; there is a kind for each
-    rule instead. Per class and rule one probability of voting good is
-    estimated. Beta pseudo-counts say what the rules are for: nearly always
-    right about good texts, and about their own kind. Two bounds keep the
-    classes in their places: a rule votes bad on at most 2 % of the good texts
-    it votes on, and on at least half of its own kind. An empty corpus returns
-    the pseudo-counts.
-    """
-    tiny = 1e-9
-    classes = range(rules + 1)
-    base = [0.9] + [0.1 / rules] * rules
-    start = [[0.99] * rules] + [[0.1 if r == k else 0.9 for r in range(rules)] for k in range(rules)]
-    weight = [[20.0] * rules] + [[20.0 if r == k else 4.0 for r in range(rules)] for k in range(rules)]
-    share, says = base, start
-    last = -math.inf
+def ordered_rates(yes: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """``yes / total`` per class and rule, the likeliest under which a rule
+    votes bad on no class less often than on the good one (class 0): classes
+    below it are pooled with it, the lowest first."""
+    rates = yes / total
+    order = np.argsort(rates[1:], axis=0) + 1
+    rule = np.arange(rates.shape[1])
+    pooled_yes, pooled = yes[0].copy(), total[0].copy()
+    for c in order:
+        below = rates[c, rule] < pooled_yes / pooled
+        pooled_yes += np.where(below, yes[c, rule], 0)
+        pooled += np.where(below, total[c, rule], 0)
+    lowest = pooled_yes / pooled
+    return np.vstack([lowest, np.maximum(rates[1:], lowest)])
+
+
+def estimate(good: np.ndarray, bad: np.ndarray, count: np.ndarray, start: np.ndarray,
+             rounds: int = 300) -> tuple[float, np.ndarray, np.ndarray]:
+    """Expectation-maximisation from ``start`` (class x rule: how often a vote
+    is bad): log-likelihood, class shares, and the estimate in the shape of
+    ``start``. ``good`` and ``bad`` tell each pattern's votes. ``start`` counts
+    as 10 votes for the good class and 2 for the others, the shares as 9
+    texts and 1: enough to tell the classes apart, nothing beside a corpus."""
+    weight = np.array([10.0] + [2.0] * (len(start) - 1))[:, None]
+    base = np.array([9.0] + [1.0] * (len(start) - 1))
+    share, says_bad, last = base / base.sum(), start, -math.inf
     for _ in range(rounds):
-        mass = [20.0 * b for b in base]
-        yes = [[w * s for w, s in zip(weight[c], start[c], strict=True)] for c in classes]
-        total = [list(weight[c]) for c in classes]
-        fit = 0.0
-        for p, n in patterns.items():
-            logs = [math.log(share[c]) + sum(
-                math.log(says[c][r] if v == GOOD else 1 - says[c][r])
-                for r, v in enumerate(p) if v != ABSTAIN) for c in classes]
-            top = max(logs)
-            like = [math.exp(x - top) for x in logs]
-            fit += n * (top + math.log(sum(like)))
-            for c in classes:
-                part = n * like[c] / sum(like)
-                mass[c] += part
-                for r, v in enumerate(p):
-                    if v != ABSTAIN:
-                        total[c][r] += part
-                        yes[c][r] += part * (v == GOOD)
-        share = [m / sum(mass) for m in mass]
-        says = [[min(max(y / t, tiny), 1 - tiny) for y, t in zip(yes[c], total[c], strict=True)] for c in classes]
-        says[0] = [max(s, 0.98) for s in says[0]]
-        for k in range(rules):
-            says[k + 1][k] = min(says[k + 1][k], 0.5)
-        if fit - last < 1e-7 * abs(fit) or not patterns:
+        logs = np.log(share) + good @ np.log(1 - says_bad).T + bad @ np.log(says_bad).T
+        top = logs.max(axis=1, keepdims=True)
+        like = np.exp(logs - top)
+        total = like.sum(axis=1, keepdims=True)
+        fit = float(count @ (top + np.log(total))[:, 0])
+        if fit - last < 1e-9 * abs(fit):
             break
         last = fit
-    return LabelModel(tuple(share), tuple(tuple(s) for s in says))
+        part = like / total * count[:, None]
+        share = (part.sum(axis=0) + base) / (count.sum() + base.sum())
+        yes = part.T @ bad + weight * start
+        says_bad = np.clip(ordered_rates(yes, yes + part.T @ good + weight * (1 - start)), 1e-6, 1 - 1e-6)
+    return last, share, says_bad
+
+
+def fit_label_model(patterns: dict[tuple[int, ...], int], rules: int) -> LabelModel:
+    """Hidden classes and their accuracies from vote-pattern counts.
+
+    It begins with the good texts and one class of bad texts. A further class
+    is tried from each rule in turn, as the texts that this rule calls bad and
+    the others mostly do not; the likeliest one stays if it adds more than the
+    logarithm of the number of texts to the log-likelihood, and the next is
+    tried. Accuracies are free but for one thing that tells a noisy rule from one
+    that sees a kind of its own: no rule calls good texts bad more often than
+    it does any kind of bad text. An empty corpus returns the pseudo-counts.
+    """
+    votes = np.array(list(patterns), dtype=int).reshape(-1, rules)
+    count = np.array(list(patterns.values()), dtype=float)
+    good, bad = (votes == GOOD).astype(float), (votes == BAD).astype(float)
+    start = np.vstack([np.full(rules, 0.02), np.full(rules, 0.5)])
+    best = estimate(good, bad, count, start)
+    for _ in range(rules if patterns else 0):
+        tries = [np.vstack([start, np.where(np.arange(rules) == k, 0.9, 0.1)]) for k in range(rules)]
+        found = [estimate(good, bad, count, t) for t in tries]
+        k = max(range(rules), key=lambda i: found[i][0])
+        if found[k][0] - best[0] <= math.log(count.sum()):
+            break
+        start, best = tries[k], found[k]
+    _, share, says_bad = best
+    return LabelModel(tuple(share.tolist()), tuple(tuple(x) for x in (1 - says_bad).tolist()))
 
 
 def pattern_code(stats: str, rules: Sequence[Rule]) -> Column:

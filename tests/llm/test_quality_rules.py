@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from strata.llm import quality_rules as Q
@@ -74,17 +75,69 @@ def brute_posterior(share, says, pattern):
     return like[0] / sum(like)
 
 
+def counted(votes):
+    pattern, n = np.unique(votes, axis=0, return_counts=True)
+    return {tuple(map(int, p)): int(k) for p, k in zip(pattern, n, strict=True)}
+
+
 def test_label_model_finds_exclusive_kinds():
-    """Two kinds of bad text, each seen by one rule and missed by the other."""
-    patterns = {(1, 1, 1): 9000, (0, 1, 1): 500, (1, 0, 1): 400, (1, 1, 0): 20, (-1, -1, -1): 50}
+    """Two kinds of bad text, each seen by one rule and missed by the other;
+    the third rule votes bad on a few of everything."""
+    patterns = {(1, 1, 1): 90000, (0, 1, 1): 5000, (1, 0, 1): 4000, (1, 1, 0): 200, (0, 1, 0): 11, (1, 0, 0): 9, (-1, -1, -1): 500}
     model = Q.fit_label_model(patterns, 3)
-    assert model.quality((1, 1, 1)) > 0.95
+    assert model.quality((1, 1, 1)) > 0.95 and model.quality((1, 1, 0)) > 0.5
     assert model.quality((0, 1, 1)) < 0.2 and model.quality((1, 0, 1)) < 0.2
     for p in patterns:
         assert model.quality(p) == pytest.approx(brute_posterior(model.share, model.says_good, p))
     assert sum(model.share) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("n", [5_000, 200_000])
+def test_unreliable_rule_is_outvoted(n):
+    """Three rules that are right 95 times in 100, and a coin."""
+    rng = np.random.default_rng(n)
+    truth = rng.random(n) < 0.7
+    right = rng.random((n, 3)) < 0.95
+    votes = np.column_stack([np.where(right, truth[:, None], ~truth[:, None]), rng.random(n) >= 0.3]).astype(int)
+    model = Q.fit_label_model(counted(votes), 4)
+    assert len(model.share) == 2 and model.share[0] == pytest.approx(0.7, abs=0.05)
+    for rule in range(3):
+        assert model.says_good[0][rule] == pytest.approx(0.95, abs=0.05)
+        assert model.says_good[1][rule] == pytest.approx(0.05, abs=0.05)
+    assert model.says_good[0][3] == pytest.approx(0.7, abs=0.05) and model.says_good[1][3] == pytest.approx(0.7, abs=0.05)
+    assert model.quality((1, 1, 1, 0)) > 0.9 and model.quality((0, 0, 1, 1)) < 0.5
+    kept = np.array([model.quality(v) >= 0.5 for v in votes[:2000]])
+    assert (kept == truth[:2000]).mean() > 0.97
+
+
+def test_exact_rule_condemns_alone():
+    """One rule alone sees a kind of bad text, two others see another kind;
+    beside them are a noisy rule and a coin."""
+    rng = np.random.default_rng(5)
+    n = 100_000
+    kind = rng.choice(3, n, p=[0.87, 0.05, 0.08])
+    seen = (rng.random((n, 2)) < 0.95) & (kind == 2)[:, None] | (rng.random((n, 2)) < 0.02)
+    votes = np.column_stack([kind != 1, rng.random(n) >= 0.3, ~seen, rng.random(n) >= 0.05]).astype(int)
+    model = Q.fit_label_model(counted(votes), 5)
+    assert model.quality((0, 1, 1, 1, 1)) < 0.05 and model.quality((1, 1, 0, 0, 1)) < 0.05
+    assert model.quality((1, 0, 1, 1, 1)) > 0.9 and model.quality((1, 1, 1, 1, 0)) > 0.9 and model.quality((1, 0, 1, 1, 0)) > 0.9
+
+
+def test_ordered_rates():
+    """Against a search: the likeliest rates with the good class the lowest."""
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        total = rng.integers(5, 60, (3, 1)).astype(float)
+        yes = total * rng.random((3, 1))
+        got = Q.ordered_rates(yes, total)[:, 0]
+        assert (got[1:] >= got[0] - 1e-12).all()
+        fit = lambda b: (yes[:, 0] * np.log(b) + (total - yes)[:, 0] * np.log(1 - b)).sum()
+        grid = np.linspace(0.01, 0.99, 99)
+        free = np.clip((yes / total)[:, 0], 0.01, 0.99)
+        best = max(fit(np.array([g, max(g, free[1]), max(g, free[2])])) for g in grid)
+        assert fit(np.clip(got, 0.01, 0.99)) >= best - 1e-6
+
+
 def test_label_model_without_documents():
     model = Q.fit_label_model({}, 2)
     assert model.quality((-1, -1)) == pytest.approx(0.9)
