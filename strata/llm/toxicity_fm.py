@@ -8,8 +8,10 @@ insult beside a mention of a group can count for more than both alone. Sums of
 factors give all the interactions of a text in time linear in its terms.
 
 The model is fitted by numpy on the driver from a bounded sample of labelled
-rows. Only the buckets that tell the sample's classes apart are kept, so the
-machine is small, and scoring looks at few terms of a text.
+rows. Every bucket that LEAST_ROWS of them have takes part, whatever its share
+of toxic rows: a mention that is neutral alone may tell beside an insult. The
+penalties on weights and factors take most terms out of the machine again while
+it learns, so scoring looks at few terms of a text.
 """
 
 from __future__ import annotations
@@ -28,11 +30,13 @@ from strata.llm.labelled import TRAIN_ROWS, training_rows
 THRESHOLD = 0.3
 BUCKETS = 1 << 18
 PREFIXES = range(4, 9)
-#: A bucket is kept if this many sample rows have it and their toxic share is
-#: this far (in standard errors) from the sample's.
-LEAST_ROWS = 4
-LEAST_Z = 5.0
+#: Buckets that fewer sample rows have are left out.
+LEAST_ROWS = 8
 FACTORS = 8
+#: A weight, and the factors of a term together, must be worth this many
+#: standard errors of what a term as frequent would gain by chance.
+WEIGHT_PENALTY = 3.0
+FACTOR_PENALTY = 5.0
 
 
 def word_terms(t: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -92,73 +96,79 @@ class Machine:
         return self.bias + linear + 0.5 * ((sums ** 2).sum(1) - squares), sums
 
 
-def telling(rows: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
-    """Which buckets to keep: those whose toxic share among the ``rows`` that
-    have them differs clearly from the sample's ``share``."""
-    z = (toxic - rows * share) / np.sqrt(np.maximum(rows * share * (1 - share), 1e-9))
-    return (rows >= LEAST_ROWS) & (np.abs(z) >= LEAST_Z)
-
-
-def select_terms(y: np.ndarray, parts: list[pa.ListArray]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of the terms in kept buckets. ``parts`` hold the buckets
-    of one row after the other; one part is expanded at a time."""
-    def expanded() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        at = 0
-        for part in parts:
-            size = part.value_lengths().to_numpy(zero_copy_only=False)
-            yield at + np.repeat(np.arange(len(part)), size), part.flatten().to_numpy(zero_copy_only=False)
-            at += len(part)
-
-    rows, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for doc, bucket in expanded():
-        rows += np.bincount(bucket, minlength=BUCKETS)
-        toxic += np.bincount(bucket, y[doc], BUCKETS)
-    keep = telling(rows, toxic, y.mean() if len(y) else 0.5)
-    kept = [(doc[k], bucket[k].astype(np.int64)) for doc, bucket in expanded() for k in [keep[bucket]]]
-    return tuple(np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.empty(0, np.int64),) * 2
+def frequent_terms(parts: list[pa.ListArray]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of the terms in buckets that LEAST_ROWS rows or more have.
+    ``parts`` hold the buckets of one row after the other; one part is expanded
+    at a time."""
+    rows = np.zeros(BUCKETS, dtype=np.int64)
+    for part in parts:
+        rows += np.bincount(part.flatten().to_numpy(zero_copy_only=False), minlength=BUCKETS)
+    keep, kept, at = rows >= LEAST_ROWS, [], 0
+    for part in parts:
+        bucket = part.flatten().to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.arange(at, at + len(part), dtype=np.int32), part.value_lengths().to_numpy(zero_copy_only=False))
+        kept.append((doc[keep[bucket]], bucket[keep[bucket]]))
+        at += len(part)
+    return tuple(np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.empty(0, np.int32),) * 2
 
 
 def fit(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray, epochs: int = 12, batch: int = 256,
-        rate: float = 0.03, l2: float = 1e-4, seed: int = 7) -> Machine:
-    """Logistic loss, Adam, batches in a seeded order. ``doc`` rises. With no
-    rows, or one class, the machine is its bias."""
+        rate: float = 0.1, factor_rate: float = 0.03, seed: int = 7) -> Machine:
+    """Logistic loss, Adagrad steps over batches in a seeded order. After each
+    step weights, and the factors of a term together, shrink towards zero by
+    the penalties, in proportion to the chance deviation of their gradients:
+    the standard error of a term's share of the loss, for factors times the
+    usual length of a text's sum of factors. Factors shrink from the second
+    epoch on: first they must have had the chance to find each other. Terms
+    left with neither drop out. ``doc`` rises. With no rows, or one class, the
+    machine is its bias."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = float(np.log(share / (1 - share)))
     place = np.full(BUCKETS, -1, dtype=np.int32)
     if not len(y) or y.min() == y.max():
         return Machine(bias, place, np.zeros(0), np.zeros((0, FACTORS)))
-    kept = np.flatnonzero(telling(np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket, y[doc], BUCKETS), y.mean()))
-    place[kept] = np.arange(len(kept))
+    having = np.bincount(bucket, minlength=BUCKETS)
+    terms = np.flatnonzero(having >= LEAST_ROWS)
+    chance = np.sqrt(having[terms] * share * (1 - share)) / len(y)
+    usual = 0.0  # squared length of a text's sum of factors
+    place[terms] = np.arange(len(terms))
     at = place[bucket]
-    doc, at = doc[at >= 0], at[at >= 0].astype(np.int64)
-    rng = np.random.default_rng(seed)
-    params = {"b": np.array([bias]), "w": np.zeros(len(kept)), "v": rng.normal(0, 0.02, (len(kept), FACTORS))}
-    first = {k: np.zeros_like(p) for k, p in params.items()}
-    second = {k: np.zeros_like(p) for k, p in params.items()}
+    doc, at = doc[at >= 0], at[at >= 0]
     bounds = np.searchsorted(doc, np.arange(len(y) + 1))
-    step = 0
-    for _ in range(epochs):
+    rng = np.random.default_rng(seed)
+    w, v = np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), FACTORS))
+    # the factors' sums of squares begin above zero: a rare term's first gradients move them little
+    seen_b, seen_w, seen_v = 1e-8, np.full(len(terms), 1e-8), np.full(len(terms), 1e-4)
+    for epoch in range(epochs):
         order = rng.permutation(len(y))
         for s in range(0, len(y), batch):
             rows = order[s:s + batch]
             size = bounds[rows + 1] - bounds[rows]
             owner = np.repeat(np.arange(len(rows)), size)
-            idx = np.repeat(bounds[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            a = at[idx]
-            m = Machine(float(params["b"][0]), place, params["w"], params["v"])
-            z, sums = m._sum(len(rows), owner, a)
-            err = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[rows]
-            e = err[owner] / len(rows)
-            grads = {"b": np.array([err.mean()]), "w": np.bincount(a, e, len(kept)) + l2 * params["w"]}
-            dv = e[:, None] * (sums[owner] - params["v"][a])
-            grads["v"] = np.stack([np.bincount(a, dv[:, f], len(kept)) for f in range(FACTORS)], 1) + l2 * params["v"]
-            step += 1
-            for k, g in grads.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                params[k] = params[k] - rate * (first[k] / (1 - 0.9 ** step)) / (
-                    np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
-    return Machine(float(params["b"][0]), place, params["w"], params["v"])
+            a = at[np.repeat(bounds[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            z, sums = Machine(bias, place, w, v)._sum(len(rows), owner, a)
+            square = (sums ** 2).sum(axis=1).mean()
+            usual = 0.9 * usual + 0.1 * square if usual else square
+            err = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[rows]) / len(rows)
+            e, pull = err[owner], sums[owner] - v[a]
+            grad_w = np.bincount(a, e, len(terms))
+            grad_v = np.stack([np.bincount(a, e * pull[:, f], len(terms)) for f in range(FACTORS)], 1)
+            seen_b += err.sum() ** 2
+            seen_w += grad_w ** 2
+            seen_v += (grad_v ** 2).mean(axis=1)
+            bias -= float(rate * err.sum() / np.sqrt(seen_b))
+            step_w, step_v = rate / np.sqrt(seen_w), factor_rate / np.sqrt(seen_v)
+            w -= step_w * grad_w
+            w = np.sign(w) * np.maximum(np.abs(w) - step_w * WEIGHT_PENALTY * chance, 0)
+            v -= step_v[:, None] * grad_v
+            if epoch:
+                length = np.sqrt((v ** 2).sum(axis=1))
+                less = step_v * FACTOR_PENALTY * chance * np.sqrt(usual)
+                v *= np.maximum(1 - less / np.maximum(length, 1e-12), 0)[:, None]
+    left = np.flatnonzero((w != 0) | v.any(axis=1))
+    place[:] = -1
+    place[terms[left]] = np.arange(len(left))
+    return Machine(bias, place, w[left], v[left])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -181,8 +191,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     lowered = training_rows(docs, labels, "toxic", rows).select(F.lower("text").alias("text"), "label")
     sample = lowered.mapInArrow(terms, "terms array<int>, label int").toArrow()
     y = (sample.column("label").to_numpy() > 0).astype(float)
-    machine = fit(y, *select_terms(y, sample.column("terms").chunks))
-    sent = docs.sparkSession.sparkContext.broadcast(machine)  # about 2 MB at most
+    machine = fit(y, *frequent_terms(sample.column("terms").chunks))
+    sent = docs.sparkSession.sparkContext.broadcast(machine)  # BUCKETS * 76 bytes (20 MB) at most
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value

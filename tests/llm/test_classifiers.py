@@ -101,6 +101,49 @@ def test_machine_learns_an_interaction():
     assert score[y == 1].min() > score[y == 0].max()
 
 
+def test_machine_learns_an_exclusive_or():
+    """Terms that are neutral alone: toxic if exactly one of the two is there."""
+    rng = np.random.default_rng(4)
+    has = rng.random((16_000, 2)) < 0.5
+    y = (has[:, 0] ^ has[:, 1]).astype(float)
+    doc, bucket = np.nonzero(has)
+    m = toxicity_fm.fit(y[:12_000], doc[doc < 12_000], bucket[doc < 12_000] + 10)
+    odds = m.log_odds(16_000, doc, bucket + 10)
+    assert ((odds > 0) == y)[12_000:].mean() > 0.95
+
+
+def test_machine_learns_interactions_among_other_terms():
+    """Either of two terms makes a text toxic, both together do not; three
+    hundred other terms say nothing."""
+    rng = np.random.default_rng(6)
+    n, others = 12_000, 300
+    one, two = rng.random(n) < 0.2, rng.random(n) < 0.2
+    y = np.where(one == two, rng.random(n) < 0.05, rng.random(n) < 0.95).astype(float)
+    has = np.column_stack([one, two, rng.random((n, others)) < 0.05])
+    doc, bucket = np.nonzero(has)
+    m = toxicity_fm.fit(y[:9_000], doc[doc < 9_000], bucket[doc < 9_000])
+    odds = m.log_odds(n, doc, bucket)
+    assert ((odds > 0) == y)[9_000:].mean() > 0.92
+    both = (one & two)[9_000:]
+    assert ((odds > 0) == y)[9_000:][both].mean() > 0.85  # additive weights get these wrong
+
+
+def test_rare_terms_are_left_out_by_rows_alone():
+    parts = [pa.array([[1, 2], [1], []] * 4, pa.list_(pa.int32())), pa.array([[2, 3]] * 4, pa.list_(pa.int32()))]
+    doc, bucket = toxicity_fm.frequent_terms(parts)
+    assert sorted(zip(doc.tolist(), bucket.tolist(), strict=True)) == sorted(
+        [(3 * k, b) for k in range(4) for b in (1, 2)] + [(3 * k + 1, 1) for k in range(4)] + [(12 + k, 2) for k in range(4)])
+
+
+def test_one_row_per_labelled_id(spark):
+    from strata.llm.labelled import training_rows
+    docs = spark.createDataFrame([(k % 20, f"text {k}" if k % 7 else None) for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)] * 2, "doc_id long, toxic int")
+    rows = training_rows(docs, labels, "toxic").collect()
+    assert len(rows) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(20))
+    assert sorted(map(str, rows)) == sorted(map(str, training_rows(docs.repartition(7), labels, "toxic").collect()))
+
+
 def test_statistics_do_not_depend_on_the_slice():
     texts = ["Some words here. And here!", "", None, "x", "THE THE THE\n\nthe | the ###", "é ñ 日本 " * 50]
     whole = np.concatenate([quality_model.document_statistics(t) for _, t in text_slices(pa.array(texts))])
