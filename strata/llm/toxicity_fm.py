@@ -120,7 +120,7 @@ def fit(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray, epochs: int = 12, ba
     the standard error of a term's share of the loss, for factors times the
     usual length of a text's sum of factors. Factors shrink from the second
     epoch on: first they must have had the chance to find each other. Terms
-    left with neither drop out. ``doc`` rises. With no rows, or one class, the
+    left with neither at the end of an epoch drop out. ``doc`` rises. With no rows, or one class, the
     machine is its bias."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = float(np.log(share / (1 - share)))
@@ -134,12 +134,17 @@ def fit(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray, epochs: int = 12, ba
     place[terms] = np.arange(len(terms))
     at = place[bucket]
     doc, at = doc[at >= 0], at[at >= 0]
-    bounds = np.searchsorted(doc, np.arange(len(y) + 1))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), FACTORS))
     # the factors' sums of squares begin above zero: a rare term's first gradients move them little
     seen_b, seen_w, seen_v = 1e-8, np.full(len(terms), 1e-8), np.full(len(terms), 1e-4)
     for epoch in range(epochs):
+        live = (w != 0) | v.any(axis=1)
+        if epoch and not live.all():
+            terms, chance, w, v, seen_w, seen_v = (x[live] for x in (terms, chance, w, v, seen_w, seen_v))
+            at = np.where(live, np.cumsum(live) - 1, -1)[at]
+            doc, at = doc[at >= 0], at[at >= 0]
+        bounds = np.searchsorted(doc, np.arange(len(y) + 1))
         order = rng.permutation(len(y))
         for s in range(0, len(y), batch):
             rows = order[s:s + batch]
@@ -150,9 +155,9 @@ def fit(y: np.ndarray, doc: np.ndarray, bucket: np.ndarray, epochs: int = 12, ba
             square = (sums ** 2).sum(axis=1).mean()
             usual = 0.9 * usual + 0.1 * square if usual else square
             err = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[rows]) / len(rows)
-            e, pull = err[owner], sums[owner] - v[a]
-            grad_w = np.bincount(a, e, len(terms))
-            grad_v = np.stack([np.bincount(a, e * pull[:, f], len(terms)) for f in range(FACTORS)], 1)
+            grad_w = np.bincount(a, err[owner], len(terms))
+            pull = err[:, None] * sums
+            grad_v = np.stack([np.bincount(a, pull[owner, f], len(terms)) for f in range(FACTORS)], 1) - v * grad_w[:, None]
             seen_b += err.sum() ** 2
             seen_w += grad_w ** 2
             seen_v += (grad_v ** 2).mean(axis=1)
