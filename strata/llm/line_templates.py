@@ -2,15 +2,20 @@
 
 Lines are parsed by a tree of fixed depth: first by their number of words, then
 by their leading words, words with digits standing for any such word. The lines
-of a leaf share a template: a word that most of the leaf's documents have at its
-place stays, every other place is a variable field. A line belongs to its
-leaf's template if enough of its words are the template's; otherwise it stands
-for itself. A template that enough documents hold is boilerplate, and its lines
-are dropped from all of them.
+of a leaf are then told apart by the words that recur at later places. How
+often is an absolute count, in doublings of what a template needs: at each of
+these levels a line keeps the words that recur as often, its other places are
+variable fields, and lines with the same pattern of kept words share a
+template. Whatever the names in a field, there is a level above them and below
+the words around them, and other lines of the leaf don't dilute a count. A
+pattern counts if enough of the line's words are kept in it; the line itself
+always does. A template that enough documents hold is boilerplate, and its
+lines are dropped from all of them.
 
 Everything is built-in expressions. Only lines of leaves that enough documents
-share are ever looked at word by word, and counts are reduced before they are
-shuffled, so a line that a third of all documents hold is a handful of rows.
+share are ever looked at word by word, each distinct line once, and counts are
+reduced before they are shuffled, so a line that a third of all documents hold
+is a handful of rows.
 """
 
 from __future__ import annotations
@@ -25,14 +30,13 @@ from strata.llm.common import WORD_BREAK, fresh, let, staged
 
 @dataclass(frozen=True)
 class Settings:
-    """``depth`` leading words lead to a leaf. A word stays in a template if
-    ``steady`` of the leaf's documents have it there; a line fits if ``alike``
-    of its words are the template's. Templates of ``least_docs`` documents or
-    more are dropped. Clean texts share short lines sooner, so templates of
-    fewer than ``least_words`` words need ``short_docs`` documents."""
+    """``depth`` leading words lead to a leaf. A line fits a template if
+    ``alike`` of its words are the template's. Templates of ``least_docs``
+    documents or more are dropped. Clean texts share short lines sooner, so
+    templates of fewer than ``least_words`` words need ``short_docs``
+    documents."""
 
     depth: int = 3
-    steady: float = 0.5
     alike: float = 0.7
     least_docs: int = 5
     least_words: int = 5
@@ -76,40 +80,56 @@ def document_lines(docs: DataFrame, doc_id: str, text: str, s: Settings) -> Data
         "id", "text_key", "line", "said", "found.leaf", "found.needs")
 
 
+def line_patterns(variants: DataFrame, s: Settings) -> DataFrame:
+    """(a, b, n, needs, template) for ``variants`` (leaf, needs, a, b, words, n):
+    the templates each distinct line may belong to, itself included. ``n`` is
+    how many lines read so. One row per line and level at most, and as many
+    levels as ``n`` has doublings."""
+    places = variants.select("leaf", "needs", "a", "b", "n", F.posexplode("words").alias("at", "word"))
+    often = places.where(F.col("word") != ANY).groupBy("leaf", "needs", "at", "word").agg(F.sum("n").alias("lines"))
+    # a word's level is the number of binary digits of lines / needs, whole part
+    often = staged(often.where("lines >= needs").select(
+        "leaf", "at", "word", F.length(F.bin(F.floor(F.col("lines") / F.col("needs")))).alias("level")), "recurring-words")
+    placed = places.join(often, ["leaf", "at", "word"], "left").groupBy("a", "b", "n", "needs").agg(F.array_sort(
+        F.collect_list(F.struct("at", "word", F.coalesce("level", F.lit(0)).alias("level")))).alias("w"))
+    levels = F.filter(F.array_distinct("w.level"), lambda t: (t > 0) & (
+        F.size(F.filter("w", lambda x: x.level >= t)) >= s.alike * F.size("w")))
+    kept = F.transform(levels, lambda t: F.concat_ws(" ", F.transform(
+        "w", lambda x: F.when(x.level >= t, x.word).otherwise(ANY))))
+    own = F.array(F.concat_ws(" ", "w.word"))
+    return placed.select("a", "b", "n", "needs", F.explode(F.array_union(own, kept)).alias("template"))
+
+
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     settings: Settings = Settings()) -> DataFrame:
-    """(id, text_key, line, template, n_docs) of every line whose template
-    enough documents hold. Documents are told apart by id and
-    text, so repeated rows count once."""
+    """(id, text_key, line, template, n_docs) of every line that has a template
+    which enough documents hold: the one that most hold, at a tie the greater
+    text. Documents are told apart by id and text, so repeated rows count
+    once."""
     s = settings
     lines = document_lines(docs, doc_id, text, s)
-    doc = F.xxhash64("id", "text_key")
-    leaves = lines.select("leaf", "needs", doc.alias("doc")).distinct().groupBy("leaf", "needs").agg(F.count(F.lit(1)).alias("n"))
+    doc = F.xxhash64("id", "text_key").alias("doc")
+    leaves = lines.select("leaf", "needs", doc).distinct().groupBy("leaf", "needs").agg(F.count(F.lit(1)).alias("n"))
     # staged tables are shuffled for their joins, which lets Spark split a hot leaf's lines
     leaves = staged(leaves.where("n >= needs").select("leaf"), "shared-leaves")
-    shared = staged(lines.join(leaves, "leaf").select(
-        "id", "text_key", "line", "leaf", let(line_words(F.col("said")), lambda words: generalised_words(words, s)).alias("words")),
-        "shared-lines")
-
-    variants = shared.groupBy("leaf", "words").agg(F.count(F.lit(1)).alias("n"))
-    places = variants.select("leaf", "n", F.posexplode("words").alias("at", "word"))
-    steady = places.groupBy("leaf", "at", "word").agg(F.sum("n").alias("n"))
-    # at a tie the greater word stays; a leaf has as many places as its lines have words
-    steady = steady.groupBy("leaf", "at").agg(F.max(F.struct("n", "word")).alias("top"), F.sum("n").alias("lines"))
-    steady = steady.where(F.col("top.n") >= s.steady * F.col("lines"))
-    templates = staged(steady.groupBy("leaf").agg(
-        F.map_from_entries(F.collect_list(F.struct("at", "top.word"))).alias("kept")), "line-templates")
-
-    fitted = shared.join(templates, "leaf", "left")
-    same = F.size(F.filter("words", lambda w, i: (w != ANY) & F.coalesce(
-        F.element_at(F.col("kept"), i) == w, F.lit(False))))
-    general = F.transform("words", lambda w, i: F.coalesce(F.element_at(F.col("kept"), i), F.lit(ANY)))
-    template = F.concat_ws(" ", F.when(same >= s.alike * F.size("words"), general).otherwise(F.col("words")))
-    fitted = fitted.select("id", "text_key", "line", template.alias("template"),
-                           needed_docs(F.col("words"), s).alias("needs"), doc.alias("doc"))
-    counts = fitted.select("template", "needs", "doc").distinct().groupBy("template", "needs").agg(F.count(F.lit(1)).alias("n_docs"))
+    shared = lines.join(leaves, "leaf").select(
+        "id", "text_key", "line", "leaf", "needs",
+        let(line_words(F.col("said")), lambda words: generalised_words(words, s)).alias("words"))
+    # distinct lines go by 128 bits of hash
+    shared = staged(shared.select("*", F.xxhash64("leaf", "words").alias("a"), F.xxhash64("words", F.lit(1)).alias("b")), "shared-lines")
+
+    variants = staged(shared.groupBy("leaf", "needs", "a", "b", "words").agg(F.count(F.lit(1)).alias("n")), "distinct-lines")
+    patterns = staged(line_patterns(variants, s), "line-patterns")
+    # no more documents than lines hold a template: most patterns end here
+    alive = patterns.groupBy("template", "needs").agg(F.sum("n").alias("n")).where("n >= needs").select("template")
+    patterns = staged(patterns.join(alive, "template").select("a", "b", "needs", "template"), "live-patterns")
+
+    held = shared.select("a", "b", doc).distinct().join(patterns, ["a", "b"])
+    counts = held.select("template", "needs", "doc").distinct().groupBy("template", "needs").agg(F.count(F.lit(1)).alias("n_docs"))
     counts = staged(counts.where("n_docs >= needs").drop("needs"), "recurring-templates")
-    return fitted.join(counts, "template").select("id", "text_key", "line", "template", "n_docs")
+    best = staged(patterns.join(counts, "template").groupBy("a", "b").agg(
+        F.max(F.struct("n_docs", "template")).alias("best")), "recurring-variants")
+    return shared.join(best, ["a", "b"]).select("id", "text_key", "line", "best.template", "best.n_docs")
 
 
 def drop_recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

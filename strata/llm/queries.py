@@ -103,17 +103,20 @@ leaves AS (SELECT leaf FROM told GROUP BY leaf, needs HAVING count(DISTINCT doc_
 places AS (
   SELECT doc_id, line, leaf, needs, i AS pos, w[i] AS word
   FROM (SELECT told.*, unnest(range(1, len(w) + 1)) AS i FROM told JOIN leaves USING (leaf))),
-counted AS (SELECT leaf, pos, word, count(*) AS n FROM places GROUP BY ALL),
-kept AS (
-  SELECT leaf, pos, max({'n': n, 'word': word}) AS top FROM counted GROUP BY leaf, pos
-  HAVING max(n) >= 0.5 * sum(n)),
-fitted AS (
-  SELECT doc_id, line, min(needs) AS needs, count(*) AS n, count(*) FILTER (word <> '<*>' AND word = top.word) AS same,
-    string_agg(coalesce(top.word, '<*>'), ' ' ORDER BY pos) AS general, string_agg(word, ' ' ORDER BY pos) AS own
-  FROM places LEFT JOIN kept USING (leaf, pos) GROUP BY doc_id, line),
-named AS (SELECT doc_id, line, needs, CASE WHEN same >= CAST(0.7 AS DOUBLE) * n THEN general ELSE own END AS template FROM fitted),
+often AS (
+  SELECT leaf, pos, word, length(bin(count(*) // min(needs))) AS level FROM places WHERE word <> '<*>'
+  GROUP BY leaf, pos, word HAVING count(*) >= min(needs)),
+levels AS (
+  SELECT doc_id, line, min(needs) AS needs, list(word ORDER BY pos) AS w, list(coalesce(level, 0) ORDER BY pos) AS v
+  FROM places LEFT JOIN often USING (leaf, pos, word) GROUP BY doc_id, line),
+named AS (
+  SELECT doc_id, line, needs, array_to_string(w, ' ') AS template FROM levels
+  UNION
+  SELECT doc_id, line, needs, array_to_string([CASE WHEN v[i] >= t THEN w[i] ELSE '<*>' END for i in range(1, len(w) + 1)], ' ')
+  FROM (SELECT *, unnest(list_distinct([x for x in v if x > 0])) AS t FROM levels)
+  WHERE len([x for x in v if x >= t]) >= CAST(0.7 AS DOUBLE) * len(w)),
 gone AS (
-  SELECT doc_id, line FROM named WHERE template IN (
+  SELECT DISTINCT doc_id, line FROM named WHERE template IN (
     SELECT template FROM named GROUP BY template, needs HAVING count(DISTINCT doc_id) >= needs)),
 rest AS (
   SELECT l.doc_id, string_agg(said, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS text, count(g.line) AS n

@@ -30,19 +30,19 @@ def brute(docs, s):
     for keys in leaves.values():
         if len({k[:2] for k in keys}) < needs(lines[keys[0]]):
             continue
-        kept = {}
-        for at in range(len(lines[keys[0]])):
-            count = {}
-            for k in keys:
-                count[lines[k][at]] = count.get(lines[k][at], 0) + 1
-            n, word = max((n, w) for w, n in count.items())
-            if n >= s.steady * len(keys):
-                kept[at] = word
+        count = {}
+        for k in keys:
+            for at, w in enumerate(lines[k]):
+                count[at, w] = count.get((at, w), 0) + (w != L.ANY)
         for k in keys:
             w = lines[k]
-            same = sum(x != L.ANY and kept.get(at) == x for at, x in enumerate(w))
-            template = tuple(kept.get(at, L.ANY) for at in range(len(w))) if same >= s.alike * len(w) else w
-            held.setdefault(template, set()).add(k)
+            held.setdefault(w, set()).add(k)
+            least = needs(w)
+            while least <= max(count.values()):  # twice as often each time
+                kept = [count[at, x] >= least for at, x in enumerate(w)]
+                if sum(kept) >= s.alike * len(w):
+                    held.setdefault(tuple(x if y else L.ANY for x, y in zip(w, kept)), set()).add(k)
+                least *= 2
     return {(d, k) for w, keys in held.items() if len({x[:2] for x in keys}) >= needs(w) for d, _, k in keys}
 
 
@@ -100,3 +100,37 @@ def test_short_lines(spark):
     out = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in L.drop_recurring_lines(
         spark.createDataFrame(rows, DOC), settings=L.Settings(alike=0.99)).collect()}
     assert out == {k: (f"{x}\n\n{k}77\nIn nine texts{' only' if k > 8 else ''}", 4) for k, x in enumerate(own)}
+
+
+FIRST, LAST = "ann bob cat dan eve fay gus hal ivy jon kim lee mia ned ora".split(), "ash bay cox day elm fox gee hay".split()
+
+
+def test_template_beside_other_lines_of_its_leaf(spark):
+    """A template goes however many other lines begin as it does and whatever
+    recurs in its fields; those other lines stay."""
+    written = [f"This article was written by {FIRST[k % 15]} {LAST[k // 15 % 8]}{'abcdefgh'[k % 7]}" for k in range(300)]
+    spell = lambda k: "".join(chr(97 + k // 26 ** i % 26) for i in range(3))
+    other = [f"This article was q{spell(k)} r{spell(k)} s{spell(k)} t{spell(k)}" for k in range(700)]
+    for more in ([], other):
+        rows = list(enumerate(written + more))
+        gone = found(spark.createDataFrame(rows, DOC))
+        assert gone == {(k, 0) for k in range(300)} == brute(rows, L.Settings())
+
+
+def test_three_templates_in_a_leaf(spark):
+    rows = []
+    for k in range(90):
+        name = f"{FIRST[k % 15]}{'abcdefgh'[k % 8]}"
+        rows.append((k, [f"All of the photographs were taken by {name}", f"All of the prices below include {name} tax",
+                         f"All of the comments here belong to {name}"][k % 3]))
+    got = L.recurring_lines(spark.createDataFrame(rows, DOC)).collect()
+    assert {(r["template"], r["n_docs"]) for r in got} == {
+        ("All of the photographs were taken by <*>", 30), ("All of the prices below include <*> tax", 30),
+        ("All of the comments here belong to <*>", 30)}
+
+
+def test_long_lines(spark):
+    """A line of very many words in many documents; at most one place differs."""
+    base = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(30_000))
+    rows = [(k, f"own line {FIRST[k]}\n{base} {FIRST[k]}") for k in range(6)]
+    assert found(spark.createDataFrame(rows, DOC)) == {(k, 1) for k in range(6)}
