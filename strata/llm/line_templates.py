@@ -21,11 +21,13 @@ is a handful of rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD_BREAK, fresh, let, staged
+from strata.llm.common import WORD, WORD_BREAK, fresh, let, staged
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,10 @@ ANY = "<*>"
 
 
 def line_words(line: Column) -> Column:
-    return F.filter(F.split(line, WORD_BREAK), lambda w: w != "")
+    """Words of a line. Most lines have single spaces between their words and
+    are split there without a pattern."""
+    blanks = [line.contains(x) for x in ("  ", "\t", "\n", "\x0b", "\x0c", "\r")] + [line.startswith(" "), line.endswith(" "), line == ""]
+    return F.when(reduce(or_, blanks), F.filter(F.split(line, WORD_BREAK), lambda w: w != "")).otherwise(F.split(line, " "))
 
 
 def generalised(word: Column) -> Column:
@@ -71,12 +76,14 @@ def document_lines(docs: DataFrame, doc_id: str, text: str, s: Settings) -> Data
     """(id, text_key, line, said, leaf, needs) for each line that is not blank;
     ``line`` is its number in the document, ``needs`` how many documents its
     template must be in."""
-    lines = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
-                        F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line", "said"))
-    found = let(line_words(F.col("said")), lambda words: F.when(F.size(words) > 0, F.struct(
+    keyed = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
+                        F.col(f"`{text}`").alias("text"))  # below the explode: one hash a text, not one a line
+    lines = keyed.select("id", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    leaf = let(line_words(F.col("said")), lambda words: F.struct(
         F.xxhash64(F.size(words), generalised_words(words, s, s.depth)).alias("leaf"),
-        needed_docs(words, s).alias("needs"))))
-    return lines.withColumn("found", found).where("found is not null").select(
+        needed_docs(words, s).alias("needs")))
+    # a test of the line, not of its words: Spark would split the line once for each
+    return lines.where(F.col("said").rlike(WORD)).withColumn("found", leaf).select(
         "id", "text_key", "line", "said", "found.leaf", "found.needs")
 
 
