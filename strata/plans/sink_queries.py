@@ -194,3 +194,14 @@ def compact_partial(spark, sf):
             K.append_table(o.filter(odd & (F.col("o_orderkey") % 4 == k)), name, ["partition_year"], created=None)
         K.compact_where_needed(spark, name)
         return keep_result(spark.table(name))
+
+
+@query("cluster_two_columns", "SELECT * FROM orders")
+def cluster_two_columns(spark, sf):
+    """Laid out along a curve through customer and date."""
+    with scratch_store(spark, "curve") as store:
+        store.ensure_database("gold")
+        name = store.name("gold", "orders_on_curve")
+        K.append_table(_orders(spark, sf), name, created=None)
+        K.cluster_rewrite(spark, name, ["o_custkey", "o_orderdate"], target_file_mb=1)
+        return keep_result(spark.table(name))

@@ -29,6 +29,7 @@ from pyspark.sql.types import (ArrayType, DataType, DecimalType, MapType, Struct
 
 from strata.operators.joins import measure_small
 from strata.session import scratch_path
+from strata.sources.curve import curve_key
 
 log = logging.getLogger(__name__)
 
@@ -361,6 +362,20 @@ def _layout(df: DataFrame, n: int, pcols: Sequence[str], order: Sequence[str]) -
     return out
 
 
+def _curve_layout(df: DataFrame, n: int, pcols: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Range-partition on (partition columns, place on the curve through
+    ``cols``). The row hash comes last, so rows equal in ``cols`` may span
+    several tasks."""
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    key = "__curve"
+    while key in df.columns:
+        key += "_"
+    keys = [F.col(f"`{c}`") for c in [*pcols, key, *cols]]
+    return (df.withColumn(key, curve_key(df, cols))
+            .repartitionByRange(n, *keys, F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
+            .sortWithinPartitions(*keys).drop(key))
+
+
 @dataclass(frozen=True)
 class RewriteStats:
     files_before: int
@@ -369,18 +384,21 @@ class RewriteStats:
     partitions: int
 
 
-def compact(spark: SparkSession, name: str, target_file_mb: int = DEFAULT_FILE_MB,
+def compact(spark: SparkSession, name: str, target_file_mb: float = DEFAULT_FILE_MB,
             order: Sequence[str] = ()) -> RewriteStats:
     """Rewrite the table into files of about ``target_file_mb``.
 
     The task count comes from the table's size; range partitioning over the
     partition columns plus a row hash keeps each task near the target even
-    when one partition value holds most rows."""
+    when one partition value holds most rows. With ``order``, files are narrow
+    in these columns instead: sorted on a single one, along a space-filling
+    curve through several."""
     before = file_count(spark, name)
     size = table_bytes(spark, name)
     n = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
     pcols = partition_columns(spark, name)
-    rewrite(spark, name, spark.table(name), pcols, layout=lambda d: _layout(d, n, pcols, order))
+    rewrite(spark, name, spark.table(name), pcols, layout=lambda d: _curve_layout(d, n, pcols, order) if len(order) > 1
+            else _layout(d, n, pcols, order))
     return RewriteStats(before, file_count(spark, name), size, n)
 
 
@@ -458,9 +476,10 @@ def compact_where_needed(spark: SparkSession, name: str, target_file_mb: float =
 
 
 def cluster_rewrite(spark: SparkSession, name: str, cols: Sequence[str],
-                    target_file_mb: int = DEFAULT_FILE_MB) -> RewriteStats | None:
-    """Lay the table out range-partitioned and sorted on ``cols`` so each
-    file covers a narrow key range. No-op without columns."""
+                    target_file_mb: float = DEFAULT_FILE_MB) -> RewriteStats | None:
+    """Lay the table out so that each file covers a narrow range of every
+    one of ``cols`` (``sources.curve``; sorted if there is only one). No-op
+    without columns."""
     if not cols:
         return None
     return compact(spark, name, target_file_mb, order=list(cols))
