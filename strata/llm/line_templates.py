@@ -83,8 +83,10 @@ def document_lines(docs: DataFrame, doc_id: str, text: str, s: Settings) -> Data
         F.xxhash64(F.size(words), generalised_words(words, s, s.depth)).alias("leaf"),
         needed_docs(words, s).alias("needs")))
     # a test of the line, not of its words: Spark would split the line once for each
+    # or once more for a join's own test that a leaf is not NULL, hence the defaults
     return lines.where(F.col("said").rlike(WORD)).withColumn("found", leaf).select(
-        "id", "text_key", "line", "said", "found.leaf", "found.needs")
+        "id", "text_key", "line", "said", F.coalesce("found.leaf", F.lit(0)).alias("leaf"),
+        F.coalesce("found.needs", F.lit(s.least_docs)).alias("needs"))
 
 
 def line_patterns(variants: DataFrame, s: Settings) -> DataFrame:
