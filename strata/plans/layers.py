@@ -136,7 +136,7 @@ def with_dw(df: DataFrame) -> DataFrame:
 
 
 def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None,
-                     reference_mode: bool = False) -> DataFrame:
+                     reference_mode: bool = False, few_new: bool = False) -> DataFrame:
     """Typed, cleaned rows not yet in silver. Of several rows with one
     key (and version) in a batch the one loaded last stays (D10). An entity
     without version also loads corrected rows: those that differ from the
@@ -149,11 +149,13 @@ def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None
                else I.increment_by_watermark(src, target, entity.silver_version))
         return C.clean_strings(with_dw(inc))
     if entity.silver_version is None:
-        src = I.latest_by_key(src, list(entity.silver_keys), "created_at", entity.tiebreak)
+        src = I.latest_by_key(src, list(entity.silver_keys), "created_at", entity.tiebreak, few_repeats=True)
         inc = I.changed_rows(C.clean_strings(src), target, list(entity.silver_keys), "created_at")
     else:
-        inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version)
-        inc = I.latest_by_key(inc, [*entity.silver_keys, entity.silver_version], "created_at", entity.tiebreak)
+        inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version, few_new=few_new)
+        # next to a target the rows have just been dealt out by their keys
+        inc = I.latest_by_key(inc, [*entity.silver_keys, entity.silver_version], "created_at", entity.tiebreak,
+                              few_repeats=target is None)
     return C.clean_strings(with_dw(inc))
 
 
@@ -186,19 +188,19 @@ def gold_frame(entity: Entity, silver: DataFrame, reference_mode: bool = False)
 
 
 def gold_increment(entity: Entity, silver: DataFrame, target: DataFrame | None,
-                   reference_mode: bool = False) -> DataFrame:
+                   reference_mode: bool = False, few_new: bool = False) -> DataFrame:
     """Column subset, increment, cleaned. Corrected rows of an entity
     without version are loaded again, as in silver."""
     src = gold_frame(entity, silver, reference_mode)
     if entity.silver_version is None and (reference_mode or UPSTREAM not in src.columns):
         inc = I.new_rows(src, target, list(entity.silver_keys), null_safe=True)
     elif entity.silver_version is None:
-        src = I.latest_by_key(src, list(entity.silver_keys), UPSTREAM)
+        src = I.latest_by_key(src, list(entity.silver_keys), UPSTREAM, few_repeats=True)
         inc = I.changed_rows(C.clean_strings(src), target, list(entity.silver_keys), UPSTREAM)
     elif reference_mode:
         inc = I.increment_by_watermark(src, target, entity.silver_version)
     else:
-        inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version)
+        inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version, few_new=few_new)
     return C.clean_strings(with_dw(inc))
 
 
