@@ -41,8 +41,8 @@ def _bronze(spark: SparkSession, sf: str, entity: str) -> DataFrame:
     return with_audit(L.bronze_records(LANDED[entity](spark, sf)))
 
 
-def _silver(spark: SparkSession, sf: str, entity: str) -> DataFrame:
-    return L.silver_increment(ENTITIES[entity], _bronze(spark, sf, entity), None)
+def _silver(spark: SparkSession, sf: str, entity: str, few_new: bool = False) -> DataFrame:
+    return L.silver_increment(ENTITIES[entity], _bronze(spark, sf, entity), None, few_new=few_new)
 
 
 def _drop_audit(df: DataFrame) -> DataFrame:
@@ -330,7 +330,7 @@ def _renamed_star(spark, sf) -> M.Star:
     cast = _silver(spark, sf, "cast")
     older = cast.filter(F.col("person_id") % 2 == 0).withColumn("person_name", F.concat(F.lit("Old "), "person_name")) \
         .withColumn("person_updated", F.col("person_updated") - 100)
-    return L.silver_star(_silver(spark, sf, "shows"), _silver(spark, sf, "episodes"), cast.unionByName(older))
+    return L.silver_star(_silver(spark, sf, "shows"), _silver(spark, sf, "episodes", few_new=True), cast.unionByName(older))
 
 
 RENAMED_SQL = f"""WITH {SHOWS_SQL}, {EPISODES_SQL}, {CAST_SQL},

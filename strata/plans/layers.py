@@ -141,7 +141,8 @@ def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None
     key (and version) in a batch the one loaded last stays (D10). An entity
     without version also loads corrected rows: those that differ from the
     key's newest one in silver. Reference mode only drops rows that are equal
-    in every column, and knows no corrections."""
+    in every column, and knows no corrections. ``few_new``: the source is cheap
+    to read twice, and few of its rows repeat a key or are new to a target."""
     src = SILVER[entity.name](bronze)
     if reference_mode:
         src = src.distinct()
@@ -149,7 +150,7 @@ def silver_increment(entity: Entity, bronze: DataFrame, target: DataFrame | None
                else I.increment_by_watermark(src, target, entity.silver_version))
         return C.clean_strings(with_dw(inc))
     if entity.silver_version is None:
-        src = I.latest_by_key(src, list(entity.silver_keys), "created_at", entity.tiebreak, few_repeats=True)
+        src = I.latest_by_key(src, list(entity.silver_keys), "created_at", entity.tiebreak, few_repeats=few_new)
         inc = I.changed_rows(C.clean_strings(src), target, list(entity.silver_keys), "created_at")
     else:
         inc = I.increment_by_version(src, target, list(entity.silver_keys), entity.silver_version, few_new=few_new)
@@ -195,7 +196,7 @@ def gold_increment(entity: Entity, silver: DataFrame, target: DataFrame | None,
     if entity.silver_version is None and (reference_mode or UPSTREAM not in src.columns):
         inc = I.new_rows(src, target, list(entity.silver_keys), null_safe=True)
     elif entity.silver_version is None:
-        src = I.latest_by_key(src, list(entity.silver_keys), UPSTREAM, few_repeats=True)
+        src = I.latest_by_key(src, list(entity.silver_keys), UPSTREAM, few_repeats=few_new)
         inc = I.changed_rows(C.clean_strings(src), target, list(entity.silver_keys), UPSTREAM)
     elif reference_mode:
         inc = I.increment_by_watermark(src, target, entity.silver_version)
